@@ -1,0 +1,26 @@
+"""Cutting lineage in a place that outlives an executor."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import DataFrame
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df.checkpoint()`` in the folder of ``spark.checkpoint.dir``.
+
+    Without that setting, a local session gets a temporary folder; a cluster must name one
+    that all its executors share.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = context.getConf().get("spark.checkpoint.dir") or df.sparkSession.conf.get(
+            "spark.checkpoint.dir", None
+        )
+        if folder is None:
+            if not context.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+            folder = tempfile.mkdtemp(prefix="insight-checkpoint-")
+        context.setCheckpointDir(folder)
+    return df.checkpoint()
