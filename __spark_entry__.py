@@ -653,7 +653,7 @@ FROM sorted, cut GROUP BY sorted.i <= cut.i"""
 def kmeans_two_groups(spark, folder):
     """On one feature the best two groups are a cut of the sorted values."""
     events = _table(spark, folder, "events").select("value")
-    model = insight.fit_clusters(events, ["value"], k=2, maxIter=200, tol=0.0)
+    model = insight.fit_clusters(events, ["value"], k=2, max_iter=200, tol=0.0)
     groups = (
         insight.assign_clusters(model, events)
         .groupBy("cluster")

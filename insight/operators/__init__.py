@@ -9,12 +9,14 @@ from insight.operators.evaluate import (
     silhouette,
 )
 from insight.operators.models import (
+    LinearModel,
     assign_clusters,
     cluster_centers,
     coefficients,
     fit_classifier,
     fit_clusters,
     fit_regression,
+    fitted_sizes,
     predict,
 )
 from insight.operators.moments import zscore_stats
@@ -46,6 +48,7 @@ from insight.operators.profile import (
 )
 
 __all__ = [
+    "LinearModel",
     "Profile",
     "add_zscores",
     "assemble",
@@ -61,6 +64,7 @@ __all__ = [
     "fit_classifier",
     "fit_clusters",
     "fit_regression",
+    "fitted_sizes",
     "flag_outliers",
     "null_counts",
     "numeric_summary",

@@ -1,63 +1,130 @@
 """Models: linear regression, binary logistic regression, k-means.
 
-A fitted model is an MLlib ``PipelineModel`` that starts from plain columns. Scoring adds
-plain columns too; the vectors in between are dropped.
+Scoring adds plain columns; the vectors that MLlib works on are dropped again.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import StandardScaler, StandardScalerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from insight.functions import named
+from insight.functions import all_of, named, present
+from insight.sources import local_table
 
 _VECTOR, _SCALED, _RAW, _PROBABILITY = "_features", "_scaled", "_raw", "_probability"
 _ASSIGNED = "_cluster"
 
+# Up to this many features the sums of a regression fit into one compiled aggregate.
+SUMMED_FEATURES = 10
+
+
+@dataclass(frozen=True)
+class LinearModel:
+    """A fitted regression: ``intercept + sum(coefficient * feature)``."""
+
+    features: tuple[str, ...]
+    coefficients: tuple[float, ...]
+    intercept: float
+
+    def score(self) -> Column:
+        terms = [named(f).cast("double") * c for f, c in zip(self.features, self.coefficients)]
+        return reduce(lambda a, b: a + b, terms, F.lit(self.intercept))
+
 
 def _assembler(features: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol=_VECTOR)
 
 
-def fit_regression(
-    df: DataFrame, features: Sequence[str], label: str = "label", **params
-) -> PipelineModel:
-    """Least squares with intercept and without regularisation, unless ``params`` say else.
+def fit_regression(df: DataFrame, features: Sequence[str], label: str = "label") -> LinearModel:
+    """Least squares with intercept, without regularisation.
 
-    Up to 4,096 features it is one pass: the normal equations, added up as a tree.
+    Reads the input once: one aggregate of plain sums gives the normal equations, which have
+    the size of the features and are solved on the driver. A constant feature gets the
+    coefficient 0, and features that depend on each other share theirs. Null, NaN or infinite
+    values are an error: clean first. With more than ``SUMMED_FEATURES`` features MLlib does
+    the same on vectors.
     """
-    learner = LinearRegression(
-        featuresCol=_VECTOR, labelCol=label, predictionCol="prediction", **params
-    )
-    return Pipeline(stages=[_assembler(features), learner]).fit(df)
+    features = tuple(features)
+    if len(features) > SUMMED_FEATURES:
+        learner = LinearRegression(featuresCol=_VECTOR, labelCol=label)
+        fitted = Pipeline(stages=[_assembler(features), learner]).fit(df).stages[-1]
+        return LinearModel(
+            features, tuple(map(float, fitted.coefficients)), float(fitted.intercept)
+        )
+    columns = [*features, label]
+    mean, cov = _covariance(df, columns, np.zeros(len(columns)))
+    if np.any((np.diag(cov) > 0) & (np.diag(cov) < 1e-6 * mean**2)):
+        # Far from zero compared with their spread: sum again, around the means.
+        mean, cov = _covariance(df, columns, mean)
+    x = slice(0, len(features))
+    std = np.sqrt(np.clip(np.diag(cov)[x], 0.0, None))
+    varies = std > 1e-12 * np.abs(mean[x])
+    slopes = np.zeros(len(features))
+    if varies.any():
+        s = std[varies]
+        correlation = cov[x, x][np.ix_(varies, varies)] / np.outer(s, s)
+        slopes[varies] = np.linalg.lstsq(correlation, cov[x, -1][varies] / s, rcond=1e-12)[0] / s
+    return LinearModel(features, tuple(map(float, slopes)), float(mean[-1] - slopes @ mean[x]))
+
+
+def _covariance(
+    df: DataFrame, columns: Sequence[str], origin: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Means and population covariances, from sums of products around ``origin``."""
+    x = [named(c).cast("double") - float(o) for c, o in zip(columns, origin)]
+    pairs = [(i, j) for i in range(len(x)) for j in range(i, len(x))]
+    sums = df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(~all_of([present(df.schema[c]) for c in columns])).alias("absent"),
+        *[F.sum(c).alias(f"s{i}") for i, c in enumerate(x)],
+        *[F.sum(x[i] * x[j]).alias(f"s{i}_{j}") for i, j in pairs],
+    ).first()
+    if sums["rows"] == 0:
+        raise ValueError("there are no rows to fit")
+    if sums["absent"]:
+        raise ValueError(f"{sums['absent']} rows lack one of {list(columns)}; clean them first")
+    mean = np.array([sums[f"s{i}"] for i in range(len(x))]) / sums["rows"]
+    cov = np.empty((len(x), len(x)))
+    for i, j in pairs:
+        cov[i, j] = cov[j, i] = sums[f"s{i}_{j}"] / sums["rows"] - mean[i] * mean[j]
+    if not np.isfinite(cov).all():
+        raise ValueError(f"infinite values among {list(columns)}; clean them first")
+    return mean + origin, cov
 
 
 def fit_classifier(
-    df: DataFrame, features: Sequence[str], label: str = "label", max_iter: int = 30, **params
+    df: DataFrame,
+    features: Sequence[str],
+    label: str = "label",
+    max_iter: int = 30,
+    tol: float = 1e-6,
 ) -> PipelineModel:
     """Binary logistic regression for labels 0.0 and 1.0, without regularisation.
 
-    Raises ValueError if only one of them occurs, which MLlib answers with an infinite
-    intercept before it iterates.
+    MLlib reads the input once and keeps the vectors while it iterates. Raises ValueError if
+    only one of the labels occurs, which MLlib answers with an infinite intercept before it
+    iterates.
     """
     learner = LogisticRegression(
         featuresCol=_VECTOR,
         labelCol=label,
-        predictionCol="prediction",
         probabilityCol=_PROBABILITY,
         rawPredictionCol=_RAW,
         family="binomial",
         maxIter=max_iter,
-        **params,
+        tol=tol,
     )
     model = Pipeline(stages=[_assembler(features), learner]).fit(df)
     if math.isinf(model.stages[-1].intercept):
@@ -65,21 +132,27 @@ def fit_classifier(
     return model
 
 
-def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
+def predict(model: LinearModel | PipelineModel, df: DataFrame) -> DataFrame:
     """``df`` with ``prediction`` and, of a classifier, ``probability`` (an array)."""
-    scored = model.transform(df)
-    if _PROBABILITY in scored.columns:
-        scored = scored.withColumn("probability", vector_to_array(_PROBABILITY))
-    return scored.drop(_VECTOR, _RAW, _PROBABILITY)
+    if isinstance(model, LinearModel):
+        return df.withColumn("prediction", model.score())
+    return (
+        model.transform(df)
+        .withColumn("probability", vector_to_array(_PROBABILITY))
+        .drop(_VECTOR, _RAW, _PROBABILITY)
+    )
 
 
-def coefficients(model: PipelineModel) -> DataFrame:
+def coefficients(model: LinearModel | PipelineModel) -> DataFrame:
     """``(term, estimate)`` of a regression or classifier, ``(intercept)`` last."""
-    fitted = model.stages[-1]
-    names = model.stages[0].getInputCols()
-    rows = [(n, float(v)) for n, v in zip(names, fitted.coefficients.toArray())]
-    rows.append(("(intercept)", float(fitted.intercept)))
-    return SparkSession.active().createDataFrame(rows, "term string, estimate double")
+    if isinstance(model, LinearModel):
+        names, values, intercept = model.features, model.coefficients, model.intercept
+    else:
+        names = model.stages[0].getInputCols()
+        values, intercept = model.stages[-1].coefficients, model.stages[-1].intercept
+    rows = [(n, float(v)) for n, v in zip(names, values)]
+    rows.append(("(intercept)", float(intercept)))
+    return local_table(SparkSession.active(), rows, "term string, estimate double")
 
 
 def fit_clusters(
@@ -88,9 +161,15 @@ def fit_clusters(
     k: int = 5,
     seed: int = 42,
     scale: bool = True,
-    **params,
+    max_iter: int = 20,
+    tol: float = 1e-4,
 ) -> PipelineModel:
-    """k-means, by default on features scaled to mean 0 and standard deviation 1."""
+    """k-means, by default on features scaled to mean 0 and standard deviation 1.
+
+    MLlib keeps the vectors while it iterates, but reads the input three times: for the
+    scale, to fill its cache, and to count the clusters (see ``fitted_sizes``). Persist the
+    cleaned rows where reading them again costs more than keeping them.
+    """
     stages = [_assembler(features)]
     if scale:
         stages.append(
@@ -102,7 +181,8 @@ def fit_clusters(
             seed=seed,
             featuresCol=_SCALED if scale else _VECTOR,
             predictionCol=_ASSIGNED,
-            **params,
+            maxIter=max_iter,
+            tol=tol,
         )
     )
     return Pipeline(stages=stages).fit(df)
@@ -143,6 +223,15 @@ def cluster_centers(model: PipelineModel) -> DataFrame:
         for number, center in enumerate(fitted.clusterCenters())
         for feature, value, m, s in zip(features, center, mean, std)
     ]
-    return SparkSession.active().createDataFrame(
-        rows, "cluster int, feature string, scaled double, original double"
+    return local_table(
+        SparkSession.active(),
+        rows,
+        "cluster int, feature string, scaled double, original double",
     )
+
+
+def fitted_sizes(model: PipelineModel) -> DataFrame:
+    """``cluster_sizes`` of the training rows as the fit counted them; no further pass."""
+    sizes = enumerate(model.stages[-1].summary.clusterSizes)
+    rows = sorted(((number, int(size)) for number, size in sizes), key=lambda r: (-r[1], r[0]))
+    return local_table(SparkSession.active(), rows, "cluster int, count bigint")

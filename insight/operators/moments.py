@@ -30,6 +30,9 @@ def zscore_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(*aggregates).select(F.inline(F.array(*rows)))
 
 
+MOMENTS = "_moments"
+
+
 def lookup(stats: DataFrame, columns: Sequence[str]) -> Column:
     """``zscore_stats`` as a scalar subquery: ``{c0: {mean, std}, c1: …, rows}``.
 
@@ -43,3 +46,24 @@ def lookup(stats: DataFrame, columns: Sequence[str]) -> Column:
 
     fields = [F.struct(of(c, "mean"), of(c, "std")).alias(f"c{i}") for i, c in enumerate(columns)]
     return stats.agg(F.struct(*fields, F.max("rows").alias("rows")).alias("moments")).scalar()
+
+
+def with_moments(
+    df: DataFrame,
+    columns: Sequence[str],
+    baseline: DataFrame | None = None,
+    stats: DataFrame | None = None,
+) -> DataFrame:
+    """``df`` with the statistics of the baseline (``df`` by default) as column ``MOMENTS``.
+
+    Expressions refer to that column rather than to the subquery, so the plan holds the
+    subquery once and not once per expression.
+    """
+    if stats is None:
+        stats = zscore_stats(df if baseline is None else baseline, columns)
+    return df.withColumn(MOMENTS, lookup(stats, columns))
+
+
+def moment(i: int, value: str) -> Column:
+    """``mean`` or ``std`` of the i-th column, in a DataFrame made by ``with_moments``."""
+    return F.col(MOMENTS)[f"c{i}"][value]

@@ -14,24 +14,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from insight.functions import any_of, named
-from insight.operators.moments import lookup, zscore_stats
+from insight.operators.moments import MOMENTS, lookup, moment, with_moments, zscore_stats
 
 
-def _moments(
-    df: DataFrame,
-    columns: Sequence[str],
-    baseline: DataFrame | None,
-    stats: DataFrame | None,
-) -> Column:
-    if stats is None:
-        stats = zscore_stats(df if baseline is None else baseline, columns)
-    return lookup(stats, columns)
-
-
-def _zscores(columns: Sequence[str], moments: Column) -> list[Column]:
+def _zscores(columns: Sequence[str]) -> list[Column]:
     """z per column; NULL where the standard deviation is 0 or unknown."""
     return [
-        F.try_divide(named(c) - moments[f"c{i}"]["mean"], moments[f"c{i}"]["std"])
+        F.try_divide(named(c) - moment(i, "mean"), moment(i, "std"))
         for i, c in enumerate(columns)
     ]
 
@@ -52,8 +41,8 @@ def add_zscores(
     suffix: str = "_z",
 ) -> DataFrame:
     """Add ``<column><suffix>`` to every row; ``baseline`` is ``df`` itself by default."""
-    scores = _zscores(columns, _moments(df, columns, baseline, stats))
-    return df.withColumns({c + suffix: score for c, score in zip(columns, scores)})
+    scores = {c + suffix: score for c, score in zip(columns, _zscores(columns))}
+    return with_moments(df, columns, baseline, stats).withColumns(scores).drop(MOMENTS)
 
 
 def flag_outliers(
@@ -99,18 +88,20 @@ def outlier_report(
     """
     if scope not in ("all", "clean"):
         raise ValueError(f"scope must be 'all' or 'clean', not {scope!r}")
-    moments = _moments(df, columns, baseline, stats)
+    if stats is None:
+        stats = zscore_stats(df if baseline is None else baseline, columns)
+    rows_used = lookup(stats, columns)["rows"]
     examined = df if scope == "all" or baseline is None else baseline
-    counted = examined.agg(
+    counted = with_moments(examined, columns, stats=stats).agg(
         F.count(F.lit(1)).alias("rows_examined"),
-        F.count_if(_verdict(_zscores(columns, moments), z)).alias("outlier_count"),
+        F.count_if(_verdict(_zscores(columns), z)).alias("outlier_count"),
     )
     return counted.select(
         F.lit(float(z)).alias("z_threshold"),
         "rows_examined",
-        moments["rows"].alias("total_rows_used"),
+        rows_used.alias("total_rows_used"),
         "outlier_count",
         F.coalesce(
-            F.try_divide(F.col("outlier_count"), moments["rows"]), F.lit(0.0)
+            F.try_divide(F.col("outlier_count"), rows_used), F.lit(0.0)
         ).alias("outlier_ratio"),
     )

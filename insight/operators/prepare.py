@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from insight.functions import Range, all_of, hash_bucket, named, present
-from insight.operators.moments import lookup, zscore_stats
+from insight.operators.moments import MOMENTS, moment, with_moments
 
 TRAIN, TEST = "train", "test"
 
@@ -88,18 +88,15 @@ def standardize(
     A constant column becomes 0.0. The baseline is ``df`` itself by default; ``stats`` takes
     its ``zscore_stats`` where these are at hand.
     """
-    if stats is None:
-        stats = zscore_stats(df if baseline is None else baseline, columns)
-    moments = lookup(stats, columns)
     scaled = {}
     for i, c in enumerate(columns):
-        value, mean, std = named(c), moments[f"c{i}"]["mean"], moments[f"c{i}"]["std"]
+        value, mean, std = named(c), moment(i, "mean"), moment(i, "std")
         constant = F.coalesce(std, F.lit(0.0)) == 0.0
         scaled[c + suffix] = F.when(
             value.isNotNull(),
             F.when(constant, 0.0).otherwise(F.try_divide(value - mean, std)),
         )
-    return df.withColumns(scaled)
+    return with_moments(df, columns, baseline, stats).withColumns(scaled).drop(MOMENTS)
 
 
 def assemble(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from insight.functions import named
+from insight.sources import local_table
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
@@ -41,10 +42,6 @@ def _extreme_type(df: DataFrame, columns: Sequence[str]) -> T.DataType:
     return T.DoubleType()
 
 
-def _empty(df: DataFrame, schema: str) -> DataFrame:
-    return df.sparkSession.createDataFrame([], schema)
-
-
 def _per_column(df: DataFrame, aggregates: list[Column], rows: list[Column]) -> DataFrame:
     """One aggregate over the whole table, then one output row per entry of ``rows``."""
     return df.agg(*aggregates).select(F.inline(F.array(*rows)))
@@ -61,7 +58,7 @@ def table_summary(df: DataFrame) -> DataFrame:
 def schema_table(df: DataFrame) -> DataFrame:
     """``(ordinal, column, type)`` from the metadata; no job runs over the data."""
     rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
-    return df.sparkSession.createDataFrame(rows, "ordinal int, column string, type string")
+    return local_table(df.sparkSession, rows, "ordinal int, column string, type string")
 
 
 def null_counts(
@@ -73,7 +70,7 @@ def null_counts(
     """
     chosen = _chosen(df, columns, missing)
     if not chosen:
-        return _empty(df, "ordinal int, column string, null_count bigint")
+        return local_table(df.sparkSession, [], "ordinal int, column string, null_count bigint")
     aggregates = [F.count(F.lit(1)).alias("rows")]
     rows = []
     for c in chosen:
@@ -115,7 +112,7 @@ def numeric_summary(
     extreme = _extreme_type(df, chosen)
     if not chosen:
         kind = extreme.simpleString()
-        return _empty(df, f"column string, min {kind}, max {kind}, mean double")
+        return local_table(df.sparkSession, [], f"column string, min {kind}, max {kind}, mean double")
     aggregates, rows = [], []
     for i, c in enumerate(chosen):
         aggregates += [
@@ -141,7 +138,7 @@ def top_values(df: DataFrame, column: str, k: int = 10, missing: str = "error")
     shuffle, so one value in a third of all rows is one record per task there.
     """
     if not _chosen(df, [column], missing):
-        return _empty(df, "value string, count bigint")
+        return local_table(df.sparkSession, [], "value string, count bigint")
     return (
         df.groupBy(named(column).alias("value"))
         .count()
@@ -231,7 +228,7 @@ def profile(
         numeric_summary=columns.where(F.col("column").isin(wanted)).select(
             "column", "min", "max", "mean"
         ),
-        top_values=_empty(df, "value string, count bigint")
+        top_values=local_table(df.sparkSession, [], "value string, count bigint")
         if category is None
         else top_values(df, category, top_k, missing),
     )

@@ -18,13 +18,13 @@ from insight.operators import (
     classification_metrics,
     clean,
     cluster_centers,
-    cluster_sizes,
     coefficients,
     column_profile,
     confusion_matrix,
     fit_classifier,
     fit_clusters,
     fit_regression,
+    fitted_sizes,
     outlier_report,
     outliers,
     part,
@@ -37,7 +37,7 @@ from insight.operators import (
     zscore_stats,
 )
 from insight.plans.analysis import AnalysisPlan
-from insight.sources import sample_rows, write_report
+from insight.sources import local_table, sample_rows, settled, write_report
 
 ANALYSES = ("stats", "regression", "classification", "kmeans", "outliers")
 
@@ -86,7 +86,7 @@ def run_analyses(
     shared = _shared(df, plan, models) if models else df
     if models and storage is not None:
         shared = shared.persist(storage)
-    run = AnalysisRun(status=df.sparkSession.createDataFrame([], _STATUS))
+    run = AnalysisRun(status=local_table(df.sparkSession, [], _STATUS))
     status = []
     failed = False
     try:
@@ -111,7 +111,7 @@ def run_analyses(
     finally:
         if models and storage is not None:
             shared.unpersist()
-    run.status = df.sparkSession.createDataFrame(status, _STATUS)
+    run.status = local_table(df.sparkSession, status, _STATUS)
     if output is not None:
         write_report(run.status, f"{output}/status")
     return run
@@ -129,11 +129,6 @@ def _shared(df: DataFrame, plan: AnalysisPlan, names: list[str]) -> DataFrame:
     return df.transform(plan.derive).select(*[named(c) for c in needed])
 
 
-def _settled(report: DataFrame) -> DataFrame:
-    """The report computed now, as a local table. For reports bounded by their kind only."""
-    return report.sparkSession.createDataFrame(report.collect(), report.schema)
-
-
 def _write(output: str, name: str, step: dict[str, DataFrame]) -> None:
     for report, frame in step.items():
         target = f"{output}/{name}/{report}"
@@ -146,7 +141,7 @@ def _write(output: str, name: str, step: dict[str, DataFrame]) -> None:
 def _stats(df: DataFrame, plan: AnalysisPlan, storage: StorageLevel | None):
     spec = plan.stats
     numeric = None if spec.numeric is None else list(spec.numeric)
-    columns = _settled(column_profile(df, numeric, missing="skip"))
+    columns = settled(column_profile(df, numeric, missing="skip"))
     reports = {
         "schema": schema_table(df),
         "columns": columns,
@@ -158,7 +153,7 @@ def _stats(df: DataFrame, plan: AnalysisPlan, storage: StorageLevel | None):
         .select("column", "null_count"),
     }
     if spec.category is not None:
-        reports["top_values"] = _settled(
+        reports["top_values"] = settled(
             top_values(df, spec.category, spec.top_k, missing="skip")
         )
     reports["sample"] = sample_rows(df, spec.sample)
@@ -181,9 +176,9 @@ def _regression(df: DataFrame, plan: AnalysisPlan, storage: StorageLevel | None)
     model = fit_regression(part(rows, "train"), spec.features, spec.label)
     scored = predict(model, rows)
     return {
-        "metrics": _settled(regression_metrics(scored, spec.label, by=["split"])),
+        "metrics": settled(regression_metrics(scored, spec.label, by=["split"])),
         "coefficients": coefficients(model),
-        "sample": _settled(
+        "sample": settled(
             sample_rows(
                 part(scored, "test").select(named(spec.label).alias("label"), "prediction"),
                 spec.sample,
@@ -198,15 +193,15 @@ def _classification(df: DataFrame, plan: AnalysisPlan, storage: StorageLevel | N
     model = fit_classifier(part(rows, "train"), spec.features, spec.label, spec.max_iter)
     scored = predict(model, rows)
     # One pass over the scored rows; metrics, confusion and balance all follow from it.
-    cells = _settled(confusion_matrix(scored, spec.label, by=["split"]))
+    cells = settled(confusion_matrix(scored, spec.label, by=["split"]))
     return {
-        "metrics": _settled(classification_metrics(cells, by=["split"], weight="count")),
+        "metrics": settled(classification_metrics(cells, by=["split"], weight="count")),
         "confusion": cells,
-        "class_balance": _settled(
+        "class_balance": settled(
             cells.groupBy("label").agg(F.sum("count").alias("count")).orderBy("label")
         ),
         "coefficients": coefficients(model),
-        "sample": _settled(
+        "sample": settled(
             sample_rows(
                 part(scored, "test").select(
                     named(spec.label).alias("label"), "prediction", "probability"
@@ -227,10 +222,10 @@ def _kmeans(df: DataFrame, plan: AnalysisPlan, storage: StorageLevel | None):
         points = points.persist(storage)
     try:
         return {
-            "metrics": _settled(silhouette(points, [f + "_scaled" for f in spec.features])),
-            "sizes": _settled(cluster_sizes(points)),
+            "metrics": settled(silhouette(points, [f + "_scaled" for f in spec.features])),
+            "sizes": fitted_sizes(model),
             "centers": cluster_centers(model),
-            "sample": _settled(
+            "sample": settled(
                 sample_rows(
                     assigned.select(*[named(f) for f in spec.features], "cluster"), spec.sample
                 )
@@ -244,17 +239,17 @@ def _kmeans(df: DataFrame, plan: AnalysisPlan, storage: StorageLevel | None):
 def _outliers(df: DataFrame, plan: AnalysisPlan, storage: StorageLevel | None):
     spec = plan.outliers
     baseline = clean(df, spec.columns, spec.rules, spec.require)
-    stats = _settled(zscore_stats(baseline, spec.columns))
+    stats = settled(zscore_stats(baseline, spec.columns))
     examined = df if spec.scope == "all" else baseline
     found = outliers(
         examined.select(*[named(c) for c in spec.columns]), spec.columns, spec.z, stats=stats
     )
     return {
-        "metrics": _settled(
+        "metrics": settled(
             outlier_report(df, spec.columns, spec.z, baseline, stats, spec.scope)
         ),
         "moments": stats,
-        "sample": _settled(sample_rows(found, spec.sample)),
+        "sample": settled(sample_rows(found, spec.sample)),
     }
 
 

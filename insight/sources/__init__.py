@@ -1,5 +1,13 @@
 """Sources and sinks."""
 
+from insight.sources.local import local_table, settled
 from insight.sources.tables import read_table, sample_rows, write_report, write_sample
 
-__all__ = ["read_table", "sample_rows", "write_report", "write_sample"]
+__all__ = [
+    "local_table",
+    "read_table",
+    "sample_rows",
+    "settled",
+    "write_report",
+    "write_sample",
+]
