@@ -65,8 +65,8 @@ def fit_regression(df: DataFrame, features: Sequence[str], label: str = "label")
         )
     columns = [*features, label]
     mean, cov = _covariance(df, columns, np.zeros(len(columns)))
-    if np.any((np.diag(cov) > 0) & (np.diag(cov) < 1e-6 * mean**2)):
-        # Far from zero compared with their spread: sum again, around the means.
+    if np.any(np.diag(cov) < 1e-6 * mean**2):
+        # Far from zero compared with the spread: the digits are lost. Sum around the means.
         mean, cov = _covariance(df, columns, mean)
     x = slice(0, len(features))
     std = np.sqrt(np.clip(np.diag(cov)[x], 0.0, None))
@@ -97,8 +97,9 @@ def _covariance(
         raise ValueError(f"{sums['absent']} rows lack one of {list(columns)}; clean them first")
     mean = np.array([sums[f"s{i}"] for i in range(len(x))]) / sums["rows"]
     cov = np.empty((len(x), len(x)))
-    for i, j in pairs:
-        cov[i, j] = cov[j, i] = sums[f"s{i}_{j}"] / sums["rows"] - mean[i] * mean[j]
+    with np.errstate(invalid="ignore"):
+        for i, j in pairs:
+            cov[i, j] = cov[j, i] = sums[f"s{i}_{j}"] / sums["rows"] - mean[i] * mean[j]
     if not np.isfinite(cov).all():
         raise ValueError(f"infinite values among {list(columns)}; clean them first")
     return mean + origin, cov

@@ -5,13 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from insight.functions import named
-from insight.sources import local_table
+from insight.sources import local_table, settled
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
@@ -188,7 +187,7 @@ def column_profile(
 
 @dataclass(frozen=True)
 class Profile:
-    """The tables of a profile, all lazy. ``columns`` is computed once and kept."""
+    """The tables of a profile."""
 
     schema: DataFrame
     columns: DataFrame
@@ -198,10 +197,6 @@ class Profile:
     numeric_summary: DataFrame
     top_values: DataFrame
 
-    def release(self) -> None:
-        """Drop the kept column statistics; the tables remain usable."""
-        self.columns.unpersist()
-
 
 def profile(
     df: DataFrame,
@@ -211,14 +206,15 @@ def profile(
     top_k: int = 10,
     missing: str = "skip",
 ) -> Profile:
-    """The whole profile with two passes at most: one for all columns, one for ``category``.
+    """The whole profile with two passes: one over all columns, one over ``category`` alone.
 
-    What is kept between the tables is one row per column of ``df``.
+    The first runs now. It leaves one row per column of ``df``, from which all tables but
+    ``top_values`` are made; that one is lazy.
     """
-    columns = column_profile(df, numeric, missing).persist(StorageLevel.MEMORY_AND_DISK)
+    columns = settled(column_profile(df, numeric, missing))
     wanted = _numeric(df, df.columns) if numeric is None else _chosen(df, numeric, missing)
     return Profile(
-        schema=schema_table(df),
+        schema=columns.select("ordinal", "column", "type"),
         columns=columns,
         summary=columns.where("ordinal = 0").select(
             "row_count", F.lit(len(df.columns)).alias("column_count")

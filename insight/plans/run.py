@@ -19,7 +19,6 @@ from insight.operators import (
     clean,
     cluster_centers,
     coefficients,
-    column_profile,
     confusion_matrix,
     fit_classifier,
     fit_clusters,
@@ -29,11 +28,10 @@ from insight.operators import (
     outliers,
     part,
     predict,
+    profile,
     regression_metrics,
-    schema_table,
     silhouette,
     split_hash,
-    top_values,
     zscore_stats,
 )
 from insight.plans.analysis import AnalysisPlan
@@ -140,24 +138,15 @@ def _write(output: str, name: str, step: dict[str, DataFrame]) -> None:
 
 def _stats(df: DataFrame, plan: AnalysisPlan, storage: StorageLevel | None):
     spec = plan.stats
-    numeric = None if spec.numeric is None else list(spec.numeric)
-    columns = settled(column_profile(df, numeric, missing="skip"))
-    reports = {
-        "schema": schema_table(df),
-        "columns": columns,
-        "summary": columns.where("ordinal = 0").select(
-            "row_count", F.lit(len(df.columns)).alias("column_count")
-        ),
-        "top_null_columns": columns.orderBy(F.desc("null_count"), "ordinal")
-        .limit(spec.top_nulls)
-        .select("column", "null_count"),
+    report = profile(df, spec.numeric, spec.category, spec.top_nulls, spec.top_k)
+    return {
+        "columns": report.columns,
+        "summary": report.summary,
+        "top_null_columns": report.top_null_columns,
+        "numeric_summary": report.numeric_summary,
+        "top_values": settled(report.top_values),
+        "sample": sample_rows(df, spec.sample),
     }
-    if spec.category is not None:
-        reports["top_values"] = settled(
-            top_values(df, spec.category, spec.top_k, missing="skip")
-        )
-    reports["sample"] = sample_rows(df, spec.sample)
-    return reports
 
 
 def _training_rows(df: DataFrame, plan: AnalysisPlan, spec) -> DataFrame:

@@ -1,0 +1,85 @@
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from insight import Range, elapsed, encode_label
+from insight.functions import all_of, any_of, hash_bucket, named
+
+
+def values(df):
+    return [tuple(r) for r in df.collect()]
+
+
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp"])
+def test_elapsed_drops_fractions_towards_zero(spark, kind):
+    rows = [
+        (1, "2024-01-01 00:00:00.9", "2024-01-01 00:01:01.1"),  # 61 whole seconds, not 60.2
+        (2, "1969-12-31 23:59:58.5", "1970-01-01 00:00:00"),  # -1, not -2
+        (3, "2024-01-01 00:02:00", "2024-01-01 00:00:00"),
+        (4, None, "2024-01-01 00:00:00"),
+    ]
+    df = spark.createDataFrame(rows, "i int, s string, e string")
+    df = df.select("i", F.col("s").cast(kind), F.col("e").cast(kind)).orderBy("i")
+    minutes = [r[0] for r in df.select(elapsed("s", "e")).collect()]
+    assert minutes == [61 / 60, 1 / 60, -2.0, None]
+    assert df.select(elapsed(F.col("s"), F.col("e"), 1)).first()[0] == 61.0
+
+
+def test_elapsed_takes_time_objects(spark):
+    df = spark.createDataFrame([(datetime(2024, 1, 1), datetime(2024, 1, 2))], ["a", "b"])
+    assert df.select(elapsed("a", "b", 86400)).first()[0] == 1.0
+
+
+def test_encode_label_leaves_other_values_null(spark):
+    df = spark.createDataFrame([(1,), (2,), (3,), (None,)], "p int")
+    encoded = df.select(encode_label("p", {1: 1.0, 2: 0.0}).alias("l"))
+    assert [r[0] for r in encoded.collect()] == [1.0, 0.0, None, None]
+    assert encoded.dtypes == [("l", "double")]
+
+
+def test_encode_label_of_text(spark):
+    df = spark.createDataFrame([("yes",), ("no",)], "p string")
+    got = df.select(encode_label(F.col("p"), {"yes": 1, "no": 0})).collect()
+    assert [r[0] for r in got] == [1.0, 0.0]
+
+
+def test_range_bounds(spark):
+    df = spark.createDataFrame([(0.0,), (1.0,), (5.0,), (10.0,), (None,)], "x double")
+
+    def kept(rule):
+        return [r[0] for r in df.where(rule.condition()).collect()]
+
+    assert kept(Range("x", gt=0, lt=10)) == [1.0, 5.0]
+    assert kept(Range("x", ge=0, le=10)) == [0.0, 1.0, 5.0, 10.0]
+    assert kept(Range("x", gt=4)) == [5.0, 10.0]
+    assert len(kept(Range("x"))) == 5
+
+
+def test_three_valued_logic(spark):
+    df = spark.createDataFrame([(None, True), (None, False), (True, None)], "a boolean, b boolean")
+    got = [r[0] for r in df.select(any_of([F.col("a"), F.col("b")])).collect()]
+    assert got == [True, None, True]
+    assert spark.range(1).select(all_of([]), any_of([])).first()[:] == (True, False)
+
+
+def test_named_quotes_dots_and_backticks(spark):
+    df = spark.createDataFrame([(1, 2)], ["a.b", "c`d"])
+    assert values(df.select(named("a.b"), named("c`d"))) == [(1, 2)]
+
+
+@pytest.mark.parametrize("algorithm", ["md5", "xxhash64"])
+def test_hash_bucket_is_a_percentage(spark, algorithm):
+    df = spark.range(20_000).select(hash_bucket(["id"], algorithm).alias("b"))
+    low, high, share = df.agg(
+        F.min("b"), F.max("b"), F.avg((F.col("b") < 80).cast("int"))
+    ).first()
+    assert (low, high) == (0, 99)
+    assert abs(share - 0.8) < 0.02
+
+
+def test_hash_bucket_rejects_bad_arguments(spark):
+    with pytest.raises(ValueError):
+        hash_bucket([])
+    with pytest.raises(ValueError):
+        hash_bucket(["a"], "crc32")

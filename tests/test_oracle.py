@@ -1,0 +1,49 @@
+"""Every registered query against the same query in DuckDB, on the smallest tables."""
+
+import math
+from pathlib import Path
+
+import duckdb
+import pytest
+
+import __spark_entry__ as contract
+
+FOLDER = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no driver tables")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for file in Path(FOLDER).glob("*.parquet"):
+        connection.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
+    return connection
+
+
+def canonical(names, rows):
+    order = sorted(range(len(names)), key=lambda i: names[i])
+
+    def text(value):
+        return "NaN" if isinstance(value, float) and math.isnan(value) else repr(value)
+
+    return sorted(names), sorted(tuple(text(row[i]) for i in order) for row in rows)
+
+
+@pytest.mark.parametrize("name", list(contract.queries()))
+def test_query(spark, duck, name):
+    df = contract.queries()[name](spark, FOLDER)
+    got = canonical(df.columns, [tuple(r) for r in df.collect()])
+    if name not in contract.oracle_sql():
+        assert got[1]
+        return
+    result = duck.execute(contract.oracle_sql()[name])
+    names = [column[0] for column in result.description]
+    assert got == canonical(names, result.fetchall())
+
+
+def test_entry(spark):
+    assert contract.entry(spark).count() == 1
+
+
+def test_every_oracle_has_a_query():
+    assert set(contract.oracle_sql()) <= set(contract.queries())
