@@ -37,25 +37,19 @@ def _trips(spark: SparkSession, folder: str) -> DataFrame:
     joined = _table(spark, folder, "lineitem").join(
         _table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
     )
-    part_key, price = F.col("l_partkey"), F.col("l_extendedprice")
-    return joined.select(
+    return joined.selectExpr(
         *TRIP_KEYS,
-        F.col("o_orderdate").alias("pickup"),
-        F.when(part_key % 97 != 0, F.col("l_shipdate")).alias("dropoff"),
-        F.when(F.col("l_suppkey") % 50 == 0, 0.0)
-        .when(part_key % 89 == 0, float("nan"))
-        .otherwise(F.col("l_quantity"))
-        .alias("trip_distance"),
-        F.when(part_key % 17 != 0, F.col("l_linenumber")).alias("passenger_count"),
-        price.alias("fare_amount"),
-        (price * F.col("l_discount")).alias("tip_amount"),
-        F.when(part_key % 23 != 0, price * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))).alias(
-            "total_amount"
-        ),
-        F.when(F.col("l_returnflag") == "A", 1)
-        .when(F.col("l_returnflag") == "R", 2)
-        .when(F.col("l_linenumber") != 7, 3)
-        .alias("payment_type"),
+        "o_orderdate AS pickup",
+        "CASE WHEN l_partkey % 97 <> 0 THEN l_shipdate END AS dropoff",
+        """CASE WHEN l_suppkey % 50 = 0 THEN 0D WHEN l_partkey % 89 = 0 THEN double('NaN')
+             ELSE l_quantity END AS trip_distance""",
+        "CASE WHEN l_partkey % 17 <> 0 THEN l_linenumber END AS passenger_count",
+        "l_extendedprice AS fare_amount",
+        "l_extendedprice * l_discount AS tip_amount",
+        """CASE WHEN l_partkey % 23 <> 0
+             THEN l_extendedprice * (1 - l_discount) * (1 + l_tax) END AS total_amount""",
+        """CASE WHEN l_returnflag = 'A' THEN 1 WHEN l_returnflag = 'R' THEN 2
+             WHEN l_linenumber <> 7 THEN 3 END AS payment_type""",
     )
 
 
@@ -75,7 +69,7 @@ def _cleaned(spark: SparkSession, folder: str, analysis: str, extra: tuple = ())
 
 def _rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     """Floats rounded, so that both engines agree on their text; no negative zero."""
-    return df.withColumns({c: F.round(F.col(c), digits) + F.lit(0.0) for c in columns})
+    return df.withColumns({c: F.expr(f"round({c}, {digits}) + 0D") for c in columns})
 
 
 def _clicks(spark: SparkSession, folder: str) -> DataFrame:

@@ -7,6 +7,8 @@ from insight.functions.columns import (
     elapsed,
     encode_label,
     hash_bucket,
+    ident,
+    literal,
     named,
     present,
 )
@@ -18,6 +20,8 @@ __all__ = [
     "elapsed",
     "encode_label",
     "hash_bucket",
+    "ident",
+    "literal",
     "named",
     "present",
 ]

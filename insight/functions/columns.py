@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -13,29 +13,44 @@ from pyspark.sql import types as T
 
 def named(name: str) -> Column:
     """The top-level column called ``name``, also when the name holds dots or backticks."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(ident(name))
 
 
-def all_of(conditions: Iterable[Column]) -> Column:
+def ident(name: str) -> str:
+    """The same as SQL text. Operators write expressions over many columns as one SQL text:
+    Spark parses it at once, while each Column operation is a call into the JVM."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def literal(value: bool | float | str) -> str:
+    """A number, truth value or text as SQL text; floats keep every digit."""
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if isinstance(value, float):
+        return f"{value!r}D" if math.isfinite(value) else f"double('{value}')"
+    return str(value)
+
+
+def all_of(conditions: Iterable[str]) -> str:
     """Conjunction; true when there is no condition."""
-    return reduce(lambda a, b: a & b, conditions, F.lit(True))
+    return " AND ".join(f"({c})" for c in conditions) or "true"
 
 
-def any_of(conditions: Iterable[Column]) -> Column:
+def any_of(conditions: Iterable[str]) -> str:
     """Disjunction in three-valued logic: true OR null is true, false OR null is null."""
-    return reduce(lambda a, b: a | b, conditions, F.lit(False))
+    return " OR ".join(f"({c})" for c in conditions) or "false"
 
 
-def present(field: T.StructField) -> Column:
+def present(field: T.StructField) -> str:
     """True where the column is neither null nor, for floating point types, NaN.
 
-    Says what ``dropna`` says, but as plain comparisons, so that ``IsNotNull`` reaches
-    the Parquet reader.
+    Says what ``dropna`` says, but as plain comparisons, so that ``IsNotNull`` reaches the
+    Parquet reader.
     """
-    column = named(field.name)
+    column = ident(field.name)
     if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-        return column.isNotNull() & ~F.isnan(column)
-    return column.isNotNull()
+        return f"{column} IS NOT NULL AND NOT isnan({column})"
+    return f"{column} IS NOT NULL"
 
 
 def elapsed(start: str | Column, end: str | Column, unit_seconds: float = 60.0) -> Column:
@@ -67,18 +82,13 @@ class Range:
     lt: float | None = None
     le: float | None = None
 
-    def condition(self) -> Column:
-        value = named(self.column)
-        bounds = []
-        if self.gt is not None:
-            bounds.append(value > self.gt)
-        if self.ge is not None:
-            bounds.append(value >= self.ge)
-        if self.lt is not None:
-            bounds.append(value < self.lt)
-        if self.le is not None:
-            bounds.append(value <= self.le)
-        return all_of(bounds)
+    def condition(self) -> str:
+        bounds = ((">", self.gt), (">=", self.ge), ("<", self.lt), ("<=", self.le))
+        return all_of(
+            f"{ident(self.column)} {sign} {literal(bound)}"
+            for sign, bound in bounds
+            if bound is not None
+        )
 
 
 def hash_bucket(keys: Sequence[str], algorithm: str = "md5") -> Column:
@@ -90,9 +100,11 @@ def hash_bucket(keys: Sequence[str], algorithm: str = "md5") -> Column:
     """
     if not keys:
         raise ValueError("name at least one key column")
+    columns = [ident(k) for k in keys]
     if algorithm == "xxhash64":
-        return F.pmod(F.xxhash64(*[named(k) for k in keys]), F.lit(100)).cast("int")
+        return F.expr(f"CAST(pmod(xxhash64({', '.join(columns)}), 100) AS int)")
     if algorithm != "md5":
         raise ValueError(f"unknown hash algorithm: {algorithm!r}")
-    text = F.concat_ws("|", *[F.coalesce(named(k).cast("string"), F.lit("")) for k in keys])
-    return (F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % 100).cast("int")
+    text = ", ".join(f"coalesce(CAST({c} AS string), '')" for c in columns)
+    digits = f"substring(md5(concat_ws('|', {text})), 1, 8)"
+    return F.expr(f"CAST(CAST(conv({digits}, 16, 10) AS bigint) % 100 AS int)")

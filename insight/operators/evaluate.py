@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from functools import reduce
 from itertools import islice
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from insight.functions import all_of, named, present
+from insight.functions import all_of, ident, literal, named, present
 from insight.operators.scratch import checkpointed
 
 # Clusters times features that are written into one expression (see silhouette).
@@ -26,16 +25,15 @@ def regression_metrics(
 
     Rows without label or prediction do not count. ``r2`` is NULL if the label is constant.
     """
-    y, p = named(label).cast("double"), named(prediction).cast("double")
-    error = F.pow(y - p, F.lit(2.0))
-    spread = F.count(y) * F.var_pop(y)
+    y, p = ident(label), ident(prediction)
+    error = f"power({y} - {p}, 2D)"
     return (
-        df.where(y.isNotNull() & p.isNotNull())
-        .groupBy(*[named(c) for c in by])
+        df.where(f"{y} IS NOT NULL AND {p} IS NOT NULL")
+        .groupBy(*map(named, by))
         .agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.sqrt(F.avg(error)).alias("rmse"),
-            (1.0 - F.try_divide(F.sum(error), spread)).alias("r2"),
+            F.expr("count(1) AS rows"),
+            F.expr(f"sqrt(avg({error})) AS rmse"),
+            F.expr(f"1D - try_divide(sum({error}), count({y}) * var_pop({y})) AS r2"),
         )
     )
 
@@ -47,16 +45,12 @@ def confusion_matrix(
     by: Sequence[str] = (),
 ) -> DataFrame:
     """``(label, prediction, count)`` with integer classes, in order; only cells that occur."""
-    groups = [named(c) for c in by]
-    return (
-        df.groupBy(
-            *groups,
-            named(label).cast("int").alias("label"),
-            named(prediction).cast("int").alias("prediction"),
-        )
-        .agg(F.count(F.lit(1)).alias("count"))
-        .orderBy(*groups, "label", "prediction")
-    )
+    keys = [
+        *map(named, by),
+        F.expr(f"CAST({ident(label)} AS int) AS label"),
+        F.expr(f"CAST({ident(prediction)} AS int) AS prediction"),
+    ]
+    return df.groupBy(*keys).count().orderBy(*map(ident, by), "label", "prediction")
 
 
 def classification_metrics(
@@ -72,40 +66,36 @@ def classification_metrics(
     records. Rows without label or prediction do not count. ``weight`` names a column that
     says how many rows a record stands for, such as ``count`` of a ``confusion_matrix``.
     """
-    groups = [named(c) for c in by]
-    seen = df.where(named(label).isNotNull() & named(prediction).isNotNull())
-    cells = seen.groupBy(
-        *groups, named(label).alias("label"), named(prediction).alias("prediction")
-    ).agg((F.count(F.lit(1)) if weight is None else F.sum(named(weight))).alias("count"))
-    as_label = F.struct(
-        F.col("label").cast("double").alias("class"),
-        F.col("count").alias("support"),
-        F.lit(0).cast("bigint").alias("predicted"),
-        F.when(F.col("label") == F.col("prediction"), F.col("count"))
-        .otherwise(0)
-        .cast("bigint")
-        .alias("hits"),
-    )
-    as_prediction = F.struct(
-        F.col("prediction").cast("double").alias("class"),
-        F.lit(0).cast("bigint").alias("support"),
-        F.col("count").alias("predicted"),
-        F.lit(0).cast("bigint").alias("hits"),
+    groups = [ident(c) for c in by]
+    l, p = ident(label), ident(prediction)
+    cells = (
+        df.where(f"{l} IS NOT NULL AND {p} IS NOT NULL")
+        .groupBy(*groups, F.expr(f"{l} AS label"), F.expr(f"{p} AS prediction"))
+        .agg(F.expr(f"{'count(1)' if weight is None else f'sum({ident(weight)})'} AS n"))
     )
+    # Each cell counts once for its label and once for its prediction.
     per_class = (
-        cells.select(*groups, F.inline(F.array(as_label, as_prediction)))
+        cells.selectExpr(
+            *groups,
+            """inline(array(
+                 struct(CAST(label AS double) AS class, n AS support, 0L AS predicted,
+                        if(label = prediction, n, 0L) AS hits),
+                 struct(CAST(prediction AS double) AS class, 0L AS support, n AS predicted,
+                        0L AS hits)))""",
+        )
         .groupBy(*groups, "class")
         .agg(
-            F.sum("support").alias("support"),
-            F.sum("predicted").alias("predicted"),
-            F.sum("hits").alias("hits"),
+            F.expr("sum(support) AS support"),
+            F.expr("sum(predicted) AS predicted"),
+            F.expr("sum(hits) AS hits"),
         )
     )
-    f1 = 2.0 * F.col("hits") / (F.col("support") + F.col("predicted"))
     return per_class.groupBy(*groups).agg(
-        F.coalesce(F.sum("support"), F.lit(0)).alias("rows"),
-        F.try_divide(F.sum("hits"), F.sum("support")).alias("accuracy"),
-        F.try_divide(F.sum(F.col("support") * f1), F.sum("support")).alias("f1"),
+        F.expr("coalesce(sum(support), 0L) AS rows"),
+        F.expr("try_divide(sum(hits), sum(support)) AS accuracy"),
+        F.expr(
+            "try_divide(sum(support * 2D * hits / (support + predicted)), sum(support)) AS f1"
+        ),
     )
 
 
@@ -127,19 +117,13 @@ def cluster_sizes(df: DataFrame, cluster: str = "cluster") -> DataFrame:
     )
 
 
-def _sum(columns: Iterable[Column]) -> Column:
-    return reduce(lambda a, b: a + b, columns)
-
-
 def _blocks(rows: Iterable[Row], size: int) -> Iterable[list[Row]]:
     rows = iter(rows)
     while block := list(islice(rows, size)):
         yield block
 
 
-def silhouette(
-    df: DataFrame, features: Sequence[str], cluster: str = "cluster"
-) -> DataFrame:
+def silhouette(df: DataFrame, features: Sequence[str], cluster: str = "cluster") -> DataFrame:
     """One row ``(rows, clusters, silhouette)``: the mean silhouette, squared Euclidean.
 
     Linear in the rows. The mean squared distance from a point to a cluster is its squared
@@ -152,73 +136,63 @@ def silhouette(
     clusters take several passes over the rows, checkpointed in between, so that neither the
     driver nor a task ever holds them all.
     """
-    wanted = [*features, cluster]
-    points = df.where(all_of([present(df.schema[c]) for c in wanted])).select(
-        *[named(c).cast("double").alias(f"x{i}") for i, c in enumerate(features)],
-        named(cluster).alias("cluster"),
+    x = [f"x{i}" for i in range(len(features))]
+    points = df.where(all_of(present(df.schema[c]) for c in [*features, cluster])).selectExpr(
+        *[f"CAST({ident(c)} AS double) AS {n}" for c, n in zip(features, x)],
+        f"CAST({ident(cluster)} AS string) AS cluster",
     )
-    x = [F.col(f"x{i}") for i in range(len(features))]
     stats = points.groupBy("cluster").agg(
-        F.count(F.lit(1)).alias("n"),
-        _sum(F.var_pop(c) for c in x).alias("variance"),
-        *[F.avg(c).alias(f"m{i}") for i, c in enumerate(x)],
+        F.expr("count(1) AS n"),
+        F.expr(" + ".join(f"var_pop({n})" for n in x) + " AS variance"),
+        *[F.expr(f"avg({n}) AS {n}") for n in x],
     )
-    scored = points.withColumns(
-        {
-            "own_n": F.lit(None).cast("bigint"),
-            "own_mean": F.lit(None).cast("double"),
-            "other_mean": F.lit(None).cast("double"),
-        }
+    scored = points.selectExpr(
+        "*",
+        "CAST(NULL AS bigint) AS own_n",
+        "CAST(NULL AS double) AS own_mean",
+        "CAST(NULL AS double) AS other_mean",
     )
-    size = max(1, TERMS_PER_PASS // max(1, len(features)))
     found = 0
-    for block in _blocks(stats.toLocalIterator(), size):
+    for block in _blocks(stats.toLocalIterator(), max(1, TERMS_PER_PASS // len(x))):
         if found:
             scored = checkpointed(scored)
         found += len(block)
         scored = _against(scored, x, block)
-    if found < 2:
-        return points.agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.lit(found).cast("bigint").alias("clusters"),
-            F.lit(None).cast("double").alias("silhouette"),
-        )
-    within = F.col("own_mean") * F.col("own_n") / (F.col("own_n") - 1)
-    nearest = F.col("other_mean")
+    within = "own_mean * own_n / (own_n - 1)"
     score = (
-        F.when(F.col("own_n") == 1, 0.0)
-        .when(F.greatest(within, nearest) == 0.0, 0.0)
-        .otherwise((nearest - within) / F.greatest(within, nearest))
+        f"CASE WHEN own_n = 1 OR greatest({within}, other_mean) = 0D THEN 0D "
+        f"ELSE (other_mean - {within}) / greatest({within}, other_mean) END"
     )
-    return scored.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.lit(found).cast("bigint").alias("clusters"),
-        F.avg(score).alias("silhouette"),
+    return scored.selectExpr(
+        "count(1) AS rows",
+        f"{found}L AS clusters",
+        f"avg({score}) AS silhouette" if found > 1 else "CAST(NULL AS double) AS silhouette",
     )
 
 
-def _against(points: DataFrame, x: Sequence[Column], block: Sequence[Row]) -> DataFrame:
+def _against(points: DataFrame, x: Sequence[str], block: Sequence[Row]) -> DataFrame:
     """Bring the best distance to another cluster, and that to the own one, up to date."""
-    own = F.col("cluster")
+    names = [literal(row["cluster"]) for row in block]
     distances = [
-        _sum((c - row[f"m{i}"]) * (c - row[f"m{i}"]) for i, c in enumerate(x)) + row["variance"]
+        " + ".join(
+            [f"({n} - {literal(row[n])}) * ({n} - {literal(row[n])})" for n in x]
+            + [literal(row["variance"])]
+        )
         for row in block
     ]
-    is_own = [own == F.lit(row["cluster"]) for row in block]
+    sizes = [f"{row['n']}L" for row in block]
 
-    def by_cluster(values: Sequence[Column], before: str) -> Column:
-        return reduce(
-            lambda rest, case: F.when(case[0], case[1]).otherwise(rest),
-            zip(is_own, values),
-            F.col(before),
-        )
+    def of_own(values: Sequence[str], before: str) -> str:
+        cases = " ".join(f"WHEN {name} THEN {value}" for name, value in zip(names, values))
+        return f"CASE cluster {cases} ELSE {before} END AS {before}"
 
-    return points.withColumns(
-        {
-            "own_n": by_cluster([F.lit(row["n"]) for row in block], "own_n"),
-            "own_mean": by_cluster(distances, "own_mean"),
-            "other_mean": F.least(
-                F.col("other_mean"), *[F.when(~o, d) for o, d in zip(is_own, distances)]
-            ),
-        }
+    others = ", ".join(
+        f"CASE WHEN cluster <> {name} THEN {d} END" for name, d in zip(names, distances)
+    )
+    return points.selectExpr(
+        *x,
+        "cluster",
+        of_own(sizes, "own_n"),
+        of_own(distances, "own_mean"),
+        f"least(other_mean, {others}) AS other_mean",
     )

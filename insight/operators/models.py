@@ -8,7 +8,6 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
@@ -20,7 +19,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from insight.functions import all_of, named, present
+from insight.functions import all_of, ident, literal, present
 from insight.sources import local_table
 
 _VECTOR, _SCALED, _RAW, _PROBABILITY = "_features", "_scaled", "_raw", "_probability"
@@ -39,8 +38,8 @@ class LinearModel:
     intercept: float
 
     def score(self) -> Column:
-        terms = [named(f).cast("double") * c for f, c in zip(self.features, self.coefficients)]
-        return reduce(lambda a, b: a + b, terms, F.lit(self.intercept))
+        terms = [f"{ident(f)} * {literal(c)}" for f, c in zip(self.features, self.coefficients)]
+        return F.expr(" + ".join([literal(self.intercept), *terms]))
 
 
 def _assembler(features: Sequence[str]) -> VectorAssembler:
@@ -83,13 +82,14 @@ def _covariance(
     df: DataFrame, columns: Sequence[str], origin: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray]:
     """Means and population covariances, from sums of products around ``origin``."""
-    x = [named(c).cast("double") - float(o) for c, o in zip(columns, origin)]
+    x = [f"(CAST({ident(c)} AS double) - {literal(float(o))})" for c, o in zip(columns, origin)]
     pairs = [(i, j) for i in range(len(x)) for j in range(i, len(x))]
-    sums = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(~all_of([present(df.schema[c]) for c in columns])).alias("absent"),
-        *[F.sum(c).alias(f"s{i}") for i, c in enumerate(x)],
-        *[F.sum(x[i] * x[j]).alias(f"s{i}_{j}") for i, j in pairs],
+    complete = all_of(present(df.schema[c]) for c in columns)
+    sums = df.selectExpr(
+        "count(1) AS rows",
+        f"count_if(NOT ({complete})) AS absent",
+        *[f"sum({c}) AS s{i}" for i, c in enumerate(x)],
+        *[f"sum({x[i]} * {x[j]}) AS s{i}_{j}" for i, j in pairs],
     ).first()
     if sums["rows"] == 0:
         raise ValueError("there are no rows to fit")

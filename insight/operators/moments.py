@@ -5,29 +5,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
-from insight.functions import named
+from insight.functions import ident, literal
 
 
 def zscore_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(column, mean, std, rows)``: sample standard deviation; all columns in one pass."""
-    aggregates = [F.count(F.lit(1)).alias("rows")]
-    rows = []
+    aggregates, rows = ["count(1) AS rows"], []
     for i, c in enumerate(columns):
-        aggregates += [
-            F.avg(named(c)).cast("double").alias(f"mean_{i}"),
-            F.stddev_samp(named(c)).alias(f"std_{i}"),
-        ]
-        rows.append(
-            F.struct(
-                F.lit(c).alias("column"),
-                F.col(f"mean_{i}").alias("mean"),
-                F.col(f"std_{i}").alias("std"),
-                F.col("rows"),
-            )
-        )
-    return df.agg(*aggregates).select(F.inline(F.array(*rows)))
+        aggregates.append(f"CAST(avg({ident(c)}) AS double) AS mean_{i}")
+        aggregates.append(f"stddev_samp({ident(c)}) AS std_{i}")
+        rows.append(f"struct({literal(c)} AS column, mean_{i} AS mean, std_{i} AS std, rows)")
+    return df.selectExpr(*aggregates).selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 MOMENTS = "_moments"
@@ -41,11 +30,12 @@ def lookup(stats: DataFrame, columns: Sequence[str]) -> Column:
     number of columns only.
     """
 
-    def of(column: str, value: str) -> Column:
-        return F.max(F.when(F.col("column") == column, F.col(value))).alias(value)
-
-    fields = [F.struct(of(c, "mean"), of(c, "std")).alias(f"c{i}") for i, c in enumerate(columns)]
-    return stats.agg(F.struct(*fields, F.max("rows").alias("rows")).alias("moments")).scalar()
+    fields = [
+        f"struct(max(CASE WHEN column = {literal(c)} THEN mean END) AS mean, "
+        f"max(CASE WHEN column = {literal(c)} THEN std END) AS std) AS c{i}"
+        for i, c in enumerate(columns)
+    ]
+    return stats.selectExpr(f"struct({', '.join(fields)}, max(rows) AS rows) AS moments").scalar()
 
 
 def with_moments(
@@ -64,6 +54,6 @@ def with_moments(
     return df.withColumn(MOMENTS, lookup(stats, columns))
 
 
-def moment(i: int, value: str) -> Column:
+def moment(i: int, value: str) -> str:
     """``mean`` or ``std`` of the i-th column, in a DataFrame made by ``with_moments``."""
-    return F.col(MOMENTS)[f"c{i}"][value]
+    return f"{MOMENTS}.c{i}.{value}"

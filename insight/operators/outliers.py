@@ -13,24 +13,21 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from insight.functions import any_of, named
+from insight.functions import any_of, ident, literal
 from insight.operators.moments import MOMENTS, lookup, moment, with_moments, zscore_stats
 
 
-def _zscores(columns: Sequence[str]) -> list[Column]:
-    """z per column; NULL where the standard deviation is 0 or unknown."""
-    return [
-        F.try_divide(named(c) - moment(i, "mean"), moment(i, "std"))
-        for i, c in enumerate(columns)
-    ]
+def _zscore(i: int, column: str) -> str:
+    """z of the i-th column; NULL where the standard deviation is 0 or unknown."""
+    return f"try_divide({ident(column)} - {moment(i, 'mean')}, {moment(i, 'std')})"
 
 
-def _verdict(zscores: Sequence[Column], z: float) -> Column:
+def _verdict(zscores: Sequence[str], z: float) -> Column:
     """True if any |z| exceeds the threshold, false if none does, NULL if that is open.
 
     NaN lies above every threshold.
     """
-    return any_of([F.abs(score) > float(z) for score in zscores])
+    return F.expr(any_of(f"abs({score}) > {literal(float(z))}" for score in zscores))
 
 
 def add_zscores(
@@ -41,7 +38,7 @@ def add_zscores(
     suffix: str = "_z",
 ) -> DataFrame:
     """Add ``<column><suffix>`` to every row; ``baseline`` is ``df`` itself by default."""
-    scores = {c + suffix: score for c, score in zip(columns, _zscores(columns))}
+    scores = {c + suffix: F.expr(_zscore(i, c)) for i, c in enumerate(columns)}
     return with_moments(df, columns, baseline, stats).withColumns(scores).drop(MOMENTS)
 
 
@@ -56,7 +53,7 @@ def flag_outliers(
 ) -> DataFrame:
     """``add_zscores`` and the verdict per row: true OR null is true, false OR null is null."""
     scored = add_zscores(df, columns, baseline, stats, suffix)
-    return scored.withColumn(flag, _verdict([named(c + suffix) for c in columns], z))
+    return scored.withColumn(flag, _verdict([ident(c + suffix) for c in columns], z))
 
 
 def outliers(
@@ -69,7 +66,7 @@ def outliers(
 ) -> DataFrame:
     """The rows whose verdict is true, with their z columns."""
     scored = add_zscores(df, columns, baseline, stats, suffix)
-    return scored.where(_verdict([named(c + suffix) for c in columns], z))
+    return scored.where(_verdict([ident(c + suffix) for c in columns], z))
 
 
 def outlier_report(
@@ -94,7 +91,9 @@ def outlier_report(
     examined = df if scope == "all" or baseline is None else baseline
     counted = with_moments(examined, columns, stats=stats).agg(
         F.count(F.lit(1)).alias("rows_examined"),
-        F.count_if(_verdict(_zscores(columns), z)).alias("outlier_count"),
+        F.count_if(_verdict([_zscore(i, c) for i, c in enumerate(columns)], z)).alias(
+            "outlier_count"
+        ),
     )
     return counted.select(
         F.lit(float(z)).alias("z_threshold"),

@@ -8,7 +8,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from insight.functions import Range, all_of, hash_bucket, named, present
+from insight.functions import Range, all_of, hash_bucket, ident, named, present
 from insight.operators.moments import MOMENTS, moment, with_moments
 
 TRAIN, TEST = "train", "test"
@@ -28,7 +28,7 @@ def clean(
     """
     kept = [present(df.schema[c]) for c in dict.fromkeys([*columns, *require])]
     bounds = [rule.condition() for rule in rules]
-    return df.where(all_of(kept + bounds)).select(*[named(c) for c in columns])
+    return df.where(all_of(kept + bounds)).select(*map(ident, columns))
 
 
 def split_hash(
@@ -90,11 +90,10 @@ def standardize(
     """
     scaled = {}
     for i, c in enumerate(columns):
-        value, mean, std = named(c), moment(i, "mean"), moment(i, "std")
-        constant = F.coalesce(std, F.lit(0.0)) == 0.0
-        scaled[c + suffix] = F.when(
-            value.isNotNull(),
-            F.when(constant, 0.0).otherwise(F.try_divide(value - mean, std)),
+        mean, std = moment(i, "mean"), moment(i, "std")
+        scaled[c + suffix] = F.expr(
+            f"CASE WHEN {ident(c)} IS NULL THEN NULL WHEN coalesce({std}, 0D) = 0D THEN 0D "
+            f"ELSE try_divide({ident(c)} - {mean}, {std}) END"
         )
     return with_moments(df, columns, baseline, stats).withColumns(scaled).drop(MOMENTS)
 

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from insight.functions import named
+from insight.functions import ident, literal, named
 from insight.sources import local_table, settled
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -41,9 +41,25 @@ def _extreme_type(df: DataFrame, columns: Sequence[str]) -> T.DataType:
     return T.DoubleType()
 
 
-def _per_column(df: DataFrame, aggregates: list[Column], rows: list[Column]) -> DataFrame:
+def _per_column(
+    df: DataFrame, aggregates: list[str], names: Sequence[str], rows: list[list[str]]
+) -> DataFrame:
     """One aggregate over the whole table, then one output row per entry of ``rows``."""
-    return df.agg(*aggregates).select(F.inline(F.array(*rows)))
+    structs = [
+        "struct(" + ", ".join(f"{value} AS `{name}`" for name, value in zip(names, row)) + ")"
+        for row in rows
+    ]
+    return df.selectExpr(*aggregates).selectExpr(f"inline(array({', '.join(structs)}))")
+
+
+def _ranges(i: int, column: str, extreme: T.DataType) -> list[str]:
+    """min, max and mean of the i-th column."""
+    kind, c = extreme.simpleString(), ident(column)
+    return [
+        f"CAST(min({c}) AS {kind}) AS min_{i}",
+        f"CAST(max({c}) AS {kind}) AS max_{i}",
+        f"CAST(avg({c}) AS double) AS mean_{i}",
+    ]
 
 
 def table_summary(df: DataFrame) -> DataFrame:
@@ -70,19 +86,13 @@ def null_counts(
     chosen = _chosen(df, columns, missing)
     if not chosen:
         return local_table(df.sparkSession, [], "ordinal int, column string, null_count bigint")
-    aggregates = [F.count(F.lit(1)).alias("rows")]
-    rows = []
-    for c in chosen:
-        i = df.columns.index(c)
-        aggregates.append(F.count(named(c)).alias(f"filled_{i}"))
-        rows.append(
-            F.struct(
-                F.lit(i).alias("ordinal"),
-                F.lit(c).alias("column"),
-                (F.col("rows") - F.col(f"filled_{i}")).alias("null_count"),
-            )
-        )
-    return _per_column(df, aggregates, rows)
+    places = [df.columns.index(c) for c in chosen]
+    return _per_column(
+        df,
+        ["count(1) AS rows", *[f"count({ident(c)}) AS filled_{i}" for i, c in zip(places, chosen)]],
+        ("ordinal", "column", "null_count"),
+        [[str(i), literal(c), f"rows - filled_{i}"] for i, c in zip(places, chosen)],
+    )
 
 
 def top_null_columns(df: DataFrame, n: int = 20) -> DataFrame:
@@ -112,22 +122,12 @@ def numeric_summary(
     if not chosen:
         kind = extreme.simpleString()
         return local_table(df.sparkSession, [], f"column string, min {kind}, max {kind}, mean double")
-    aggregates, rows = [], []
-    for i, c in enumerate(chosen):
-        aggregates += [
-            F.min(named(c)).cast(extreme).alias(f"min_{i}"),
-            F.max(named(c)).cast(extreme).alias(f"max_{i}"),
-            F.avg(named(c)).cast("double").alias(f"mean_{i}"),
-        ]
-        rows.append(
-            F.struct(
-                F.lit(c).alias("column"),
-                F.col(f"min_{i}").alias("min"),
-                F.col(f"max_{i}").alias("max"),
-                F.col(f"mean_{i}").alias("mean"),
-            )
-        )
-    return _per_column(df, aggregates, rows)
+    return _per_column(
+        df,
+        [e for i, c in enumerate(chosen) for e in _ranges(i, c, extreme)],
+        ("column", "min", "max", "mean"),
+        [[literal(c), f"min_{i}", f"max_{i}", f"mean_{i}"] for i, c in enumerate(chosen)],
+    )
 
 
 def top_values(df: DataFrame, column: str, k: int = 10, missing: str = "error") -> DataFrame:
@@ -156,33 +156,20 @@ def column_profile(
     """
     wanted = _numeric(df, df.columns) if numeric is None else _chosen(df, numeric, missing)
     extreme = _extreme_type(df, wanted)
-    aggregates = [F.count(F.lit(1)).alias("rows")]
-    rows = []
+    kind = extreme.simpleString()
+    aggregates, rows = ["count(1) AS rows"], []
     for i, field in enumerate(df.schema.fields):
-        column = named(field.name)
-        aggregates.append(F.count(column).alias(f"filled_{i}"))
-        low, high = F.lit(None).cast(extreme), F.lit(None).cast(extreme)
-        mean = F.lit(None).cast("double")
+        aggregates.append(f"count({ident(field.name)}) AS filled_{i}")
+        row = [str(i), literal(field.name), literal(field.dataType.simpleString())]
+        row += ["rows", f"rows - filled_{i}"]
         if field.name in wanted:
-            aggregates += [
-                F.min(column).cast(extreme).alias(f"min_{i}"),
-                F.max(column).cast(extreme).alias(f"max_{i}"),
-                F.avg(column).cast("double").alias(f"mean_{i}"),
-            ]
-            low, high, mean = F.col(f"min_{i}"), F.col(f"max_{i}"), F.col(f"mean_{i}")
-        rows.append(
-            F.struct(
-                F.lit(i).alias("ordinal"),
-                F.lit(field.name).alias("column"),
-                F.lit(field.dataType.simpleString()).alias("type"),
-                F.col("rows").alias("row_count"),
-                (F.col("rows") - F.col(f"filled_{i}")).alias("null_count"),
-                low.alias("min"),
-                high.alias("max"),
-                mean.alias("mean"),
-            )
-        )
-    return _per_column(df, aggregates, rows)
+            aggregates += _ranges(i, field.name, extreme)
+            row += [f"min_{i}", f"max_{i}", f"mean_{i}"]
+        else:
+            row += [f"CAST(NULL AS {kind})", f"CAST(NULL AS {kind})", "CAST(NULL AS double)"]
+        rows.append(row)
+    names = ("ordinal", "column", "type", "row_count", "null_count", "min", "max", "mean")
+    return _per_column(df, aggregates, names, rows)
 
 
 @dataclass(frozen=True)

@@ -48,8 +48,9 @@ _STATUS = (
 class AnalysisRun:
     """``status`` has one row per requested analysis; ``reports[analysis][name]`` are tables.
 
-    Every report is small whatever the input: its rows are columns, classes, clusters or
-    metrics. ``samples[analysis]`` are a few example rows.
+    Every report is computed and small whatever the input: its rows are columns, classes,
+    clusters or metrics. ``samples[analysis]`` are a few example rows: lazy, or read from
+    the output folder.
     """
 
     status: DataFrame
@@ -81,9 +82,7 @@ def run_analyses(
         raise ValueError(f"the plan does not define: {undefined}")
 
     models = [a for a in chosen if a != "stats"]
-    shared = _shared(df, plan, models) if models else df
-    if models and storage is not None:
-        shared = shared.persist(storage)
+    shared = None
     run = AnalysisRun(status=local_table(df.sparkSession, [], _STATUS))
     status = []
     failed = False
@@ -95,19 +94,20 @@ def run_analyses(
             started, clock = datetime.now(timezone.utc).isoformat(), time.monotonic()
             error = None
             try:
+                if name != "stats" and shared is None:
+                    shared = _shared(df, plan, models)
+                    shared = shared if storage is None else shared.persist(storage)
                 step = _STEPS[name](df if name == "stats" else shared, plan, storage)
-                for report, frame in step.items():
-                    if report != "sample":
-                        run.reports.setdefault(name, {})[report] = frame
-                run.samples[name] = step["sample"]
+                sample = step.pop("sample")
                 if output is not None:
-                    _write(output, name, step)
+                    sample = _written(sample, step, f"{output}/{name}")
+                run.reports[name], run.samples[name] = step, sample
             except Exception as failure:  # noqa: BLE001 - the status table reports it
                 error, failed = str(failure), True
             took = time.monotonic() - clock
             status.append((name, "failed" if failed else "done", error, started, took))
     finally:
-        if models and storage is not None:
+        if shared is not None and storage is not None:
             shared.unpersist()
     run.status = local_table(df.sparkSession, status, _STATUS)
     if output is not None:
@@ -116,7 +116,7 @@ def run_analyses(
 
 
 def _shared(df: DataFrame, plan: AnalysisPlan, names: list[str]) -> DataFrame:
-    """Only the columns that the named analyses read."""
+    """Only the columns that the named analyses read. Absent ones fail where they are used."""
     needed: dict[str, None] = {}
     for name in names:
         spec = getattr(plan, name)
@@ -124,16 +124,16 @@ def _shared(df: DataFrame, plan: AnalysisPlan, names: list[str]) -> DataFrame:
         needed |= dict.fromkeys([*spec.require, *(rule.column for rule in spec.rules)])
         if name in ("regression", "classification"):
             needed |= dict.fromkeys([spec.label, *plan.split_keys])
-    return df.transform(plan.derive).select(*[named(c) for c in needed])
+    derived = df.transform(plan.derive)
+    return derived.select(*[named(c) for c in needed if c in derived.columns])
 
 
-def _write(output: str, name: str, step: dict[str, DataFrame]) -> None:
-    for report, frame in step.items():
-        target = f"{output}/{name}/{report}"
-        if report == "sample":
-            frame.write.mode("overwrite").parquet(target)
-        else:
-            write_report(frame, target)
+def _written(sample: DataFrame, reports: dict[str, DataFrame], folder: str) -> DataFrame:
+    """Write the outcome of one analysis; the sample then comes from its file."""
+    for name, report in reports.items():
+        write_report(report, f"{folder}/{name}")
+    sample.write.mode("overwrite").parquet(f"{folder}/sample")
+    return sample.sparkSession.read.parquet(f"{folder}/sample")
 
 
 def _stats(df: DataFrame, plan: AnalysisPlan, storage: StorageLevel | None):
@@ -167,11 +167,9 @@ def _regression(df: DataFrame, plan: AnalysisPlan, storage: StorageLevel | None)
     return {
         "metrics": settled(regression_metrics(scored, spec.label, by=["split"])),
         "coefficients": coefficients(model),
-        "sample": settled(
-            sample_rows(
-                part(scored, "test").select(named(spec.label).alias("label"), "prediction"),
-                spec.sample,
-            )
+        "sample": sample_rows(
+            part(scored, "test").select(named(spec.label).alias("label"), "prediction"),
+            spec.sample,
         ),
     }
 
@@ -190,13 +188,11 @@ def _classification(df: DataFrame, plan: AnalysisPlan, storage: StorageLevel | N
             cells.groupBy("label").agg(F.sum("count").alias("count")).orderBy("label")
         ),
         "coefficients": coefficients(model),
-        "sample": settled(
-            sample_rows(
-                part(scored, "test").select(
-                    named(spec.label).alias("label"), "prediction", "probability"
-                ),
-                spec.sample,
-            )
+        "sample": sample_rows(
+            part(scored, "test").select(
+                named(spec.label).alias("label"), "prediction", "probability"
+            ),
+            spec.sample,
         ),
     }
 
@@ -214,10 +210,8 @@ def _kmeans(df: DataFrame, plan: AnalysisPlan, storage: StorageLevel | None):
             "metrics": settled(silhouette(points, [f + "_scaled" for f in spec.features])),
             "sizes": fitted_sizes(model),
             "centers": cluster_centers(model),
-            "sample": settled(
-                sample_rows(
-                    assigned.select(*[named(f) for f in spec.features], "cluster"), spec.sample
-                )
+            "sample": sample_rows(
+                assigned.select(*map(named, spec.features), "cluster"), spec.sample
             ),
         }
     finally:
@@ -238,7 +232,7 @@ def _outliers(df: DataFrame, plan: AnalysisPlan, storage: StorageLevel | None):
             outlier_report(df, spec.columns, spec.z, baseline, stats, spec.scope)
         ),
         "moments": stats,
-        "sample": settled(sample_rows(found, spec.sample)),
+        "sample": sample_rows(found, spec.sample),
     }
 
 

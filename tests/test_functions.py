@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from insight import Range, elapsed, encode_label
-from insight.functions import all_of, any_of, hash_bucket, named
+from insight.functions import all_of, any_of, hash_bucket, ident, literal, named
 
 
 def values(df):
@@ -58,14 +58,22 @@ def test_range_bounds(spark):
 
 def test_three_valued_logic(spark):
     df = spark.createDataFrame([(None, True), (None, False), (True, None)], "a boolean, b boolean")
-    got = [r[0] for r in df.select(any_of([F.col("a"), F.col("b")])).collect()]
+    got = [r[0] for r in df.selectExpr(any_of(["a", "b"])).collect()]
     assert got == [True, None, True]
-    assert spark.range(1).select(all_of([]), any_of([])).first()[:] == (True, False)
+    assert spark.range(1).selectExpr(all_of([]), any_of([])).first()[:] == (True, False)
+
+
+@pytest.mark.parametrize(
+    "value", [0.1, -1e-300, 1e300, 123456789.123456789, float("inf"), 7, True, "it's", "a\\b", "`"]
+)
+def test_literal_keeps_the_value(spark, value):
+    assert spark.range(1).selectExpr(literal(value)).first()[0] == value
 
 
 def test_named_quotes_dots_and_backticks(spark):
     df = spark.createDataFrame([(1, 2)], ["a.b", "c`d"])
     assert values(df.select(named("a.b"), named("c`d"))) == [(1, 2)]
+    assert values(df.selectExpr(ident("a.b"), ident("c`d"))) == [(1, 2)]
 
 
 @pytest.mark.parametrize("algorithm", ["md5", "xxhash64"])

@@ -132,9 +132,16 @@ def test_first_failure_stops_the_rest(trips):
     assert set(run.reports) == {"stats", "regression"}
 
 
-def test_missing_column_is_reported(trips):
-    run = insight.run_analyses(trips.drop("tip_amount"), ["stats"], insight.trip_plan())
-    assert status_of(run) == {"stats": "done"}
+def test_missing_column_fails_where_it_is_used(trips):
+    plan = insight.trip_plan()
+    run = insight.run_analyses(trips.drop("tip_amount"), ["stats", "kmeans", "outliers"], plan)
+    assert status_of(run) == {"stats": "done", "kmeans": "failed", "outliers": "skipped"}
+    errors = {r["analysis"]: r["error"] for r in run.status.collect()}
+    assert "tip_amount" in errors["kmeans"]
+    run = insight.run_analyses(trips.drop("tip_amount"), ["outliers"], plan)
+    assert status_of(run) == {"outliers": "done"}
+    run = insight.run_analyses(trips.drop("tpep_pickup_datetime"), ["stats", "outliers"], plan)
+    assert status_of(run) == {"stats": "done", "outliers": "failed"}
 
 
 def test_without_keeping_the_input(trips, whole):
@@ -160,3 +167,16 @@ def test_split_keys(trips):
     plan = insight.trip_plan(split_keys=("tpep_pickup_datetime",))
     run = insight.run_analyses(trips, ["regression"], plan)
     assert status_of(run) == {"regression": "done"}
+
+
+def test_command_line(spark, trips, tmp_path, capsys):
+    from insight.__main__ import main
+
+    source, out = str(tmp_path / "trips.csv"), str(tmp_path / "out")
+    trips.coalesce(1).write.option("header", True).csv(source)
+    code = main(["--input", source, "--output", out, "--analyses", "stats", "outliers", "--z", "2"])
+    assert code == 0
+    assert capsys.readouterr().out.splitlines() == ["stats: done", "outliers: done"]
+    assert spark.read.json(f"{out}/outliers/metrics").first()["z_threshold"] == 2.0
+    bad = ["--input", source, "--output", out, "--schema", "a int", "--analyses", "outliers"]
+    assert main(bad) == 1
