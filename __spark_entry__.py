@@ -63,7 +63,7 @@ def _cleaned(spark: SparkSession, folder: str, analysis: str, extra: tuple = ())
     columns = spec.columns if analysis == "outliers" else spec.features
     label = [spec.label] if analysis in ("regression", "classification") else []
     return insight.clean(
-        _derived(spark, folder), [*columns, *label, *extra], spec.rules, spec.require
+        _derived(spark, folder), [*columns, *label, *extra], spec.rules, TIMES
     )
 
 
@@ -632,6 +632,26 @@ def classifier_scores(spark, folder):
     )
 
 
+_CLASS_X = _columns_of("classification")[:-1]
+
+
+@_query(
+    f"""{_clean_sql("classification")} SELECT count(*) AS rows, {_r("avg(paid_by_card)", "share", 5)},
+        {", ".join(_r(f"sum(paid_by_card * {c}) / sum({c})", c, 5) for c in _CLASS_X)} FROM cleaned"""
+)
+def classifier_moments(spark, folder):
+    """A fitted classifier repeats the label: its probabilities have the same weighted sums."""
+    rows = _cleaned(spark, folder, "classification")
+    model = insight.fit_classifier(rows, _CLASS_X, "paid_by_card", max_iter=100, tol=1e-12)
+    scored = insight.predict(model, rows).withColumn("p", F.get("probability", F.lit(1)))
+    sums = scored.selectExpr(
+        "count(1) AS rows",
+        "avg(p) AS share",
+        *[f"sum(p * {c}) / sum({c}) AS {c}" for c in _CLASS_X],
+    )
+    return _rounded(sums, "share", *_CLASS_X, digits=5)
+
+
 @_query(
     f"""WITH sorted AS (
   SELECT value, row_number() OVER w AS i, sum(value) OVER w AS s FROM events
@@ -679,8 +699,37 @@ def kmeans_assign(spark, folder):
 
 @_query()
 def cluster_centers(spark, folder):
-    rows = _cleaned(spark, folder, "kmeans")
-    return insight.cluster_centers(insight.fit_clusters(rows, PLAN.kmeans.features))
+    rows = _cleaned(spark, folder, "kmeans").persist()
+    try:
+        return insight.cluster_centers(insight.fit_clusters(rows, PLAN.kmeans.features))
+    finally:
+        rows.unpersist()
+
+
+@_query(
+    _clean_sql("kmeans")
+    + " UNION ALL ".join(
+        f" SELECT '{c}' AS feature, count(*) AS rows, {_r(f'avg({c})', 'mean', 4)} FROM cleaned"
+        for c in _KM
+    )
+)
+def cluster_means(spark, folder):
+    """Each centre is the mean of its rows, so the centres together give the mean of all."""
+    rows = _cleaned(spark, folder, "kmeans").persist()
+    try:
+        model = insight.fit_clusters(rows, _KM, max_iter=200, tol=0.0)
+    finally:
+        rows.unpersist()
+    means = (
+        insight.cluster_centers(model)
+        .join(insight.fitted_sizes(model), "cluster")
+        .groupBy("feature")
+        .agg(
+            F.sum("count").alias("rows"),
+            (F.sum(F.col("count") * F.col("original")) / F.sum("count")).alias("mean"),
+        )
+    )
+    return _rounded(means, "mean", digits=4)
 
 
 @_query(

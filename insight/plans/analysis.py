@@ -26,7 +26,6 @@ class RegressionSpec:
     features: tuple[str, ...]
     label: str
     rules: tuple[Range, ...] = ()
-    require: tuple[str, ...] = ()
     sample: int = 50
 
 
@@ -35,7 +34,6 @@ class ClassificationSpec:
     features: tuple[str, ...]
     label: str
     rules: tuple[Range, ...] = ()
-    require: tuple[str, ...] = ()
     max_iter: int = 30
     sample: int = 50
 
@@ -44,7 +42,6 @@ class ClassificationSpec:
 class ClusterSpec:
     features: tuple[str, ...]
     rules: tuple[Range, ...] = ()
-    require: tuple[str, ...] = ()
     k: int = 5
     seed: int = 42
     sample: int = 200
@@ -54,7 +51,6 @@ class ClusterSpec:
 class OutlierSpec:
     columns: tuple[str, ...]
     rules: tuple[Range, ...] = ()
-    require: tuple[str, ...] = ()
     z: float = 3.0
     scope: str = "all"
     sample: int = 200
@@ -103,7 +99,6 @@ def trip_plan(
     """
     duration, card = "trip_duration", "paid_by_card"
     trips = (Range(distance, gt=0, lt=max_distance), Range(duration, gt=0, lt=max_duration))
-    times = (pickup, dropoff)
 
     def derive(df: DataFrame) -> DataFrame:
         return df.withColumns(
@@ -120,13 +115,11 @@ def trip_plan(
             features=(distance, passengers, duration),
             label=total,
             rules=(*trips, Range(total, gt=0)),
-            require=times,
         ),
         classification=ClassificationSpec(
             features=(distance, passengers, duration, fare),
             label=card,
             rules=(*trips, Range(fare, gt=0)),
-            require=times,
         ),
         kmeans=ClusterSpec(
             features=(distance, duration, fare, tip, passengers),
@@ -136,13 +129,11 @@ def trip_plan(
                 Range(tip, ge=0),
                 Range(passengers, gt=0, lt=max_passengers),
             ),
-            require=times,
             k=k,
         ),
         outliers=OutlierSpec(
             columns=(distance, total, duration),
             rules=(*trips, Range(total, gt=0)),
-            require=times,
             z=z,
             scope=scope,
         ),

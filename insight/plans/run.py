@@ -116,12 +116,16 @@ def run_analyses(
 
 
 def _shared(df: DataFrame, plan: AnalysisPlan, names: list[str]) -> DataFrame:
-    """Only the columns that the named analyses read. Absent ones fail where they are used."""
+    """Only the columns that the named analyses read. Absent ones fail where they are used.
+
+    With derived columns in place of timestamps these are numbers as a rule, which Spark
+    reads from its cache in vectors.
+    """
     needed: dict[str, None] = {}
     for name in names:
         spec = getattr(plan, name)
         needed |= dict.fromkeys(spec.columns if name == "outliers" else spec.features)
-        needed |= dict.fromkeys([*spec.require, *(rule.column for rule in spec.rules)])
+        needed |= dict.fromkeys(rule.column for rule in spec.rules)
         if name in ("regression", "classification"):
             needed |= dict.fromkeys([spec.label, *plan.split_keys])
     derived = df.transform(plan.derive)
@@ -153,7 +157,7 @@ def _training_rows(df: DataFrame, plan: AnalysisPlan, spec) -> DataFrame:
     """Cleaned rows, marked train or test."""
     columns = [*spec.features, spec.label]
     keys = [c for c in plan.split_keys if c not in columns]
-    rows = clean(df, [*columns, *keys], spec.rules, spec.require)
+    rows = clean(df, [*columns, *keys], spec.rules)
     if plan.split_keys:
         return split_hash(rows, plan.split_keys, plan.train_pct).drop(*keys)
     return split_hash(rows, columns, plan.train_pct, algorithm="xxhash64")
@@ -199,7 +203,7 @@ def _classification(df: DataFrame, plan: AnalysisPlan, storage: StorageLevel | N
 
 def _kmeans(df: DataFrame, plan: AnalysisPlan, storage: StorageLevel | None):
     spec = plan.kmeans
-    rows = clean(df, spec.features, spec.rules, spec.require)
+    rows = clean(df, spec.features, spec.rules)
     model = fit_clusters(rows, spec.features, spec.k, spec.seed)
     assigned = assign_clusters(model, rows, scaled_suffix="_scaled")
     points = assigned.select(*[named(f + "_scaled") for f in spec.features], "cluster")
@@ -221,7 +225,7 @@ def _kmeans(df: DataFrame, plan: AnalysisPlan, storage: StorageLevel | None):
 
 def _outliers(df: DataFrame, plan: AnalysisPlan, storage: StorageLevel | None):
     spec = plan.outliers
-    baseline = clean(df, spec.columns, spec.rules, spec.require)
+    baseline = clean(df, spec.columns, spec.rules)
     stats = settled(zscore_stats(baseline, spec.columns))
     examined = df if spec.scope == "all" else baseline
     found = outliers(
