@@ -653,10 +653,13 @@ def classifier_moments(spark, folder):
 
 
 @_query(
-    f"""WITH sorted AS (
-  SELECT value, row_number() OVER w AS i, sum(value) OVER w AS s FROM events
+    f"""WITH moved AS (
+  SELECT event_id, value + CASE WHEN event_type = 'purchase' THEN 5000 ELSE 0 END AS value
+  FROM events),
+sorted AS (
+  SELECT value, row_number() OVER w AS i, sum(value) OVER w AS s FROM moved
   WINDOW w AS (ORDER BY value, event_id ROWS UNBOUNDED PRECEDING)),
-total AS (SELECT count(*) AS n, sum(value) AS t FROM events),
+total AS (SELECT count(*) AS n, sum(value) AS t FROM moved),
 cut AS (
   SELECT i FROM sorted, total WHERE i < n
   ORDER BY s * s / i + (t - s) * (t - s) / (n - i) DESC, i LIMIT 1)
@@ -665,8 +668,14 @@ SELECT count(*) AS rows, {_r("avg(value)", "center", 4)}, {_r("min(value)", "low
 FROM sorted, cut GROUP BY sorted.i <= cut.i"""
 )
 def kmeans_two_groups(spark, folder):
-    """On one feature the best two groups are a cut of the sorted values."""
-    events = _table(spark, folder, "events").select("value")
+    """On one feature the best two groups are a cut of the sorted values.
+
+    k-means only promises a local optimum, of which values without a gap have several; one
+    event type is moved away from the others so that there is one.
+    """
+    events = _table(spark, folder, "events").selectExpr(
+        "value + CASE WHEN event_type = 'purchase' THEN 5000 ELSE 0 END AS value"
+    )
     model = insight.fit_clusters(events, ["value"], k=2, max_iter=200, tol=0.0)
     groups = (
         insight.assign_clusters(model, events)

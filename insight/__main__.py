@@ -25,11 +25,13 @@ def main(arguments: list[str] | None = None) -> int:
     parser.add_argument("--analyses", nargs="+", choices=ANALYSES, default=list(ANALYSES))
     parser.add_argument("--k", type=int, default=5, help="number of clusters")
     parser.add_argument("--z", type=float, default=3.0, help="z-score of an outlier")
+    parser.add_argument("--split", choices=["hash", "random"], default="hash")
     args = parser.parse_args(arguments)
 
     spark = SparkSession.builder.appName("insight").getOrCreate()
     table = read_table(spark, args.input, args.format, args.schema)
-    run = run_analyses(table, args.analyses, trip_plan(k=args.k, z=args.z), output=args.output)
+    plan = trip_plan(k=args.k, z=args.z, split=args.split)
+    run = run_analyses(table, args.analyses, plan, output=args.output)
     failed = False
     for row in run.status.collect():
         failed |= row["status"] != "done"

@@ -27,7 +27,7 @@ def literal(value: bool | float | str) -> str:
     if isinstance(value, str):
         return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
     if isinstance(value, float):
-        return f"{value!r}D" if math.isfinite(value) else f"double('{value}')"
+        return f"{float(value)!r}D" if math.isfinite(value) else f"double('{value}')"
     return str(value)
 
 

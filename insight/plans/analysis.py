@@ -60,8 +60,10 @@ class OutlierSpec:
 class AnalysisPlan:
     """The analyses that can be run over one input.
 
-    ``derive`` adds columns first (see ``DataFrame.transform``). Train and test are told apart by ``split_keys``: columns
-    that tell rows apart; by the features and the label where none are given.
+    ``derive`` adds columns first (see ``DataFrame.transform``). ``split`` says how train and
+    test are told apart: ``hash`` by the values of ``split_keys`` (of the features and the
+    label where none are given), the same for every layout of the input, with equal rows on
+    the same side; ``random`` row by row from ``seed``, repeatable for one layout only.
     """
 
     derive: Callable[[DataFrame], DataFrame] = lambda df: df
@@ -70,8 +72,14 @@ class AnalysisPlan:
     classification: ClassificationSpec | None = None
     kmeans: ClusterSpec | None = None
     outliers: OutlierSpec | None = None
+    split: str = "hash"
     split_keys: tuple[str, ...] = ()
     train_pct: int = 80
+    seed: int = 42
+
+    def __post_init__(self):
+        if self.split not in ("hash", "random"):
+            raise ValueError(f"split must be 'hash' or 'random', not {self.split!r}")
 
 
 def trip_plan(
@@ -90,6 +98,7 @@ def trip_plan(
     k: int = 5,
     z: float = 3.0,
     scope: str = "all",
+    split: str = "hash",
     split_keys: tuple[str, ...] = (),
 ) -> AnalysisPlan:
     """Analyses of a table of taxi trips; column names, units and bounds can be replaced.
@@ -137,5 +146,6 @@ def trip_plan(
             z=z,
             scope=scope,
         ),
+        split=split,
         split_keys=split_keys,
     )

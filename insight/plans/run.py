@@ -32,8 +32,10 @@ from insight.operators import (
     regression_metrics,
     silhouette,
     split_hash,
+    split_random,
     zscore_stats,
 )
+from insight.operators.prepare import TEST, TRAIN
 from insight.plans.analysis import AnalysisPlan
 from insight.sources import local_table, sample_rows, settled, write_report
 
@@ -156,23 +158,28 @@ def _stats(df: DataFrame, plan: AnalysisPlan, storage: StorageLevel | None):
 def _training_rows(df: DataFrame, plan: AnalysisPlan, spec) -> DataFrame:
     """Cleaned rows, marked train or test."""
     columns = [*spec.features, spec.label]
-    keys = [c for c in plan.split_keys if c not in columns]
-    rows = clean(df, [*columns, *keys], spec.rules)
+    if plan.split == "random":
+        shares = (plan.train_pct / 100, 1 - plan.train_pct / 100)
+        parts = split_random(clean(df, columns, spec.rules), shares, plan.seed)
+        train, test = (p.withColumn("split", F.lit(s)) for p, s in zip(parts, (TRAIN, TEST)))
+        return train.union(test)
     if plan.split_keys:
+        keys = [c for c in plan.split_keys if c not in columns]
+        rows = clean(df, [*columns, *keys], spec.rules)
         return split_hash(rows, plan.split_keys, plan.train_pct).drop(*keys)
-    return split_hash(rows, columns, plan.train_pct, algorithm="xxhash64")
+    return split_hash(clean(df, columns, spec.rules), columns, plan.train_pct, "xxhash64")
 
 
 def _regression(df: DataFrame, plan: AnalysisPlan, storage: StorageLevel | None):
     spec = plan.regression
     rows = _training_rows(df, plan, spec)
-    model = fit_regression(part(rows, "train"), spec.features, spec.label)
+    model = fit_regression(part(rows, TRAIN), spec.features, spec.label)
     scored = predict(model, rows)
     return {
         "metrics": settled(regression_metrics(scored, spec.label, by=["split"])),
         "coefficients": coefficients(model),
         "sample": sample_rows(
-            part(scored, "test").select(named(spec.label).alias("label"), "prediction"),
+            part(scored, TEST).select(named(spec.label).alias("label"), "prediction"),
             spec.sample,
         ),
     }
@@ -181,7 +188,7 @@ def _regression(df: DataFrame, plan: AnalysisPlan, storage: StorageLevel | None)
 def _classification(df: DataFrame, plan: AnalysisPlan, storage: StorageLevel | None):
     spec = plan.classification
     rows = _training_rows(df, plan, spec)
-    model = fit_classifier(part(rows, "train"), spec.features, spec.label, spec.max_iter)
+    model = fit_classifier(part(rows, TRAIN), spec.features, spec.label, spec.max_iter)
     scored = predict(model, rows)
     # One pass over the scored rows; metrics, confusion and balance all follow from it.
     cells = settled(confusion_matrix(scored, spec.label, by=["split"]))
@@ -193,7 +200,7 @@ def _classification(df: DataFrame, plan: AnalysisPlan, storage: StorageLevel | N
         ),
         "coefficients": coefficients(model),
         "sample": sample_rows(
-            part(scored, "test").select(
+            part(scored, TEST).select(
                 named(spec.label).alias("label"), "prediction", "probability"
             ),
             spec.sample,

@@ -1,5 +1,6 @@
 from datetime import datetime
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,7 +65,7 @@ def test_three_valued_logic(spark):
 
 
 @pytest.mark.parametrize(
-    "value", [0.1, -1e-300, 1e300, 123456789.123456789, float("inf"), 7, True, "it's", "a\\b", "`"]
+    "value", [0.1, -1e-300, 1e300, 123456789.123456789, np.float64(0.3), float("inf"), 7, True, "it's", "a\\b", "`"]
 )
 def test_literal_keeps_the_value(spark, value):
     assert spark.range(1).selectExpr(literal(value)).first()[0] == value

@@ -163,6 +163,18 @@ def test_output_folder(spark, trips, tmp_path):
     assert len(lines) == 8 and all("mean" in line for line in lines)
 
 
+def test_random_split_is_that_of_spark(trips):
+    plan = insight.trip_plan(split="random")
+    run = insight.run_analyses(trips, ["regression"], plan)
+    sizes = {r["split"]: r["rows"] for r in run.reports["regression"]["metrics"].collect()}
+    features = ["trip_distance", "passenger_count", "trip_duration"]
+    rows = cleaned(trips, "total_amount > 0").select(*features, "total_amount").dropna()
+    train, test = rows.randomSplit([0.8, 0.2], seed=42)
+    assert sizes == {"train": train.count(), "test": test.count()}
+    with pytest.raises(ValueError):
+        insight.trip_plan(split="odd")
+
+
 def test_split_keys(trips):
     plan = insight.trip_plan(split_keys=("tpep_pickup_datetime",))
     run = insight.run_analyses(trips, ["regression"], plan)
