@@ -131,12 +131,14 @@ def test_silhouette_agrees_with_all_pairs_and_with_the_evaluator(groups):
     assert math.isclose(got["silhouette"], theirs, rel_tol=1e-6)
 
 
-def test_silhouette_in_blocks_is_the_same(groups, monkeypatch):
+def test_silhouette_in_blocks_is_the_same(spark, groups, monkeypatch):
     whole = insight.silhouette(groups, ["x", "y"]).first()
     monkeypatch.setattr(evaluate, "TERMS_PER_PASS", 2)
     blocks = insight.silhouette(groups, ["x", "y"]).first()
     assert blocks["clusters"] == 4
     assert math.isclose(blocks["silhouette"], whole["silhouette"], rel_tol=1e-12)
+    named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    assert named in spark.sparkContext.getCheckpointDir()
 
 
 def test_silhouette_edges(spark, groups):
