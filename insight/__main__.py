@@ -31,7 +31,7 @@ def main(arguments: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName("insight").getOrCreate()
     table = read_table(spark, args.input, args.format, args.schema)
     plan = trip_plan(k=args.k, z=args.z, split=args.split)
-    run = run_analyses(table, args.analyses, plan, output=args.output)
+    run = run_analyses(table, args.analyses, plan, output=args.output, source=args.input)
     failed = False
     for row in run.status.collect():
         failed |= row["status"] != "done"

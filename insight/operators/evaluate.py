@@ -7,6 +7,7 @@ from itertools import islice
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from insight.functions import all_of, ident, literal, named, present
 from insight.operators.scratch import checkpointed
@@ -139,7 +140,7 @@ def silhouette(df: DataFrame, features: Sequence[str], cluster: str = "cluster")
     x = [f"x{i}" for i in range(len(features))]
     points = df.where(all_of(present(df.schema[c]) for c in [*features, cluster])).selectExpr(
         *[f"CAST({ident(c)} AS double) AS {n}" for c, n in zip(features, x)],
-        f"CAST({ident(cluster)} AS string) AS cluster",
+        f"CAST({ident(cluster)} AS {_comparable(df.schema[cluster].dataType)}) AS cluster",
     )
     stats = points.groupBy("cluster").agg(
         F.expr("count(1) AS n"),
@@ -170,6 +171,13 @@ def silhouette(df: DataFrame, features: Sequence[str], cluster: str = "cluster")
     )
 
 
+def _comparable(kind: T.DataType) -> str:
+    """The type in which cluster labels are compared with constants."""
+    if isinstance(kind, (T.IntegralType, T.BooleanType)):
+        return kind.simpleString()
+    return "double" if isinstance(kind, (T.FloatType, T.DoubleType)) else "string"
+
+
 def _against(points: DataFrame, x: Sequence[str], block: Sequence[Row]) -> DataFrame:
     """Bring the best distance to another cluster, and that to the own one, up to date."""
     names = [literal(row["cluster"]) for row in block]

@@ -42,7 +42,8 @@ from insight.sources import local_table, sample_rows, settled, write_report
 ANALYSES = ("stats", "regression", "classification", "kmeans", "outliers")
 
 _STATUS = (
-    "analysis string, status string, error string, started_utc string, duration_seconds double"
+    "analysis string, status string, error string, input string, started_utc string, "
+    "duration_seconds double"
 )
 
 
@@ -66,13 +67,15 @@ def run_analyses(
     plan: AnalysisPlan,
     output: str | None = None,
     storage: StorageLevel | None = StorageLevel.MEMORY_AND_DISK,
+    source: str | None = None,
 ) -> AnalysisRun:
     """Run the named analyses of ``plan`` over ``df``, in the order of ``ANALYSES``.
 
     The columns that the models need are derived and projected once and kept at ``storage``
     (None: read again instead) until the run ends. The first failure stops the run: what was
     finished stays, the failed analysis carries the error text, the rest are ``skipped``.
-    With ``output``, reports and samples are also written below that folder.
+    With ``output``, reports and samples are also written below that folder. ``source`` says
+    in the status table where ``df`` came from.
     """
     wanted = set(names)
     unknown = sorted(wanted - set(ANALYSES))
@@ -91,7 +94,7 @@ def run_analyses(
     try:
         for name in chosen:
             if failed:
-                status.append((name, "skipped", None, None, None))
+                status.append((name, "skipped", None, source, None, None))
                 continue
             started, clock = datetime.now(timezone.utc).isoformat(), time.monotonic()
             error = None
@@ -107,7 +110,8 @@ def run_analyses(
             except Exception as failure:  # noqa: BLE001 - the status table reports it
                 error, failed = str(failure), True
             took = time.monotonic() - clock
-            status.append((name, "failed" if failed else "done", error, started, took))
+            outcome = "failed" if failed else "done"
+            status.append((name, outcome, error, source, started, took))
     finally:
         if shared is not None and storage is not None:
             shared.unpersist()

@@ -167,6 +167,15 @@ def test_silhouette_with_text_labels_and_one_hot_cluster(spark):
     assert math.isclose(got["silhouette"], brute_force(df.collect()), rel_tol=1e-9)
 
 
+@pytest.mark.parametrize("kind", ["tinyint", "bigint", "float", "double", "decimal(9,2)", "string"])
+def test_silhouette_with_labels_of_any_type(groups, kind):
+    labels = groups.withColumn("cluster", (F.col("cluster") - 1).cast(kind))
+    got = insight.silhouette(labels, ["x", "y"]).first()
+    whole = insight.silhouette(groups, ["x", "y"]).first()
+    assert got["clusters"] == 4
+    assert math.isclose(got["silhouette"], whole["silhouette"], rel_tol=1e-9)
+
+
 def test_silhouette_compares_no_pairs(groups, plan_of):
     plan = plan_of(insight.silhouette(groups, ["x", "y"]))
     assert "Join" not in plan and "CartesianProduct" not in plan and "Python" not in plan

@@ -190,5 +190,6 @@ def test_command_line(spark, trips, tmp_path, capsys):
     assert code == 0
     assert capsys.readouterr().out.splitlines() == ["stats: done", "outliers: done"]
     assert spark.read.json(f"{out}/outliers/metrics").first()["z_threshold"] == 2.0
+    assert {r["input"] for r in spark.read.json(f"{out}/status").collect()} == {source}
     bad = ["--input", source, "--output", out, "--schema", "a int", "--analyses", "outliers"]
     assert main(bad) == 1
