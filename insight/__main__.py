@@ -1,9 +1,8 @@
 """Run analyses of a trip table from the command line.
 
-    spark-submit --master ... -m insight   (or: python -m insight)
-        --input trips.parquet --output results --analyses stats kmeans --k 5 --z 3
+    python -m insight --input trips.parquet --output results --analyses stats kmeans --k 5
 
-The session takes its master and resources from the submit command.
+The session takes its master and resources from ``spark-submit`` or its configuration.
 """
 
 from __future__ import annotations

@@ -82,6 +82,7 @@ class AnalysisPlan:
             raise ValueError(f"split must be 'hash' or 'random', not {self.split!r}")
 
 
+# The column names, bounds, k and z of the trip analyses, as defaults below.
 def trip_plan(
     pickup: str = "tpep_pickup_datetime",
     dropoff: str = "tpep_dropoff_datetime",
