@@ -1,0 +1,184 @@
+"""BPE and packing against the tokenizer libraries on whole texts."""
+
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from insight.llm import bpe, packing
+
+RANKS = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+WORDS = public_tokenizers.path("word_bpe_49k.json")
+PLAIN = tiktoken.Encoding(
+    "plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={}
+)
+ODD = [
+    None,
+    "",
+    " ",
+    "a",
+    "it's  we'll \n\n  they've\t\tx",
+    "é́ ñ 漢字 \U0001f600   ½²",
+    "<|endoftext|> and <|startoftext|>",
+    "x" * 900,
+    " " * 700 + "y" + "\n" * 800,
+    "'" * 500 + "re" + "1234567890 " * 90,
+]
+
+
+def texts():
+    rng = random.Random(3)
+    units = ["it's", "  ", "\n", " word", "'ll", "ß", " 12", "!?", "\t", "漢", "a" * 70, "   "]
+    return ODD + ["".join(rng.choices(units, k=rng.randrange(1, 900))) for _ in range(30)]
+
+
+def frame(spark, values):
+    rows = [(i, t, 1, "x") for i, t in enumerate(values)] + [(None, "no key", 1, "x")]
+    return spark.createDataFrame(rows, "doc_id long, text string, row int, ids string")
+
+
+@pytest.mark.parametrize("chunk, overlap", [(40, 20), (128, 64), (16_384, 512)])
+def test_encode_as_the_library_does(spark, chunk, overlap):
+    values = texts()
+    docs = frame(spark, values)
+    got = bpe.encode(docs, RANKS, public_tokenizers.PATTERN, chunk=chunk, overlap=overlap)
+    found = {r.doc_id: r.ids for r in got.collect()}
+    assert len(found) == len(values) + 1
+    for i, text in enumerate(values):
+        assert found[i] == PLAIN.encode_ordinary(text or ""), repr(text)[:60]
+
+
+def test_decode_round_trip_and_repeated_rows(spark):
+    values = texts()
+    docs = frame(spark, values + values[-3:]).unionByName(frame(spark, values).limit(5))
+    coded = bpe.encode(docs, RANKS, public_tokenizers.PATTERN, chunk=64, overlap=32)
+    rows = bpe.decode(coded, RANKS).collect()
+    assert len(rows) == docs.count()
+    whole = {i: t for i, t in enumerate(values + values[-3:])} | {None: "no key"}
+    for r in rows:
+        assert bytes(r["bytes"]).decode() == (whole[r.doc_id] or "")
+        assert bytes(r.id_bytes) == np.array(r.ids, "<u4").tobytes()
+
+
+def test_one_long_row_with_repeats(spark):
+    text = "so it's   done\n\n" * 300
+    docs = spark.createDataFrame([(1, text), (1, text), (1, "other " * 99)], "doc_id long, text string")
+    got = bpe.encode(docs, RANKS, public_tokenizers.PATTERN, chunk=100, overlap=30).collect()
+    assert sorted(len(r.ids) for r in got) == sorted(
+        len(PLAIN.encode_ordinary(t)) for t in (text, text, "other " * 99)
+    )
+
+
+def test_empty_tables(spark):
+    docs = frame(spark, []).where("doc_id = 7")
+    assert bpe.encode(docs, RANKS, public_tokenizers.PATTERN).count() == 0
+    assert packing.pack_documents(docs, WORDS).count() == 0
+
+
+def test_overlap_must_fit(spark):
+    with pytest.raises(ValueError, match="overlap"):
+        bpe.encode(frame(spark, []), RANKS, public_tokenizers.PATTERN, chunk=8, overlap=9)
+
+
+def test_query_on_the_smallest_tables(spark):
+    from insight.llm.queries import op2_bpe
+
+    folder = "/root/testdata/sf0.001"
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    rows = op2_bpe(spark, folder).collect()
+    assert len(rows) == len(docs)
+    for r in rows:
+        ids = PLAIN.encode_ordinary(docs[r.doc_id])
+        packed = np.array(ids, "<u4").tobytes()
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(packed).hexdigest())
+        assert r.decoded_sha256 == hashlib.sha256(docs[r.doc_id].encode()).hexdigest()
+
+
+def check_packing(rows, values, capacity):
+    plain = Tokenizer.from_file(WORDS)
+    whole = {i: [*plain.encode(t or "", add_special_tokens=False).ids, 0] for i, t in values}
+    places: dict = {}
+    seen: dict = {}
+    for r in rows:
+        ids = whole[r.doc_id][r.start : r.start + r.length]
+        assert len(ids) == r.length
+        assert r.ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes())
+        seen.setdefault(r.doc_id, []).append((r.piece, r.start, r.length))
+        places.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for doc, pieces in seen.items():
+        pieces.sort()
+        n = len(whole[doc])
+        assert [p[1:] for p in pieces] == [
+            (s, min(capacity, n - s)) for s in range(0, n, capacity)
+        ]
+    assert set(seen) == set(whole)
+    for used in places.values():
+        at = 0
+        for offset, length in sorted(used):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(places), sum(map(len, whole.values()))
+
+
+def test_packing_of_odd_texts(spark):
+    values = list(enumerate(texts()))
+    docs = frame(spark, [t for _, t in values]).where("doc_id is not null")
+    check_packing(packing.pack_documents(docs, WORDS, capacity=64).collect(), values, 64)
+
+
+def test_packing_query_is_near_the_bound(spark):
+    from insight.llm.queries import op7_packing
+
+    folder = "/root/testdata/sf0.001"
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    used, tokens = check_packing(op7_packing(spark, folder).collect(), docs, 2048)
+    assert used <= -(-tokens // 2048) + 1
+
+
+def test_packing_over_many_partitions(spark):
+    rng = random.Random(1)
+    sizes = [rng.choice([3, 40, 41, 59, 60, 61, 100, rng.randrange(1, 101)]) for _ in range(3000)]
+    pieces = spark.createDataFrame(list(enumerate(sizes)), "doc_id long, length long")
+    rows = packing.pack(pieces, capacity=100, items=200).collect()
+    assert sorted(r.doc_id for r in rows) == list(range(3000))
+    places: dict = {}
+    for r in rows:
+        places.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for used in places.values():
+        at = 0
+        for offset, length in sorted(used):
+            assert offset == at
+            at += length
+        assert at <= 100
+    whole, _ = packing.best_fit_decreasing(np.array(sizes), 100)
+    assert len(places) <= (whole.max() + 1) * 1.01 + 1
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(1, 12), min_size=1, max_size=7))
+def test_bound_is_below_the_best_packing(sizes):
+    def fits(n):
+        def place(rest, rooms):
+            if not rest:
+                return True
+            return any(
+                place(rest[1:], rooms[:i] + (room - rest[0],) + rooms[i + 1 :])
+                for i, room in enumerate(rooms)
+                if room >= rest[0]
+            )
+
+        return place(sorted(sizes, reverse=True), (12,) * n)
+
+    best = next(n for n in range(1, 8) if fits(n))
+    bins, offsets = packing.best_fit_decreasing(np.array(sizes), 12)
+    assert packing.lower_bound(np.array(sizes), 12) <= best <= bins.max() + 1
+    assert (np.bincount(bins, weights=sizes) <= 12).all()
+    assert (offsets + np.array(sizes) <= 12).all()
