@@ -847,6 +847,16 @@ def entry(spark: SparkSession) -> DataFrame:
     return outlier_report(spark, "/root/testdata/sf0.001")
 
 
+try:  # the operators for training data are a package of their own, which may be absent
+    import corpus_pipeline
+    from insight.llm import queries as _llm
+except ModuleNotFoundError:
+    pass
+else:
+    QUERIES |= _llm.QUERIES | {"pipeline": corpus_pipeline.run}
+    ORACLES |= _llm.ORACLES
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every implemented operator as a query over the tables of a folder."""
     return dict(QUERIES)
