@@ -9,46 +9,107 @@ are dealt anew to fewer partitions and packed again.
 
 from __future__ import annotations
 
+import functools
 import os
 import zlib
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from insight.llm.shared import columns, written
 
-#: Encoded words that one Python worker remembers.
-_REMEMBERED = 400_000
+#: Encoded words that one Python worker remembers, about 400 bytes each.
+_REMEMBERED = 600_000
 
 
 class _Words(dict):
-    """Ids of white-space separated words as a vocabulary file gives them, remembered."""
+    """Ids of white-space separated words, as bytes of little-endian 32-bit integers."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.mark = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends: np.ndarray | None = None
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
-    def __missing__(self, word: bytes) -> list[int]:
+    def __missing__(self, word: bytes) -> bytes:
         if len(self) >= _REMEMBERED:
             self.clear()
-        self[word] = ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
+        lower = word.lower()
+        if word != lower and word.isascii():
+            ids = self[lower]  # the tokenizer lowers words itself
+        elif len(word) > 1 and word[-1:] in (b".", b",") and word.decode()[-2].isalpha():
+            ids = self[word[:-1]] + self[word[-1:]]  # it parts letters from other characters
+        else:
+            ids = self._ids(word.decode())
+        self[word] = ids
         return ids
 
-    def encode(self, text: str) -> list[int]:
+    def _ids(self, text: str) -> bytes:
+        found = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return np.array(found, "<u4").tobytes()
+
+    def learn(self, words: set[bytes]) -> None:
+        """Encode new words of letters only in one call. Each is one pre-token, whose last token
+        alone has the word-end mark; if the ends don't add up, they are left for later."""
+        cores = {(w.lower() if w.isascii() else w).rstrip(b".,") for w in words}
+        new = [t for w in cores if w not in self and (t := w.decode()).isalpha()]
+        if not new:
+            return
+        if self.ends is None:
+            marks = [t.endswith(self.mark) for t in self._vocabulary()]
+            self.ends = np.array(marks)
+        [found] = self.tokenizer.encode_batch_fast([" ".join(new)], add_special_tokens=False)
+        ids = np.array(found.ids, "<u4")
+        at = np.flatnonzero(self.ends[ids]) + 1
+        if len(at) == len(new):
+            raw, begins = ids.tobytes(), [0, *(4 * at).tolist()]
+            for word, i, j in zip(new, begins, begins[1:], strict=False):
+                self[word.encode()] = raw[i:j]
+
+    def _vocabulary(self) -> list[str]:
+        n = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        return [self.tokenizer.id_to_token(i) or "" for i in range(n)]
+
+    def split(self, texts: list[str]) -> list[list[bytes]]:
+        """The words of each text, all of them learned."""
+        if len(self) >= _REMEMBERED:
+            self.clear()
+        parts = [t.encode().split() for t in texts]
+        if self.mark:
+            self.learn({w for words in parts for w in words if w not in self})
+        return parts
+
+    def encode(self, text: str, words: list[bytes]) -> np.ndarray:
         """As the tokenizer encodes the whole text.
 
         It drops white space and merges nothing across it, so words can be encoded one by one,
         except where the string of an added token, which it looks for first, may be in the text.
         """
         if any(s in text for s in self.special):
-            return self.tokenizer.encode(text, add_special_tokens=False).ids
-        return [i for word in text.encode().split() for i in self[word]]
+            return np.frombuffer(self._ids(text), "<u4")
+        return np.frombuffer(b"".join([self[w] for w in words]), "<u4")
+
+
+@functools.lru_cache(maxsize=1)
+def _words(path: str) -> _Words:
+    """Kept by the Python worker from task to task."""
+    return _Words(path)
+
+
+def _slices(batches, most: int = 1 << 22):
+    """The batches in parts of about ``most`` bytes of text, or one larger text."""
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column(1)).fill_null(0).to_numpy(False)) // most
+        starts = np.flatnonzero(np.r_[True, ends[1:] != ends[:-1]]) if len(ends) else []
+        for begin, end in zip(starts, [*starts[1:], len(ends)], strict=True):
+            yield batch.slice(begin, end - begin)
 
 
 def tokenize_pieces(
@@ -68,18 +129,17 @@ def tokenize_pieces(
     is the path of a tokenizer file on every executor; it must split at white space.
     """
     rows = columns(docs, doc_id=key, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
-    made: list[_Words] = []
 
     def cut(batches):
-        if not made:
-            made.append(_Words(vocabulary))
-        words = made[0]
-        for batch in batches:
+        words = _words(vocabulary)
+        for batch in _slices(batches):
             out: dict[str, list] = {
                 c: [] for c in ("doc_id", "piece", "start", "length", "ids_crc32", "ids")
             }
-            for doc, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = np.array([*words.encode(value.as_py() or ""), separator], "<u4")
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            parts = words.split(texts)
+            for doc, value, split in zip(batch.column(0).to_pylist(), texts, parts, strict=True):
+                ids = np.append(words.encode(value, split), np.uint32(separator))
                 for piece, start in enumerate(range(0, len(ids), capacity)):
                     part = ids[start : start + capacity]
                     out["doc_id"].append(doc)
@@ -128,14 +188,17 @@ def best_fit_decreasing(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, n
     return bins, offsets
 
 
-def lower_bound(sizes: np.ndarray, capacity: int) -> int:
-    """A number of bins that no packing goes below.
+def lower_bound(
+    sizes: np.ndarray, counts: np.ndarray | None = None, *, capacity: int
+) -> int:
+    """A number of bins that no packing goes below, for ``sizes``, each ``counts`` times.
 
     The largest bound of three families of dual feasible functions, each over its parameters:
     the identity (total size); sizes above ``capacity - k`` count whole, those below ``k`` not at
     all; and sizes rounded down to multiples of ``capacity / (k + 1)``, in k-ths.
     """
-    counts = np.bincount(sizes, minlength=capacity + 1).astype("int64")
+    weights = np.ones(len(sizes)) if counts is None else counts
+    counts = np.bincount(sizes, weights=weights, minlength=capacity + 1).astype("int64")
     size = np.arange(capacity + 1)
     above = np.concatenate([np.cumsum(counts[::-1])[::-1], [0]])
     totals = np.concatenate([[0], np.cumsum(counts * size)])
@@ -158,7 +221,6 @@ def _pack_partition(capacity: int):
         sizes = frame["length"].to_numpy()
         bins, offsets = best_fit_decreasing(sizes, capacity)
         filled = np.bincount(bins, weights=sizes)
-        gap = int(bins.max()) + 1 - lower_bound(sizes, capacity)
         return pd.DataFrame(
             {
                 "item": frame["item"].to_numpy(),
@@ -167,7 +229,8 @@ def _pack_partition(capacity: int):
                 "bin": bins,
                 "offset": offsets,
                 "room": (capacity - filled[bins]).astype("int64"),
-                "gap": gap,
+                "used": int(bins.max()) + 1,
+                "bound": lower_bound(sizes, capacity=capacity),
             }
         )
 
@@ -180,18 +243,20 @@ def pack(
     """``pieces`` with ``sequence_id`` and ``offset``: its place, gapless from 0.
 
     Takes what ``tokenize_pieces`` gives, or any rows with a ``length`` from 1 to ``capacity``.
-    A partition packs about ``items`` pieces, dealt by a hash. In each round, the partitions that
-    use more sequences than their bound, and the one sequence with most room of each certified
-    one, give up the sequences that have room; the pieces in these are dealt to as many
-    partitions as they need and packed again. Ends when one partition took all, after
-    ``rounds``, or when nothing is left. No pieces give no rows.
+    A partition packs about ``items`` pieces, dealt by a hash, and tells the sequences it used
+    and its lower bound. A round whose partitions together use no more than the bound of all
+    their pieces is certified as a whole and ends the packing. Else each partition, certified or
+    not, gives up what could still be better: one that uses more than its bound all sequences
+    with room, and, if the partitions' bounds add up to more than that of the whole, the others
+    too. The pieces in these are dealt to as many partitions as they need and packed again.
+    Ends at the latest when one partition took all, or after ``rounds``. No pieces give no rows.
     """
     numbered = written(pieces.withColumn("item", F.monotonically_increasing_id()))
     full = numbered.where(F.col("length") >= capacity).select(
         "item", (F.col("item") * 2).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
     )
     left = numbered.where(F.col("length") < capacity).select("item", "length")
-    schema = "item long, length long, part long, bin long, offset long, room long, gap long"
+    schema = "item long, length long, part long, bin long, offset long, room long, used long, bound long"
     placed = full
     before = 0
     for turn in range(rounds):
@@ -203,14 +268,13 @@ def pack(
             "part", F.pmod(F.xxhash64("item", F.lit(turn)), F.lit(parts)).cast("long")
         )
         packed = written(dealt.groupBy("part").applyInPandas(_pack_partition(capacity), schema))
-        last = parts == 1 or turn == rounds - 1
-        stats = packed.groupBy("part").agg(F.max("room").alias("most"))
-        again = (
-            F.lit(False)
-            if last
-            else (F.col("room") > 0) & ((F.col("gap") > 0) | (F.col("room") == F.col("most")))
-        )
-        marked = packed.join(stats, "part").withColumn("again", again)
+        told = packed.groupBy("part").agg(F.max("used").alias("used"), F.max("bound").alias("bound"))
+        used, bounds = told.agg(F.sum("used"), F.sum("bound")).first()
+        sizes = left.groupBy("length").count().collect()  # at most one row for each length
+        whole = lower_bound(*(np.array(x) for x in zip(*sizes, strict=True)), capacity=capacity)
+        last = parts == 1 or turn == rounds - 1 or used <= whole
+        gap = F.lit(bounds > whole) | (F.col("used") > F.col("bound"))
+        marked = packed.withColumn("again", F.lit(not last) & (F.col("room") > 0) & gap)
         number = F.lit(before) + F.col("part") * (items * 8) + F.col("bin")
         placed = placed.unionByName(
             marked.where(~F.col("again")).select(
