@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from insight.llm import bpe, exact, language, packing, topk, urls, warc
+from insight.llm import bpe, exact, language, near, packing, topk, urls, warc
 from insight.llm.shared import scratch_folder
 
 QUERIES = {}
@@ -27,6 +27,11 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@_query()
+def op1_near(spark, folder):
+    return near.near_duplicates(_table(spark, folder, "documents"))
+
+
 @_query()
 def op2_bpe(spark, folder):
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))

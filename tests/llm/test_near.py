@@ -1,0 +1,136 @@
+"""Near-duplicates against all pairs, on literal texts and on the smallest tables."""
+
+import random
+
+import numpy as np
+import pytest
+
+from insight.llm import near
+from insight.llm.components import components
+
+
+def shingles(text):
+    words = [w for w in _lower(text or "").split() if w]
+    if not words:
+        return frozenset()
+    return frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4)))
+
+
+def _lower(text):
+    return text.encode().lower().decode()
+
+
+def brute(rows, percent=85):
+    sets = {d: shingles(t) for d, t in rows}
+    ids = sorted(sets)
+    root = {d: d for d in ids}
+
+    def find(a):
+        while root[a] != a:
+            a = root[a]
+        return a
+
+    holders: dict = {}
+    for d in ids:
+        for s in sets[d]:
+            holders.setdefault(s, []).append(d)
+    seen = {(a, b) for h in holders.values() for i, a in enumerate(h) for b in h[i + 1 :]}
+    for a, b in seen:
+        both = len(sets[a] & sets[b])
+        if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+            x, y = sorted((find(a), find(b)))
+            root[y] = x
+    return {d: (len(sets[d]), find(d)) for d in ids}
+
+
+def result(df):
+    return {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in df.collect()}
+
+
+def check(df, rows, percent=85):
+    got, want = result(df), brute(rows, percent)
+    assert got == {d: (n, c, d == c) for d, (n, c) in want.items()}
+
+
+def edited(rng, words, n):
+    words = list(words)
+    for _ in range(n):
+        words[rng.randrange(len(words))] = f"w{rng.randrange(10**6)}"
+    return " ".join(words)
+
+
+def corpus():
+    rng = random.Random(5)
+    rows = []
+    for _ in range(12):
+        words = [f"v{rng.randrange(300)}" for _ in range(rng.choice([8, 60, 130, 400]))]
+        rows += [edited(rng, words, rng.choice([0, 0, 1, 2, 3, 6])) for _ in range(rng.randrange(1, 25))]
+    rows += ["", None, "  \n", "one two", "ONE\ttwo", "one two three four five", "É é", "é é"]
+    rng.shuffle(rows)
+    return list(enumerate(rows, 100))
+
+
+@pytest.mark.parametrize("block", [4, 2048])
+def test_against_all_pairs(spark, block):
+    rows = corpus()
+    docs = spark.createDataFrame([(d, t, 1, t) for d, t in rows], "doc_id long, text string, n long, rep string")
+    check(near.near_duplicates(docs, block=block), rows)
+
+
+def test_other_percentages(spark):
+    rows = corpus()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    check(near.near_duplicates(docs, percent=80, rows=2), rows, 80)
+
+
+def test_nulls_repeats_and_nothing(spark):
+    rows = [(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (3, "a b c d e f"), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((tuple(r) for r in near.near_duplicates(docs).collect()), key=str)
+    assert got == sorted(
+        [(1, 2, 1, True), (1, 2, 1, True), (None, 2, None, True), (3, 2, 1, False), (4, 0, 4, True)], key=str
+    )
+    assert near.near_duplicates(docs.where("doc_id = 9")).count() == 0
+
+
+def test_query_on_the_smallest_tables(spark):
+    from insight.llm.queries import op1_near
+
+    folder = "/root/testdata/sf0.001"
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    check(op1_near(spark, folder), rows)
+
+
+def test_overlaps_of_frequent_and_rare_shingles():
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.choice([40, 4000], 1)[0] * 0 + rng.integers(0, 60, 30).astype("uint64")) for _ in range(90)]
+    sets += [np.unique(rng.integers(0, 3000, 50).astype("uint64")) for _ in range(40)]
+    left, right = sets[:70], sets[50:]
+    got = near.overlaps(left, right)
+    for i, a in enumerate(left):
+        for j, b in enumerate(right):
+            assert got[i, j] == len(np.intersect1d(a, b))
+
+
+@pytest.mark.parametrize("kind", ["chain", "star", "random"])
+def test_components(spark, kind):
+    rng = random.Random(2)
+    n = 300
+    links = {
+        "chain": [(i, i + 1) for i in range(n)],
+        "star": [(0, i) for i in range(1, n)] + [(5, 5)],
+        "random": [(rng.randrange(n), rng.randrange(n)) for _ in range(n // 2)],
+    }[kind]
+    root = {x: x for pair in links for x in pair}
+
+    def find(a):
+        while root[a] != a:
+            a = root[a]
+        return a
+
+    for a, b in links:
+        x, y = sorted((find(a), find(b)))
+        root[y] = x
+    got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    linked = {x for a, b in links if a != b for x in (a, b)}
+    assert got == {x: find(x) for x in linked}
