@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from insight.llm import bpe, exact, language, near, packing, topk, urls, warc
+from insight.llm import (
+    bpe,
+    exact,
+    language,
+    lines,
+    near,
+    packing,
+    substrings,
+    topk,
+    urls,
+    warc,
+)
 from insight.llm.shared import scratch_folder
 
 QUERIES = {}
@@ -116,6 +127,17 @@ def op7_packing(spark, folder):
     )
 
 
+@_query()
+def op8_substrings(spark, folder):
+    left = substrings.remove_repeated_passages(_table(spark, folder, "documents"))
+    stays = F.when(F.col("n_removed") > 0, F.col("text")).otherwise(
+        F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " "))
+    )
+    return left.select(
+        "doc_id", "n_words", "n_removed", F.sha2(stays, 256).alias("kept_sha256")
+    )
+
+
 @_query()
 def op9_language(spark, folder):
     docs = _table(spark, folder, "documents")
@@ -123,3 +145,11 @@ def op9_language(spark, folder):
     docs = docs.withColumn("held_out", F.coalesce(held, F.lit(False)))
     model = language.fit_languages(docs.where(~F.col("held_out")))
     return language.predict_language(docs, model, keep=("doc_id", "held_out"))
+
+
+@_query()
+def op10_lines(spark, folder):
+    kept = lines.drop_recurring_lines(_table(spark, folder, "documents"))
+    return kept.select(
+        "doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    )
