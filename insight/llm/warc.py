@@ -104,14 +104,14 @@ def write_archives(
     least: int = 0,
     archive_bytes: int = 32 << 20,
     date: str = "1970-01-01T00:00:00Z",
-    compression: str = "none",
+    compression: str = "gzip",
 ) -> None:
     """Write one record per row to ``folder``: a response, or a revisit without its payload.
 
     A null payload is empty; a null url leaves the header out; line ends in a url are escaped.
     Rows with a null key are responses, as are all rows with the smallest key of their payload.
-    An archive holds about ``archive_bytes`` of payload, or one larger record. No rows give no
-    records.
+    An archive holds as many records as ``archive_bytes`` has mean ones, as one gzip stream by
+    default. No rows give no records.
     """
     rows = columns(pages, page_id=key, url=url, payload=payload).select(
         F.col("page_id").cast("long"),
@@ -125,14 +125,15 @@ def write_archives(
         }
     )
     headers = written(rows.select("page_id", "payload_digest", "payload_bytes"))
-    total = headers.agg(F.sum("payload_bytes")).first()[0] or 0
-    revisits = find_originals(headers, least)
+    mean = headers.agg(F.avg("payload_bytes")).first()[0] or 0
+    # Written, so its size is known: payloads are shuffled only if it is too large to broadcast.
+    revisits = written(find_originals(headers, least))
     records = rows.join(revisits, ["page_id", "payload_digest"], "left").select(
         _record(date).alias("value")
     )
-    records.repartition(max(1, -(-total // archive_bytes))).write.option(
-        "lineSep", _END
-    ).option("compression", compression).text(folder)
+    records.write.option("lineSep", _END).option("compression", compression).option(
+        "maxRecordsPerFile", max(1, int(archive_bytes / (mean + 500)))
+    ).text(folder)
 
 
 def parse_archive(content: bytes):
