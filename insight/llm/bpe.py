@@ -16,7 +16,7 @@ import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from insight.llm.shared import columns
+from insight.llm.shared import columns, text_slices
 
 #: Characters past its end that a match may depend on: the longest literal of the pattern, and one.
 _MARGIN = 4
@@ -150,7 +150,7 @@ def _encoded(pieces: DataFrame, encoder) -> DataFrame:
     first, second = pieces.schema[:2]
 
     def encode(batches):
-        for batch in batches:
+        for batch in text_slices(batches, 2):
             out = [
                 encoder().encode(p.as_py(), n.as_py())
                 for p, n in zip(batch.column(2), batch.column(3), strict=True)

@@ -16,11 +16,10 @@ import zlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from insight.llm.shared import columns, written
+from insight.llm.shared import columns, text_slices, written
 
 #: Encoded words that one Python worker remembers, about 400 bytes each.
 _REMEMBERED = 600_000
@@ -103,15 +102,6 @@ def _words(path: str) -> _Words:
     return _Words(path)
 
 
-def _slices(batches, most: int = 1 << 22):
-    """The batches in parts of about ``most`` bytes of text, or one larger text."""
-    for batch in batches:
-        ends = np.cumsum(pc.binary_length(batch.column(1)).fill_null(0).to_numpy(False)) // most
-        starts = np.flatnonzero(np.r_[True, ends[1:] != ends[:-1]]) if len(ends) else []
-        for begin, end in zip(starts, [*starts[1:], len(ends)], strict=True):
-            yield batch.slice(begin, end - begin)
-
-
 def tokenize_pieces(
     docs: DataFrame,
     vocabulary: str,
@@ -132,7 +122,7 @@ def tokenize_pieces(
 
     def cut(batches):
         words = _words(vocabulary)
-        for batch in _slices(batches):
+        for batch in text_slices(batches, 1):
             out: dict[str, list] = {
                 c: [] for c in ("doc_id", "piece", "start", "length", "ids_crc32", "ids")
             }

@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,3 +57,14 @@ def lower_ascii(column: Column) -> Column:
     """A-Z in lower case, every other character as it is."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     return F.translate(column, upper, upper.lower())
+
+
+def text_slices(batches, column: int, most: int = 1 << 22):
+    """Arrow batches in parts of about ``most`` bytes of a text column, or one larger text, so
+    that what a task makes of a batch has a bounded size however long its texts are."""
+    for batch in batches:
+        sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(False)
+        ends = np.cumsum(sizes, dtype="int64") // most
+        starts = np.flatnonzero(np.r_[True, ends[1:] != ends[:-1]]) if len(ends) else []
+        for begin, end in zip(starts, [*starts[1:], len(ends)], strict=True):
+            yield batch.slice(begin, end - begin)
