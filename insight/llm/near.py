@@ -17,11 +17,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from insight.llm.components import components
-from insight.llm.shared import columns, written
+from insight.llm.shared import columns, text_slices, written
 
 _MASK = (1 << 64) - 1
 #: Words whose hashes one Python worker remembers.
-_REMEMBERED = 500_000
+_REMEMBERED = 150_000
 
 
 class _WordHashes(dict):
@@ -72,8 +72,8 @@ class TensoredBands:
 
     def sub_keys(self, shingles: np.ndarray) -> np.ndarray:
         lows = np.full(len(self.factors), np.uint64(_MASK))
-        for begin in range(0, len(shingles), 4096):  # bounded memory for long texts
-            part = shingles[begin : begin + 4096]
+        for begin in range(0, len(shingles), 1024):  # bounded memory for long texts
+            part = shingles[begin : begin + 1024]
             values = part[None, :] * self.factors[:, None] + self.shifts[:, None]
             np.minimum(lows, (values ^ (values >> np.uint64(31))).min(axis=1), out=lows)
         key = np.zeros(2 * self.halves, "uint64")
@@ -85,7 +85,7 @@ class TensoredBands:
 def _signatures(rows: DataFrame, width: int, bands: TensoredBands) -> DataFrame:
     def sign(batches: Iterator[pa.RecordBatch]):
         hashes = _WordHashes()
-        for batch in batches:
+        for batch in text_slices(batches, 1):
             sizes, high, low, keys = [], [], [], []
             for text in batch.column(1):
                 shingles = shingle_set(text.as_py(), width, hashes)
@@ -113,7 +113,7 @@ def _sets(rows: DataFrame, width: int) -> DataFrame:
 
     def build(batches: Iterator[pa.RecordBatch]):
         hashes = _WordHashes()
-        for batch in batches:
+        for batch in text_slices(batches, 1):
             sets = [shingle_set(t.as_py(), width, hashes).tobytes() for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sets, pa.binary())], names=["rep", "shingles"]
@@ -126,7 +126,7 @@ def _verified(pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a, b`` whose sets ``left`` and ``right`` are similar enough."""
 
     def verify(batches: Iterator[pa.RecordBatch]):
-        for batch in batches:
+        for batch in text_slices(batches, 2):
             good = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
                 x, y = (np.frombuffer(v.as_buffer(), "uint64") for v in (x, y))
