@@ -7,13 +7,16 @@ in the same way, and every query works on whole tables.
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import insight
 from insight import Range
+from insight.sources import scratch_folder
 
 DAY = 86400.0
 TRIP_KEYS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
@@ -292,7 +295,7 @@ def numeric_summary(spark, folder):
     summary = insight.numeric_summary(
         _trips(spark, folder), [*AMOUNTS, "no_such_column"], missing="skip"
     )
-    return _rounded(summary, "min", "max", "mean")
+    return _rounded(summary, "min", "max", "mean").drop("min_exact", "max_exact")
 
 
 @_query(
@@ -302,9 +305,44 @@ def numeric_summary(spark, folder):
     )
 )
 def numeric_summary_integers(spark, folder):
-    return _rounded(
-        insight.numeric_summary(_table(spark, folder, "lineitem"), TRIP_KEYS), "mean"
+    summary = insight.numeric_summary(_table(spark, folder, "lineitem"), TRIP_KEYS)
+    exact = summary.selectExpr(
+        "column",
+        "CAST(min_exact AS bigint) AS min",
+        "CAST(max_exact AS bigint) AS max",
+        "mean",
+    )
+    return _rounded(exact, "mean")
+
+
+_EXACT = {
+    "big": ("l_orderkey + 9007199254740993", "bigint"),
+    "price": ("CAST(l_extendedprice AS DECIMAL(38, 10))", "decimal(38,10)"),
+    "quantity": ("l_quantity", "double"),
+}
+
+
+@_query(
+    "WITH t AS (SELECT "
+    + ", ".join(f"{e} AS {c}" for c, (e, _) in _EXACT.items())
+    + " FROM lineitem) "
+    + " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", min({c})::DOUBLE AS min, max({c})::DOUBLE AS max, """
+        + (
+            "NULL::VARCHAR AS min_exact, NULL::VARCHAR AS max_exact"
+            if kind == "double"
+            else f"min({c})::VARCHAR AS min_exact, max({c})::VARCHAR AS max_exact"
+        )
+        + " FROM t"
+        for c, (_, kind) in _EXACT.items()
     )
+)
+def numeric_summary_exact(spark, folder):
+    """Integers above 2^53 and decimals keep every digit beside a double."""
+    rows = _table(spark, folder, "lineitem").selectExpr(
+        *(f"{e} AS {c}" for c, (e, _) in _EXACT.items())
+    )
+    return insight.numeric_summary(rows).drop("mean")
 
 
 _EVENT_TYPES = {"event_id": "bigint", "ts": "timestamp_ntz", "user_id": "bigint",
@@ -324,9 +362,8 @@ _PROFILED = " UNION ALL ".join(
 
 @_query(_PROFILED)
 def column_profile(spark, folder):
-    return _rounded(
-        insight.column_profile(_table(spark, folder, "events")), "min", "max", "mean"
-    )
+    profiled = insight.column_profile(_table(spark, folder, "events"))
+    return _rounded(profiled, "min", "max", "mean").drop("min_exact", "max_exact")
 
 
 @_query(
@@ -462,13 +499,20 @@ def split_hash(spark, folder):
     return marked.select(*TRIP_KEYS, "split")
 
 
-@_query()
+@_query(
+    """SELECT count(*) AS rows, count(DISTINCT event_id) AS ids, true AS share_holds FROM events"""
+)
 def split_random(spark, folder):
+    """The parts are disjoint and complete, and their shares are near the weights."""
     train, test = insight.split_random(_table(spark, folder, "events"))
     parts = train.withColumn("split", F.lit("train")).union(
         test.withColumn("split", F.lit("test"))
     )
-    return insight.split_sizes(parts)
+    return parts.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.countDistinct("event_id").alias("ids"),
+        (F.abs(F.avg((F.col("split") == "train").cast("double")) - 0.8) < 0.05).alias("share_holds"),
+    )
 
 
 @_query(
@@ -519,6 +563,28 @@ def regression_coefficients_trips(spark, folder):
     return _rounded(insight.coefficients(model), "estimate", digits=4)
 
 
+_WIDE = [f"e{i}" for i in range(24)]
+
+
+@_query(
+    "SELECT unnest(["
+    + ", ".join(f"'{c}'" for c in [*_WIDE, "(intercept)"])
+    + """]) AS term, (SELECT count(*) FROM embeddings) AS rows, 0.0::DOUBLE AS residual"""
+)
+def regression_coefficients_wide(spark, folder):
+    """24 features: the residuals of a least squares fit are orthogonal to each of them."""
+    rows, names = _vectors(spark, folder)
+    label = " + ".join(f"{i % 5 - 2} * {c}" for i, c in enumerate(names))
+    rows = rows.withColumn("y", F.expr(f"3D + {label} + {names[0]} * {names[40]}"))
+    scored = insight.predict(insight.fit_regression(rows, _WIDE, "y"), rows)
+    terms = {**{c: c for c in _WIDE}, "(intercept)": "1D"}
+    products = ", ".join(
+        f"struct('{t}' AS term, count(1) AS rows, avg((y - prediction) * {x}) AS residual)"
+        for t, x in terms.items()
+    )
+    return _rounded(scored.selectExpr(f"array({products}) AS r").selectExpr("inline(r)"), "residual")
+
+
 _SPLIT_CLEAN = f"""{_clean_sql("regression")}, marked AS (
   SELECT *, CASE WHEN {_bucket_sql(*TRIP_KEYS)} < 80 THEN 'train' ELSE 'test' END AS split
   FROM cleaned), training AS (SELECT * FROM marked WHERE split = 'train'),
@@ -529,6 +595,9 @@ _SPLIT_CLEAN = f"""{_clean_sql("regression")}, marked AS (
 
 def _scored_trips(spark: SparkSession, folder: str) -> DataFrame:
     rows = insight.split_hash(_cleaned(spark, folder, "regression", TRIP_KEYS), TRIP_KEYS)
+    kept = f"{scratch_folder(spark)}/rows"
+    rows.write.parquet(kept)  # the join and its hashes are read four times
+    rows = spark.read.schema(rows.schema).parquet(kept)
     model = insight.fit_regression(insight.part(rows, "train"), _TRIP_X, "total_amount")
     return insight.predict(model, rows)
 
@@ -576,8 +645,8 @@ def classification_metrics(spark, folder):
     return _rounded(insight.classification_metrics(_clicks(spark, folder)), "accuracy", "f1")
 
 
-@_query(
-    f"""WITH {_GROUPS_SQL}, stats AS (
+def _silhouette_sql(groups: str) -> str:
+    return f"""WITH {groups}, stats AS (
   SELECT cluster, count(*) AS n, sum(value) AS s1, sum(hour) AS s2,
          sum(value * value + hour * hour) AS q FROM groups GROUP BY cluster),
 distances AS (
@@ -593,12 +662,27 @@ points AS (
 SELECT count(*) AS rows, (SELECT count(*) FROM stats) AS clusters,
        {_r("avg(CASE WHEN n = 1 THEN 0 ELSE (nearest - within) / greatest(nearest, within) END)", "silhouette")}
 FROM points"""
-)
+
+
+@_query(_silhouette_sql(_GROUPS_SQL))
 def silhouette(spark, folder):
     points = _grouped_events(spark, folder)
     return _rounded(insight.silhouette(points, ["value", "hour"]), "silhouette")
 
 
+@_query(
+    _silhouette_sql(
+        "groups AS (SELECT event_id, value, hour(ts) AS hour, event_id % 450 AS cluster FROM events)"
+    )
+)
+def silhouette_many(spark, folder):
+    """450 clusters, by one expression whose size does not depend on them."""
+    points = _table(spark, folder, "events").select(
+        "event_id", "value", F.hour("ts").alias("hour"), (F.col("event_id") % 450).alias("cluster")
+    )
+    return _rounded(insight.silhouette(points, ["value", "hour"]), "silhouette")
+
+
 @_query(f"WITH {_GROUPS_SQL} SELECT cluster, count(*) AS count FROM groups GROUP BY cluster")
 def cluster_sizes(spark, folder):
     return insight.cluster_sizes(_grouped_events(spark, folder))
@@ -617,19 +701,35 @@ def classifier_coefficients(spark, folder):
     return _rounded(insight.coefficients(model), "estimate", digits=4)
 
 
-@_query()
+@_query(
+    f"""{_clean_sql("classification")} SELECT
+        count(*) FILTER ({_bucket_sql(*TRIP_KEYS)} >= 80) AS test_rows,
+        count(*) FILTER ({_bucket_sql(*TRIP_KEYS)} < 80) AS train_rows,
+        true AS equations_hold, 0::BIGINT AS inconsistent FROM cleaned"""
+)
 def classifier_scores(spark, folder):
+    """At the plan's own settings: the training rows solve the score equations to 1e-5 of each
+    feature's size, and every prediction is the likelier class."""
     spec = PLAN.classification
     rows = _cleaned(spark, folder, "classification", TRIP_KEYS)
-    rows = insight.split_hash(rows, TRIP_KEYS)
-    model = insight.fit_classifier(insight.part(rows, "train"), spec.features, spec.label)
-    scored = insight.predict(model, insight.part(rows, "test"))
-    return scored.select(
-        *TRIP_KEYS,
-        F.col(spec.label).alias("label"),
-        "prediction",
-        F.get("probability", F.lit(1)).alias("probability"),
-    )
+    rows = insight.split_hash(rows, TRIP_KEYS).persist()
+    try:
+        model = insight.fit_classifier(insight.part(rows, "train"), spec.features, spec.label)
+        scored = insight.predict(model, rows).withColumn("p", F.get("probability", F.lit(1)))
+        error = f"if(split = 'train', p - {spec.label}, 0D)"
+        holds = " AND ".join(
+            f"abs(sum({error} * {x})) <= 1e-5 * sum(if(split = 'train', abs({x}), 0D))"
+            for x in (*spec.features, "1D")
+        )
+        result = scored.selectExpr(
+            "count_if(split = 'test') AS test_rows",
+            "count_if(split = 'train') AS train_rows",
+            f"{holds} AS equations_hold",
+            "count_if((p >= 0.5) <> (prediction = 1)) AS inconsistent",
+        )
+        return insight.sources.settled(result)
+    finally:
+        rows.unpersist()
 
 
 _CLASS_X = _columns_of("classification")[:-1]
@@ -699,20 +799,46 @@ def _vectors(spark: SparkSession, folder: str) -> tuple[DataFrame, list[str]]:
     ), names
 
 
-@_query()
+@_query("SELECT count(*) AS rows, 0::BIGINT AS not_nearest, 10::BIGINT AS clusters FROM embeddings")
 def kmeans_assign(spark, folder):
+    """64 features: every row is with its nearest centre."""
     table, names = _vectors(spark, folder)
     model = insight.fit_clusters(table, names, k=10, scale=False)
-    return insight.assign_clusters(model, table).select("vec_id", "cluster")
+    centers: dict[int, list[float]] = {}
+    for r in insight.cluster_centers(model).orderBy("cluster").collect():
+        centers.setdefault(r["cluster"], []).append(r["original"])
+    distances = ", ".join(
+        "double(" + " + ".join(f"({n} - {v!r}D) * ({n} - {v!r}D)" for n, v in zip(names, c)) + ")"
+        for c in centers.values()
+    )
+    assigned = insight.assign_clusters(model, table).withColumn("d", F.expr(f"array({distances})"))
+    return assigned.selectExpr(
+        "count(1) AS rows",
+        "count_if(d[cluster] > array_min(d) + 1e-9) AS not_nearest",
+        "count(DISTINCT cluster) AS clusters",
+    )
 
 
-@_query()
+@_query(
+    _clean_sql("kmeans")
+    + " UNION ALL ".join(
+        f" SELECT '{c}' AS feature, 5::BIGINT AS clusters, {_r(f'avg({c})', 'mean', 4)}, {_r(f'stddev_samp({c})', 'std', 4)} FROM cleaned"
+        for c in _KM
+    )
+)
 def cluster_centers(spark, folder):
-    rows = _cleaned(spark, folder, "kmeans").persist()
-    try:
-        return insight.cluster_centers(insight.fit_clusters(rows, PLAN.kmeans.features))
-    finally:
-        rows.unpersist()
+    """Each centre in both units: the straight line between them gives the scale of the rows."""
+    model = insight.fit_clusters(_cleaned(spark, folder, "kmeans"), PLAN.kmeans.features)
+    lines = (
+        insight.cluster_centers(model)
+        .groupBy("feature")
+        .agg(
+            F.count(F.lit(1)).alias("clusters"),
+            F.regr_intercept("original", "scaled").alias("mean"),
+            F.regr_slope("original", "scaled").alias("std"),
+        )
+    )
+    return _rounded(lines, "mean", "std", digits=4)
 
 
 @_query(
@@ -724,11 +850,8 @@ def cluster_centers(spark, folder):
 )
 def cluster_means(spark, folder):
     """Each centre is the mean of its rows, so the centres together give the mean of all."""
-    rows = _cleaned(spark, folder, "kmeans").persist()
-    try:
-        model = insight.fit_clusters(rows, _KM, max_iter=200, tol=0.0)
-    finally:
-        rows.unpersist()
+    rows = _cleaned(spark, folder, "kmeans")
+    model = insight.fit_clusters(rows, _KM, max_iter=200, tol=0.0)
     means = (
         insight.cluster_centers(model)
         .join(insight.fitted_sizes(model), "cluster")
@@ -809,34 +932,181 @@ def outlier_report(spark, folder):
     return _rounded(report, "outlier_ratio")
 
 
-_ROWS = ", ".join(
-    f"""{a} AS ({_clean_sql(a)} SELECT count(*) AS n FROM cleaned)""" for a in _BOUNDS
-)
+_CELLS = f"""{_clean_sql("classification")} SELECT 'classification' AS analysis,
+  'rows with label ' || paid_by_card::INT || ', '
+    || CASE WHEN {_bucket_sql(*TRIP_KEYS)} < 80 THEN 'train' ELSE 'test' END AS metric,
+  count(*)::DOUBLE AS value FROM cleaned GROUP BY ALL"""
+_RUN = [
+    """SELECT 'stats' AS analysis, 'rows' AS metric, count(*)::DOUBLE AS value
+       FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+    *(
+        f"""{_SPLIT_CLEAN} SELECT 'regression' AS analysis, '{m} ' || split AS metric, {_r(e, "value", 4)}
+            FROM scored GROUP BY split"""
+        for m, e in {
+            "rows": "count(*)",
+            "rmse": "sqrt(avg((total_amount - p) ** 2))",
+            "r2": "1 - sum((total_amount - p) ** 2) / (count(*) * var_pop(total_amount))",
+        }.items()
+    ),
+    _CELLS,
+    f"""{_clean_sql("kmeans")} SELECT 'kmeans' AS analysis, 'rows' AS metric,
+        count(*)::DOUBLE AS value FROM cleaned""",
+    *(
+        f"{_Z_SQL} SELECT 'outliers' AS analysis, '{m}' AS metric, {_r(e, 'value', 4)} FROM scored"
+        for m, e in {
+            "rows_examined": "count(*)",
+            "total_rows_used": "any_value(n)",
+            "outlier_count": f"count(*) FILTER ({_FAR})",
+            "outlier_ratio": f"count(*) FILTER ({_FAR}) / any_value(n)",
+        }.items()
+    ),
+]
 
 
 @_query(
-    f"""WITH {_ROWS}
-SELECT 'stats' AS analysis, 'done' AS status, (SELECT count(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey) AS rows
-UNION ALL SELECT 'regression', 'done', n FROM regression
-UNION ALL SELECT 'classification', 'done', n FROM classification
-UNION ALL SELECT 'kmeans', 'done', n FROM kmeans
-UNION ALL SELECT 'outliers', 'done', n FROM outliers"""
+    "SELECT analysis, 'done' AS status, metric, value FROM ("
+    + " UNION ALL ".join(f"SELECT analysis, metric, value FROM ({q})" for q in _RUN)
+    + ")"
 )
 def run_analyses(spark, folder):
+    """The numbers of all five analyses of one run."""
     run = insight.run_analyses(_trips(spark, folder), insight.plans.ANALYSES, PLAN)
-    used: dict[str, Column] = {
-        "stats": F.max("row_count"),
-        "regression": F.sum("rows"),
-        "classification": F.sum("rows"),
-        "kmeans": F.max("rows"),
-        "outliers": F.max("total_rows_used"),
-    }
-    rows = None
-    for analysis, reports in run.reports.items():
-        report = reports["summary" if analysis == "stats" else "metrics"]
-        counted = report.agg(used[analysis].alias("rows")).withColumn("analysis", F.lit(analysis))
-        rows = counted if rows is None else rows.unionByName(counted)
-    return run.status.select("analysis", "status").join(rows, "analysis", "left")
+    metric = lambda analysis, of, value: (
+        f"'{analysis}' AS analysis",
+        f"{of} AS metric",
+        f"round(CAST({value} AS double), 4) + 0D AS value",
+    )
+    reports = {a: r["summary" if a == "stats" else "metrics"] for a, r in run.reports.items()}
+    cells = run.reports["classification"]["confusion"].groupBy("label", "split").agg(
+        F.sum("count").alias("n")
+    )
+    parts = [
+        reports["stats"].selectExpr(*metric("stats", "'rows'", "row_count")),
+        reports["kmeans"].selectExpr(*metric("kmeans", "'rows'", "rows")),
+        cells.selectExpr(
+            *metric("classification", "concat('rows with label ', label, ', ', split)", "n")
+        ),
+        *(
+            reports["regression"].selectExpr(*metric("regression", f"concat('{m} ', split)", m))
+            for m in ("rows", "rmse", "r2")
+        ),
+        *(
+            reports["outliers"].selectExpr(*metric("outliers", f"'{m}'", m))
+            for m in ("rows_examined", "total_rows_used", "outlier_count", "outlier_ratio")
+        ),
+    ]
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    return run.status.select("analysis", "status").join(rows, "analysis")
+
+
+@_query(
+    """SELECT 'regression' AS analysis, 'done' AS status, false AS one_class
+       UNION ALL SELECT 'classification', 'failed', true UNION ALL SELECT 'kmeans', 'skipped', false
+       UNION ALL SELECT 'outliers', 'skipped', false"""
+)
+def run_that_fails(spark, folder):
+    """One class only: the run stops there, keeps what it has and skips the rest."""
+    cards = _trips(spark, folder).where("payment_type = 1")
+    run = insight.run_analyses(cards, insight.plans.ANALYSES[1:], PLAN)
+    told = F.coalesce(F.col("error").contains("one class"), F.lit(False))
+    return run.status.select("analysis", "status", told.alias("one_class"))
+
+
+# ---------------------------------------------------------------- samples, sources and sinks
+
+
+def _sample(spark: SparkSession, folder: str, analysis: str, *order: str | Column) -> DataFrame:
+    spec = dataclasses.replace(getattr(PLAN, analysis), order_by=order)
+    plan = dataclasses.replace(PLAN, **{analysis: spec})
+    return insight.run_analyses(_trips(spark, folder), [analysis], plan).samples[analysis]
+
+
+@_query(
+    f"""{_SPLIT_CLEAN} SELECT {_r("total_amount", "label")}, {_r("p", "prediction", 4)} FROM scored
+        WHERE split = 'test' ORDER BY total_amount DESC, p LIMIT 50"""
+)
+def sample_regression(spark, folder):
+    rows = _sample(spark, folder, "regression", F.desc("label"), "prediction")
+    return _rounded(_rounded(rows, "label"), "prediction", digits=4)
+
+
+@_query(
+    f"""{_clean_sql("classification")} SELECT paid_by_card AS label, true AS consistent FROM cleaned
+        WHERE {_bucket_sql(*TRIP_KEYS)} >= 80 ORDER BY label DESC LIMIT 50"""
+)
+def sample_classification(spark, folder):
+    rows = _sample(spark, folder, "classification", F.desc("label"), F.desc("prediction"))
+    likelier = (F.get("probability", F.lit(1)) >= 0.5) == (F.col("prediction") == 1)
+    return rows.select("label", likelier.alias("consistent"))
+
+
+@_query(
+    f"""{_clean_sql("kmeans")} SELECT {", ".join(_r(f"{c}::DOUBLE", c) for c in _KM)}, true AS assigned
+        FROM cleaned ORDER BY {", ".join(f"cleaned.{c}" for c in _KM)} LIMIT 200"""
+)
+def sample_clusters(spark, folder):
+    rows = _sample(spark, folder, "kmeans", *_KM)
+    known = F.col("cluster").between(0, PLAN.kmeans.k - 1).alias("assigned")
+    return _rounded(rows.select(*_KM, known), *_KM)
+
+
+@_query(
+    f"""{_Z_SQL} SELECT {", ".join(_r(c, c) for c in _OUT)}, {_Z_COLUMNS} FROM scored WHERE {_FAR}
+        ORDER BY {", ".join(f"scored.{c} NULLS FIRST" for c in _OUT)} LIMIT 200"""
+)
+def sample_outliers(spark, folder):
+    rows = _sample(spark, folder, "outliers", *_OUT)
+    names = [*_OUT, *(f"{c}_z" for c in _OUT)]
+    return _rounded(rows.select(*names), *names)
+
+
+_ITEM = "l_orderkey, l_linenumber, l_quantity, l_shipdate, l_returnflag"
+
+
+@_query(f"SELECT {_ITEM}, 'schema' AS read_with FROM lineitem UNION ALL SELECT {_ITEM}, 'header' FROM lineitem")
+def csv_round_trip(spark, folder):
+    """A table written as CSV and read by its suffix, with a schema and by the header alone."""
+    items = _table(spark, folder, "lineitem").select(*_ITEM.split(", "))
+    path = f"{scratch_folder(spark)}/items.csv"
+    items.write.option("header", True).csv(path)
+    typed = insight.read_table(spark, path, schema=items.schema)
+    found = insight.read_table(spark, path).withColumns(
+        {f.name: F.col(f.name).cast(f.dataType) for f in items.schema}
+    )
+    return typed.withColumn("read_with", F.lit("schema")).unionByName(
+        found.withColumn("read_with", F.lit("header"))
+    )
+
+
+@_query(
+    """SELECT event_type AS label, count(*) AS count, NULL::DOUBLE AS nothing
+       FROM events GROUP BY event_type"""
+)
+def report_round_trip(spark, folder):
+    """A report written as JSON lines and read back; null fields are there."""
+    report = insight.class_balance(_table(spark, folder, "events"), "event_type").withColumn(
+        "nothing", F.lit(None).cast("double")
+    )
+    path = f"{scratch_folder(spark)}/report"
+    insight.sources.write_report(report, path)
+    return spark.read.schema(report.schema).json(path)
+
+
+@_query(f"""WITH {_TRIPS} SELECT count(*) AS rows, 0::BIGINT AS values FROM trips""")
+def profile_without_category(spark, folder):
+    """A category that the table does not have is left out of its profile."""
+    report = insight.profile(_trips(spark, folder), AMOUNTS, category="no_such_column")
+    values = F.lit(report.top_values.count()).cast("long").alias("values")
+    return report.summary.select(F.col("row_count").alias("rows"), values)
+
+
+@_query("SELECT vec_id, embedding[1]::DOUBLE AS e0, embedding[24]::DOUBLE AS e23 FROM embeddings")
+def assemble(spark, folder):
+    rows, names = _vectors(spark, folder)
+    vectors = insight.assemble(rows, names[:24]).withColumn("v", vector_to_array("features"))
+    return vectors.selectExpr("vec_id", "v[0] AS e0", "v[size(v) - 1] AS e23")
 
 
 # ---------------------------------------------------------------- contract

@@ -22,19 +22,20 @@ def main(arguments: list[str] | None = None) -> int:
     parser.add_argument("--format", choices=["parquet", "csv"], help="default: by the suffix")
     parser.add_argument("--schema", help="column names and types of a CSV file (DDL)")
     parser.add_argument("--analyses", nargs="+", choices=ANALYSES, default=list(ANALYSES))
-    parser.add_argument("--k", type=int, default=5, help="number of clusters")
-    parser.add_argument("--z", type=float, default=3.0, help="z-score of an outlier")
+    parser.add_argument("--k", type=int, default=5, help="clusters to look for")
+    parser.add_argument("--z", type=float, default=3.0, help="standard deviations from the mean beyond which a row is an outlier")
     parser.add_argument("--split", choices=["hash", "random"], default="hash")
+    parser.add_argument("--split-keys", nargs="+", default=[], help="columns that tell rows apart")
     args = parser.parse_args(arguments)
 
     spark = SparkSession.builder.appName("insight").getOrCreate()
     table = read_table(spark, args.input, args.format, args.schema)
-    plan = trip_plan(k=args.k, z=args.z, split=args.split)
+    plan = trip_plan(k=args.k, z=args.z, split=args.split, split_keys=tuple(args.split_keys))
     run = run_analyses(table, args.analyses, plan, output=args.output, source=args.input)
     failed = False
     for row in run.status.collect():
         failed |= row["status"] != "done"
-        print(f"{row['analysis']}: {row['status']} {row['error'] or ''}".rstrip())
+        print(f"{row['analysis']}: {row['status']} {row['error'] or row['warning'] or ''}".rstrip())
     return int(failed)
 
 

@@ -2,18 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
-from itertools import islice
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from insight.functions import all_of, ident, literal, named, present
-from insight.operators.scratch import checkpointed
-
-# Clusters times features that are written into one expression (see silhouette).
-TERMS_PER_PASS = 1500
+from insight.functions import all_of, ident, named, present
 
 
 def regression_metrics(
@@ -118,12 +112,6 @@ def cluster_sizes(df: DataFrame, cluster: str = "cluster") -> DataFrame:
     )
 
 
-def _blocks(rows: Iterable[Row], size: int) -> Iterable[list[Row]]:
-    rows = iter(rows)
-    while block := list(islice(rows, size)):
-        yield block
-
-
 def silhouette(df: DataFrame, features: Sequence[str], cluster: str = "cluster") -> DataFrame:
     """One row ``(rows, clusters, silhouette)``: the mean silhouette, squared Euclidean.
 
@@ -132,75 +120,41 @@ def silhouette(df: DataFrame, features: Sequence[str], cluster: str = "cluster")
     cluster takes the place of all pairs. A point alone in its cluster scores 0. NULL if
     there are fewer than two clusters. Rows with an absent feature or cluster do not count.
 
-    The cluster aggregates are computed when this is called and become constants of the
-    compiled expression. One expression holds at most ``TERMS_PER_PASS`` of them; more
-    clusters take several passes over the rows, checkpointed in between, so that neither the
-    driver nor a task ever holds them all.
+    Lazy. The clusters' aggregates reach the points as one scalar subquery, an array of one
+    struct for each cluster, and the expression over it does not depend on their number.
     """
     x = [f"x{i}" for i in range(len(features))]
     points = df.where(all_of(present(df.schema[c]) for c in [*features, cluster])).selectExpr(
         *[f"CAST({ident(c)} AS double) AS {n}" for c, n in zip(features, x)],
-        f"CAST({ident(cluster)} AS {_comparable(df.schema[cluster].dataType)}) AS cluster",
+        f"{ident(cluster)} AS cluster",
     )
     stats = points.groupBy("cluster").agg(
         F.expr("count(1) AS n"),
         F.expr(" + ".join(f"var_pop({n})" for n in x) + " AS variance"),
         *[F.expr(f"avg({n}) AS {n}") for n in x],
     )
-    scored = points.selectExpr(
-        "*",
-        "CAST(NULL AS bigint) AS own_n",
-        "CAST(NULL AS double) AS own_mean",
-        "CAST(NULL AS double) AS other_mean",
-    )
-    found = 0
-    for block in _blocks(stats.toLocalIterator(), max(1, TERMS_PER_PASS // len(x))):
-        if found:
-            scored = checkpointed(scored)
-        found += len(block)
-        scored = _against(scored, x, block)
-    within = "own_mean * own_n / (own_n - 1)"
-    score = (
-        f"CASE WHEN own_n = 1 OR greatest({within}, other_mean) = 0D THEN 0D "
-        f"ELSE (other_mean - {within}) / greatest({within}, other_mean) END"
-    )
-    return scored.selectExpr(
-        "count(1) AS rows",
-        f"{found}L AS clusters",
-        f"avg({score}) AS silhouette" if found > 1 else "CAST(NULL AS double) AS silhouette",
-    )
-
-
-def _comparable(kind: T.DataType) -> str:
-    """The type in which cluster labels are compared with constants."""
-    if isinstance(kind, (T.IntegralType, T.BooleanType)):
-        return kind.simpleString()
-    return "double" if isinstance(kind, (T.FloatType, T.DoubleType)) else "string"
-
-
-def _against(points: DataFrame, x: Sequence[str], block: Sequence[Row]) -> DataFrame:
-    """Bring the best distance to another cluster, and that to the own one, up to date."""
-    names = [literal(row["cluster"]) for row in block]
-    distances = [
-        " + ".join(
-            [f"({n} - {literal(row[n])}) * ({n} - {literal(row[n])})" for n in x]
-            + [literal(row["variance"])]
+    clusters = stats.selectExpr(
+        f"collect_list(struct(cluster, n, variance, {', '.join(x)})) AS clusters"
+    ).scalar()
+    squares = " + ".join(f"({n} - s.{n}) * ({n} - s.{n})" for n in x)
+    return (
+        points.withColumn("_clusters", clusters)
+        .selectExpr(
+            f"""transform(_clusters, s -> struct(s.cluster = cluster AS own, s.n AS n,
+                {squares} + s.variance AS d)) AS seen"""
         )
-        for row in block
-    ]
-    sizes = [f"{row['n']}L" for row in block]
-
-    def of_own(values: Sequence[str], before: str) -> str:
-        cases = " ".join(f"WHEN {name} THEN {value}" for name, value in zip(names, values))
-        return f"CASE cluster {cases} ELSE {before} END AS {before}"
-
-    others = ", ".join(
-        f"CASE WHEN cluster <> {name} THEN {d} END" for name, d in zip(names, distances)
-    )
-    return points.selectExpr(
-        *x,
-        "cluster",
-        of_own(sizes, "own_n"),
-        of_own(distances, "own_mean"),
-        f"least(other_mean, {others}) AS other_mean",
+        .selectExpr(
+            "size(seen) AS clusters",
+            "filter(seen, s -> s.own)[0] AS own",
+            "array_min(transform(seen, s -> if(s.own, NULL, s.d))) AS nearest",
+        )
+        .selectExpr("clusters", "own.n AS n", "try_divide(own.d * own.n, own.n - 1) AS within", "nearest")
+        .selectExpr(
+            "count(1) AS rows",
+            "coalesce(max(clusters), 0) AS clusters",
+            """CASE WHEN max(clusters) > 1 THEN avg(
+                 CASE WHEN n = 1 OR greatest(within, nearest) = 0D THEN 0D
+                      ELSE (nearest - within) / greatest(within, nearest) END) END AS silhouette""",
+        )
+        .selectExpr("rows", "CAST(clusters AS bigint) AS clusters", "silhouette")
     )

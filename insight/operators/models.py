@@ -6,11 +6,13 @@ Scoring adds plain columns; the vectors that MLlib works on are dropped again.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
-import numpy as np
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import StorageLevel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import StandardScaler, StandardScalerModel, VectorAssembler
@@ -19,15 +21,12 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from insight.functions import all_of, ident, literal, present
+from insight.functions import all_of, ident, literal, named
 from insight.sources import local_table
 
 _VECTOR, _SCALED, _RAW, _PROBABILITY = "_features", "_scaled", "_raw", "_probability"
 _ASSIGNED = "_cluster"
 
-# Up to this many features the sums of a regression fit into one compiled aggregate.
-SUMMED_FEATURES = 10
-
 
 @dataclass(frozen=True)
 class LinearModel:
@@ -46,63 +45,80 @@ def _assembler(features: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol=_VECTOR)
 
 
+_UNFIT = "[rows to fit lack a value or hold an infinite one]"
+
+
+def _prepared(df: DataFrame, features: Sequence[str], label: str | None = None) -> DataFrame:
+    """The columns of a fit as doubles. A null, NaN or infinite value stops the task that
+    meets it, in the pass that reads it anyway."""
+    columns = [*features] if label is None else [*features, label]
+    good = all_of(f"abs(CAST({ident(c)} AS double)) < double('infinity')" for c in columns)
+    checked = f"CASE WHEN {good} THEN {{0}} ELSE raise_error({literal(_UNFIT)}) END"
+    return df.selectExpr(
+        *(f"{checked.format(f'CAST({ident(c)} AS double)')} AS {ident(c)}" for c in columns)
+    )
+
+
+@contextmanager
+def _fitting(columns: Sequence[str]):
+    """Say what is wrong with the rows in the same words for every model and every width."""
+    try:
+        yield
+    except Exception as error:
+        text = str(error)
+        if _UNFIT in text:
+            raise ValueError(
+                f"null, NaN or infinite values among {list(columns)}; clean them first"
+            ) from error
+        if re.search("(dataset|instances).{0,40}(empty|zero)|empty (dataset|collection|RDD)|nothing has been added", text, re.I):
+            raise ValueError("there are no rows to fit") from error
+        raise
+
+
 def fit_regression(df: DataFrame, features: Sequence[str], label: str = "label") -> LinearModel:
-    """Least squares with intercept, without regularisation.
+    """Least squares with intercept, without regularisation, by MLlib at every width.
 
-    Reads the input once: one aggregate of plain sums gives the normal equations, which have
-    the size of the features and are solved on the driver. A constant feature gets the
-    coefficient 0, and features that depend on each other share theirs. Null, NaN or infinite
-    values are an error: clean first. With more than ``SUMMED_FEATURES`` features MLlib does
-    the same on vectors.
+    Reads the input three times: for means and deviations, and twice in MLlib, for the normal
+    equations of the centred columns and for a summary. So columns far from zero keep their
+    digits. A constant feature gets the coefficient 0, and features that depend on each other
+    share theirs. Null, NaN or infinite values, and no rows, are a ValueError.
     """
     features = tuple(features)
-    if len(features) > SUMMED_FEATURES:
-        learner = LinearRegression(featuresCol=_VECTOR, labelCol=label)
-        fitted = Pipeline(stages=[_assembler(features), learner]).fit(df).stages[-1]
-        return LinearModel(
-            features, tuple(map(float, fitted.coefficients)), float(fitted.intercept)
-        )
     columns = [*features, label]
-    mean, cov = _covariance(df, columns, np.zeros(len(columns)))
-    if np.any(np.diag(cov) < 1e-6 * mean**2):
-        # Far from zero compared with the spread: the digits are lost. Sum around the means.
-        mean, cov = _covariance(df, columns, mean)
-    x = slice(0, len(features))
-    std = np.sqrt(np.clip(np.diag(cov)[x], 0.0, None))
-    varies = std > 1e-12 * np.abs(mean[x])
-    slopes = np.zeros(len(features))
-    if varies.any():
-        s = std[varies]
-        correlation = cov[x, x][np.ix_(varies, varies)] / np.outer(s, s)
-        slopes[varies] = np.linalg.lstsq(correlation, cov[x, -1][varies] / s, rcond=1e-12)[0] / s
-    return LinearModel(features, tuple(map(float, slopes)), float(mean[-1] - slopes @ mean[x]))
-
-
-def _covariance(
-    df: DataFrame, columns: Sequence[str], origin: np.ndarray
-) -> tuple[np.ndarray, np.ndarray]:
-    """Means and population covariances, from sums of products around ``origin``."""
-    x = [f"(CAST({ident(c)} AS double) - {literal(float(o))})" for c, o in zip(columns, origin)]
-    pairs = [(i, j) for i in range(len(x)) for j in range(i, len(x))]
-    complete = all_of(present(df.schema[c]) for c in columns)
-    sums = df.selectExpr(
-        "count(1) AS rows",
-        f"count_if(NOT ({complete})) AS absent",
-        *[f"sum({c}) AS s{i}" for i, c in enumerate(x)],
-        *[f"sum({x[i]} * {x[j]}) AS s{i}_{j}" for i, j in pairs],
-    ).first()
-    if sums["rows"] == 0:
+    with _fitting(columns):
+        rows = _prepared(df, features, label)
+        moments = rows.selectExpr(
+            "count(1) AS rows",
+            *(f"avg({ident(c)}) AS m{i}" for i, c in enumerate(columns)),
+            *(f"stddev_pop({ident(c)}) AS s{i}" for i, c in enumerate(columns)),
+        ).first()
+    if moments["rows"] == 0:
         raise ValueError("there are no rows to fit")
-    if sums["absent"]:
-        raise ValueError(f"{sums['absent']} rows lack one of {list(columns)}; clean them first")
-    mean = np.array([sums[f"s{i}"] for i in range(len(x))]) / sums["rows"]
-    cov = np.empty((len(x), len(x)))
-    with np.errstate(invalid="ignore"):
-        for i, j in pairs:
-            cov[i, j] = cov[j, i] = sums[f"s{i}_{j}"] / sums["rows"] - mean[i] * mean[j]
-    if not np.isfinite(cov).all():
-        raise ValueError(f"infinite values among {list(columns)}; clean them first")
-    return mean + origin, cov
+    means = [moments[f"m{i}"] for i in range(len(columns))]
+    varies = [moments[f"s{i}"] > 1e-12 * abs(m) for i, m in enumerate(means)]
+    centred = rows.selectExpr(
+        *(
+            f"{ident(c)} - {literal(m)} AS {ident(c)}" if v else f"0D AS {ident(c)}"
+            for c, m, v in zip(columns, means, varies)
+        )
+    )
+    slopes = [0.0] * len(features)
+    if varies[-1]:
+        learner = LinearRegression(featuresCol=_VECTOR, labelCol=label)
+        vectors = _assembler(features).transform(centred).select(_VECTOR, named(label))
+        slopes = [float(c) for c in learner.fit(vectors).coefficients]
+    shift = sum(c * m for c, m in zip(slopes, means))
+    return LinearModel(features, tuple(slopes), float(means[-1] - shift))
+
+
+@contextmanager
+def _kept(rows: DataFrame):
+    """``rows`` persisted for as long as a fit iterates over them."""
+    rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield rows
+    finally:
+        rows.unpersist()
 
 
 def fit_classifier(
@@ -114,9 +130,9 @@ def fit_classifier(
 ) -> PipelineModel:
     """Binary logistic regression for labels 0.0 and 1.0, without regularisation.
 
-    MLlib reads the input once and keeps the vectors while it iterates. Raises ValueError if
-    only one of the labels occurs, which MLlib answers with an infinite intercept before it
-    iterates.
+    The input is read once, into vectors that are kept (``MEMORY_AND_DISK``) until the fit ends.
+    Raises ValueError if only one of the labels occurs, which MLlib answers with an infinite
+    intercept before it iterates, for null, NaN or infinite values, and for no rows.
     """
     learner = LogisticRegression(
         featuresCol=_VECTOR,
@@ -127,10 +143,13 @@ def fit_classifier(
         maxIter=max_iter,
         tol=tol,
     )
-    model = Pipeline(stages=[_assembler(features), learner]).fit(df)
-    if math.isinf(model.stages[-1].intercept):
+    assembler = _assembler(features)
+    rows = assembler.transform(_prepared(df, features, label)).select(_VECTOR, named(label))
+    with _fitting([*features, label]), _kept(rows):
+        fitted = learner.fit(rows)
+    if math.isinf(fitted.intercept):
         raise ValueError(f"column {label!r} holds one class only; two are needed")
-    return model
+    return PipelineModel(stages=[assembler, fitted])
 
 
 def predict(model: LinearModel | PipelineModel, df: DataFrame) -> DataFrame:
@@ -167,26 +186,31 @@ def fit_clusters(
 ) -> PipelineModel:
     """k-means, by default on features scaled to mean 0 and standard deviation 1.
 
-    MLlib keeps the vectors while it iterates, but reads the input three times: for the
-    scale, to fill its cache, and to count the clusters (see ``fitted_sizes``). Persist the
-    cleaned rows where reading them again costs more than keeping them.
+    The input is read once, into vectors that are kept (``MEMORY_AND_DISK``) until the fit ends:
+    the scale, the iterations and the cluster sizes all come from these. Null, NaN or infinite
+    values, and no rows, are a ValueError.
     """
     stages = [_assembler(features)]
-    if scale:
-        stages.append(
-            StandardScaler(inputCol=_VECTOR, outputCol=_SCALED, withMean=True, withStd=True)
-        )
-    stages.append(
-        KMeans(
-            k=k,
-            seed=seed,
-            featuresCol=_SCALED if scale else _VECTOR,
-            predictionCol=_ASSIGNED,
-            maxIter=max_iter,
-            tol=tol,
-        )
+    learner = KMeans(
+        k=k,
+        seed=seed,
+        featuresCol=_SCALED if scale else _VECTOR,
+        predictionCol=_ASSIGNED,
+        maxIter=max_iter,
+        tol=tol,
     )
-    return Pipeline(stages=stages).fit(df)
+    rows = stages[0].transform(_prepared(df, features)).select(_VECTOR)
+    with _fitting(features), _kept(rows):
+        seen = rows
+        if scale:
+            scaler = StandardScaler(
+                inputCol=_VECTOR, outputCol=_SCALED, withMean=True, withStd=True
+            ).fit(rows)
+            stages.append(scaler)
+            seen = scaler.transform(rows)
+        fitted = learner.fit(seen)
+        fitted.summary.clusterSizes  # noqa: B018 - counted now, while the vectors are kept
+    return PipelineModel(stages=[*stages, fitted])
 
 
 def _scaler(model: PipelineModel) -> StandardScalerModel | None:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,34 +32,47 @@ def _numeric(df: DataFrame, columns: Sequence[str]) -> list[str]:
     return [c for c in columns if isinstance(df.schema[c].dataType, T.NumericType)]
 
 
-def _extreme_type(df: DataFrame, columns: Sequence[str]) -> T.DataType:
-    """Type in which min and max of several columns are reported together.
-
-    bigint as long as every column is an integer, so that large keys stay exact; else double.
-    """
-    if columns and all(isinstance(df.schema[c].dataType, _INTEGRAL) for c in columns):
-        return T.LongType()
-    return T.DoubleType()
+#: Columns that one aggregate profiles: so many that it stays compiled code. The aggregates of
+#: all groups read columns of their own, so a columnar source is still read once.
+GROUP = 10
+_RANGE = ("min", "max", "min_exact", "max_exact", "mean")
+_RANGE_TYPES = "min double, max double, min_exact string, max_exact string, mean double"
 
 
 def _per_column(
-    df: DataFrame, aggregates: list[str], names: Sequence[str], rows: list[list[str]]
+    df: DataFrame, names: Sequence[str], columns: Sequence[tuple[list[str], list[str]]]
 ) -> DataFrame:
-    """One aggregate over the whole table, then one output row per entry of ``rows``."""
-    structs = [
-        "struct(" + ", ".join(f"{value} AS `{name}`" for name, value in zip(names, row)) + ")"
-        for row in rows
-    ]
-    return df.selectExpr(*aggregates).selectExpr(f"inline(array({', '.join(structs)}))")
-
-
-def _ranges(i: int, column: str, extreme: T.DataType) -> list[str]:
-    """min, max and mean of the i-th column."""
-    kind, c = extreme.simpleString(), ident(column)
-    return [
-        f"CAST(min({c}) AS {kind}) AS min_{i}",
-        f"CAST(max({c}) AS {kind}) AS max_{i}",
-        f"CAST(avg({c}) AS double) AS mean_{i}",
+    """One row for each of ``columns``, its aggregates and its values made of them; one
+    aggregate over the table for each group of columns."""
+    groups = []
+    for begin in range(0, len(columns), GROUP):
+        group = columns[begin : begin + GROUP]
+        structs = [
+            "struct(" + ", ".join(f"{v} AS `{n}`" for n, v in zip(names, row)) + ")"
+            for _, row in group
+        ]
+        groups.append(
+            df.selectExpr("count(1) AS rows", *[a for aggregates, _ in group for a in aggregates])
+            .selectExpr(f"inline(array({', '.join(structs)}))")
+        )
+    return reduce(DataFrame.unionAll, groups)
+
+
+def _ranges(df: DataFrame, i: int, column: str) -> tuple[list[str], list[str]]:
+    """Aggregates of the i-th column, and the values of ``_RANGE``.
+
+    Integers and decimals, which a double may not hold, are given as text as well.
+    """
+    c = ident(column)
+    exact = isinstance(df.schema[column].dataType, (*_INTEGRAL, T.DecimalType))
+    mean = f"CAST({c} AS double)" if isinstance(df.schema[column].dataType, T.DecimalType) else c
+    text = "CAST({} AS string)" if exact else "CAST(NULL AS string)"
+    return [f"min({c}) AS min_{i}", f"max({c}) AS max_{i}", f"avg({mean}) AS mean_{i}"], [
+        f"CAST(min_{i} AS double)",
+        f"CAST(max_{i} AS double)",
+        text.format(f"min_{i}"),
+        text.format(f"max_{i}"),
+        f"CAST(mean_{i} AS double)",
     ]
 
 
@@ -89,9 +103,11 @@ def null_counts(
     places = [df.columns.index(c) for c in chosen]
     return _per_column(
         df,
-        ["count(1) AS rows", *[f"count({ident(c)}) AS filled_{i}" for i, c in zip(places, chosen)]],
         ("ordinal", "column", "null_count"),
-        [[str(i), literal(c), f"rows - filled_{i}"] for i, c in zip(places, chosen)],
+        [
+            ([f"count({ident(c)}) AS filled_{i}"], [str(i), literal(c), f"rows - filled_{i}"])
+            for i, c in zip(places, chosen)
+        ],
     )
 
 
@@ -109,24 +125,23 @@ def _most_nulls(counts: DataFrame, n: int) -> DataFrame:
 def numeric_summary(
     df: DataFrame, columns: Sequence[str] | None = None, missing: str = "error"
 ) -> DataFrame:
-    """``(column, min, max, mean)`` of numeric columns (all by default) in one pass.
+    """``(column, min, max, min_exact, max_exact, mean)`` of numeric columns (default: all).
 
     NaN sorts above every number: it does not touch the minimum, but it becomes the maximum
-    and the mean. Nulls are left out. min and max are bigint if all columns are integers,
-    else double.
+    and the mean. Nulls are left out. ``min`` and ``max`` are doubles; of integers and decimals,
+    ``min_exact`` and ``max_exact`` have every digit as text. The types do not depend on the
+    columns.
     """
     chosen = _chosen(df, columns, missing)
     if columns is None:
         chosen = _numeric(df, chosen)
-    extreme = _extreme_type(df, chosen)
     if not chosen:
-        kind = extreme.simpleString()
-        return local_table(df.sparkSession, [], f"column string, min {kind}, max {kind}, mean double")
+        return local_table(df.sparkSession, [], f"column string, {_RANGE_TYPES}")
+    ranges = [_ranges(df, i, c) for i, c in enumerate(chosen)]
     return _per_column(
         df,
-        [e for i, c in enumerate(chosen) for e in _ranges(i, c, extreme)],
-        ("column", "min", "max", "mean"),
-        [[literal(c), f"min_{i}", f"max_{i}", f"mean_{i}"] for i, c in enumerate(chosen)],
+        ("column", *_RANGE),
+        [(a, [literal(c), *row]) for c, (a, row) in zip(chosen, ranges)],
     )
 
 
@@ -149,27 +164,26 @@ def top_values(df: DataFrame, column: str, k: int = 10, missing: str = "error")
 def column_profile(
     df: DataFrame, numeric: Sequence[str] | None = None, missing: str = "error"
 ) -> DataFrame:
-    """Row count, nulls and numeric range of every column, from ONE pass over the table.
+    """Row count, nulls and numeric range of every column, each column read once.
 
-    ``(ordinal, column, type, row_count, null_count, min, max, mean)``; the last three are
-    NULL for columns that are not summarised (by default those that are not numeric).
+    ``(ordinal, column, type, row_count, null_count)`` and what ``numeric_summary`` has, NULL for
+    columns that are not summarised (by default those that are not numeric).
     """
     wanted = _numeric(df, df.columns) if numeric is None else _chosen(df, numeric, missing)
-    extreme = _extreme_type(df, wanted)
-    kind = extreme.simpleString()
-    aggregates, rows = ["count(1) AS rows"], []
+    columns = []
     for i, field in enumerate(df.schema.fields):
-        aggregates.append(f"count({ident(field.name)}) AS filled_{i}")
         row = [str(i), literal(field.name), literal(field.dataType.simpleString())]
         row += ["rows", f"rows - filled_{i}"]
+        aggregates = [f"count({ident(field.name)}) AS filled_{i}"]
         if field.name in wanted:
-            aggregates += _ranges(i, field.name, extreme)
-            row += [f"min_{i}", f"max_{i}", f"mean_{i}"]
+            more, values = _ranges(df, i, field.name)
+            aggregates += more
         else:
-            row += [f"CAST(NULL AS {kind})", f"CAST(NULL AS {kind})", "CAST(NULL AS double)"]
-        rows.append(row)
-    names = ("ordinal", "column", "type", "row_count", "null_count", "min", "max", "mean")
-    return _per_column(df, aggregates, names, rows)
+            kinds = (f.dataType.simpleString() for f in T.StructType.fromDDL(_RANGE_TYPES))
+            values = [f"CAST(NULL AS {k})" for k in kinds]
+        columns.append((aggregates, [*row, *values]))
+    names = ("ordinal", "column", "type", "row_count", "null_count", *_RANGE)
+    return _per_column(df, names, columns)
 
 
 @dataclass(frozen=True)
@@ -193,7 +207,7 @@ def profile(
     top_k: int = 10,
     missing: str = "skip",
 ) -> Profile:
-    """The whole profile with two passes: one over all columns, one over ``category`` alone.
+    """The whole profile: each column read once, and ``category`` once more.
 
     The first runs now. It leaves one row per column of ``df``, from which all tables but
     ``top_values`` are made; that one is lazy.
@@ -209,7 +223,7 @@ def profile(
         null_counts=columns.select("ordinal", "column", "null_count"),
         top_null_columns=_most_nulls(columns, top_nulls),
         numeric_summary=columns.where(F.col("column").isin(wanted)).select(
-            "column", "min", "max", "mean"
+            "column", *_RANGE
         ),
         top_values=local_table(df.sparkSession, [], "value string, count bigint")
         if category is None

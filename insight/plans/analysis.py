@@ -19,6 +19,7 @@ class ProfileSpec:
     top_nulls: int = 20
     top_k: int = 10
     sample: int = 50
+    order_by: tuple = ()
 
 
 @dataclass(frozen=True)
@@ -27,6 +28,7 @@ class RegressionSpec:
     label: str
     rules: tuple[Range, ...] = ()
     sample: int = 50
+    order_by: tuple = ()
 
 
 @dataclass(frozen=True)
@@ -35,7 +37,9 @@ class ClassificationSpec:
     label: str
     rules: tuple[Range, ...] = ()
     max_iter: int = 30
+    meaning: str = ""
     sample: int = 50
+    order_by: tuple = ()
 
 
 @dataclass(frozen=True)
@@ -45,6 +49,7 @@ class ClusterSpec:
     k: int = 5
     seed: int = 42
     sample: int = 200
+    order_by: tuple = ()
 
 
 @dataclass(frozen=True)
@@ -54,13 +59,16 @@ class OutlierSpec:
     z: float = 3.0
     scope: str = "all"
     sample: int = 200
+    order_by: tuple = ()
 
 
 @dataclass(frozen=True)
 class AnalysisPlan:
     """The analyses that can be run over one input.
 
-    ``derive`` adds columns first (see ``DataFrame.transform``). ``split`` says how train and
+    ``derive`` adds columns first (see ``DataFrame.transform``); ``require`` names the source
+    columns without which a derived one is absent. A spec's ``order_by`` fixes which rows its
+    sample takes; without one it takes any. ``split`` says how train and
     test are told apart: ``hash`` by the values of ``split_keys`` (of the features and the
     label where none are given), the same for every layout of the input, with equal rows on
     the same side; ``random`` row by row from ``seed``, repeatable for one layout only.
@@ -76,6 +84,7 @@ class AnalysisPlan:
     split_keys: tuple[str, ...] = ()
     train_pct: int = 80
     seed: int = 42
+    require: tuple[str, ...] = ()
 
     def __post_init__(self):
         if self.split not in ("hash", "random"):
@@ -130,6 +139,7 @@ def trip_plan(
             features=(distance, passengers, duration, fare),
             label=card,
             rules=(*trips, Range(fare, gt=0)),
+            meaning=f"1 where {payment} is 1 (card), 0 where it is 2 (cash)",
         ),
         kmeans=ClusterSpec(
             features=(distance, duration, fare, tip, passengers),
@@ -149,4 +159,5 @@ def trip_plan(
         ),
         split=split,
         split_keys=split_keys,
+        require=(pickup, dropoff),
     )

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -42,8 +42,8 @@ from insight.sources import local_table, sample_rows, settled, write_report
 ANALYSES = ("stats", "regression", "classification", "kmeans", "outliers")
 
 _STATUS = (
-    "analysis string, status string, error string, input string, started_utc string, "
-    "duration_seconds double"
+    "analysis string, status string, error string, warning string, input string, "
+    "started_utc string, duration_seconds double"
 )
 
 
@@ -66,14 +66,15 @@ def run_analyses(
     names: Iterable[str],
     plan: AnalysisPlan,
     output: str | None = None,
-    storage: StorageLevel | None = StorageLevel.MEMORY_AND_DISK,
     source: str | None = None,
 ) -> AnalysisRun:
     """Run the named analyses of ``plan`` over ``df``, in the order of ``ANALYSES``.
 
-    The columns that the models need are derived and projected once and kept at ``storage``
-    (None: read again instead) until the run ends. The first failure stops the run: what was
-    finished stays, the failed analysis carries the error text, the rest are ``skipped``.
+    Each analysis derives and cleans its rows from ``df`` itself, so its bounds reach the reader
+    of the source; only the cleaned columns of the models, which read them several
+    times, are kept until that analysis ends. The first failure stops the run: what was
+    finished stays, the failed analysis carries the error text, the rest are ``skipped``. The
+    status warns if a hash split leaves the share that was asked for by more than 1 %.
     With ``output``, reports and samples are also written below that folder. ``source`` says
     in the status table where ``df`` came from.
     """
@@ -86,56 +87,53 @@ def run_analyses(
     if undefined:
         raise ValueError(f"the plan does not define: {undefined}")
 
-    models = [a for a in chosen if a != "stats"]
-    shared = None
     run = AnalysisRun(status=local_table(df.sparkSession, [], _STATUS))
     status = []
     failed = False
-    try:
-        for name in chosen:
-            if failed:
-                status.append((name, "skipped", None, source, None, None))
-                continue
-            started, clock = datetime.now(timezone.utc).isoformat(), time.monotonic()
-            error = None
-            try:
-                if name != "stats" and shared is None:
-                    shared = _shared(df, plan, models)
-                    shared = shared if storage is None else shared.persist(storage)
-                step = _STEPS[name](df if name == "stats" else shared, plan, storage)
-                sample = step.pop("sample")
-                if output is not None:
-                    sample = _written(sample, step, f"{output}/{name}")
-                run.reports[name], run.samples[name] = step, sample
-            except Exception as failure:  # noqa: BLE001 - the status table reports it
-                error, failed = str(failure), True
-            took = time.monotonic() - clock
-            outcome = "failed" if failed else "done"
-            status.append((name, outcome, error, source, started, took))
-    finally:
-        if shared is not None and storage is not None:
-            shared.unpersist()
+    for name in chosen:
+        if failed:
+            status.append((name, "skipped", None, None, source, None, None))
+            continue
+        started, clock = datetime.now(timezone.utc).isoformat(), time.monotonic()
+        error = warning = None
+        try:
+            step = _STEPS[name](df, plan)
+            sample, warning = step.pop("sample"), step.pop("warning", None)
+            if output is not None:
+                sample = _written(sample, step, f"{output}/{name}")
+            run.reports[name], run.samples[name] = step, sample
+        except Exception as failure:  # noqa: BLE001 - the status table reports it
+            error, failed = str(failure), True
+        took = time.monotonic() - clock
+        outcome = "failed" if failed else "done"
+        status.append((name, outcome, error, warning, source, started, took))
     run.status = local_table(df.sparkSession, status, _STATUS)
     if output is not None:
         write_report(run.status, f"{output}/status")
     return run
 
 
-def _shared(df: DataFrame, plan: AnalysisPlan, names: list[str]) -> DataFrame:
-    """Only the columns that the named analyses read. Absent ones fail where they are used.
+def _cleaned(df: DataFrame, plan: AnalysisPlan, spec, columns: Sequence[str]) -> DataFrame:
+    """The rows of one analysis, cleaned where they are read.
 
-    With derived columns in place of timestamps these are numbers as a rule, which Spark
-    reads from its cache in vectors.
+    Bounds on columns of the source, and the presence of what the derived ones are made of,
+    reach its reader.
     """
-    needed: dict[str, None] = {}
-    for name in names:
-        spec = getattr(plan, name)
-        needed |= dict.fromkeys(spec.columns if name == "outliers" else spec.features)
-        needed |= dict.fromkeys(rule.column for rule in spec.rules)
-        if name in ("regression", "classification"):
-            needed |= dict.fromkeys([spec.label, *plan.split_keys])
     derived = df.transform(plan.derive)
-    return derived.select(*[named(c) for c in needed if c in derived.columns])
+    inputs = [c for c in plan.require if c in df.columns and _uses_derived(spec, columns, df)]
+    return clean(derived, columns, spec.rules, require=inputs)
+
+
+def _uses_derived(spec, columns: Sequence[str], df: DataFrame) -> bool:
+    """Whether an analysis needs a column that the source does not have."""
+    return any(c not in df.columns for c in (*columns, *(r.column for r in spec.rules)))
+
+
+def _described(metrics: DataFrame, method: str, spec, **more) -> DataFrame:
+    """``metrics`` with what they were made of and by."""
+    columns = getattr(spec, "columns", None) or spec.features
+    fields = {"method": method, "features": ", ".join(columns), **more}
+    return metrics.withColumns({k: F.lit(v) for k, v in fields.items()})
 
 
 def _written(sample: DataFrame, reports: dict[str, DataFrame], folder: str) -> DataFrame:
@@ -146,7 +144,7 @@ def _written(sample: DataFrame, reports: dict[str, DataFrame], folder: str) -> D
     return sample.sparkSession.read.parquet(f"{folder}/sample")
 
 
-def _stats(df: DataFrame, plan: AnalysisPlan, storage: StorageLevel | None):
+def _stats(df: DataFrame, plan: AnalysisPlan):
     spec = plan.stats
     report = profile(df, spec.numeric, spec.category, spec.top_nulls, spec.top_k)
     return {
@@ -155,7 +153,7 @@ def _stats(df: DataFrame, plan: AnalysisPlan, storage: StorageLevel | None):
         "top_null_columns": report.top_null_columns,
         "numeric_summary": report.numeric_summary,
         "top_values": settled(report.top_values),
-        "sample": sample_rows(df, spec.sample),
+        "sample": sample_rows(df, spec.sample, spec.order_by),
     }
 
 
@@ -164,40 +162,64 @@ def _training_rows(df: DataFrame, plan: AnalysisPlan, spec) -> DataFrame:
     columns = [*spec.features, spec.label]
     if plan.split == "random":
         shares = (plan.train_pct / 100, 1 - plan.train_pct / 100)
-        parts = split_random(clean(df, columns, spec.rules), shares, plan.seed)
+        parts = split_random(_cleaned(df, plan, spec, columns), shares, plan.seed)
         train, test = (p.withColumn("split", F.lit(s)) for p, s in zip(parts, (TRAIN, TEST)))
         return train.union(test)
     if plan.split_keys:
         keys = [c for c in plan.split_keys if c not in columns]
-        rows = clean(df, [*columns, *keys], spec.rules)
+        rows = _cleaned(df, plan, spec, [*columns, *keys])
         return split_hash(rows, plan.split_keys, plan.train_pct).drop(*keys)
-    return split_hash(clean(df, columns, spec.rules), columns, plan.train_pct, "xxhash64")
+    return split_hash(_cleaned(df, plan, spec, columns), columns, plan.train_pct, "xxhash64")
+
 
+def _share_warning(plan: AnalysisPlan, metrics: DataFrame) -> str | None:
+    """What to say if the training rows are not the share that was asked for."""
+    rows = {r["split"]: r["rows"] for r in metrics.collect()}
+    share = 100 * rows.get(TRAIN, 0) / max(1, sum(rows.values()))
+    if plan.split == "hash" and abs(share - plan.train_pct) > 1:
+        return (
+            f"{share:.1f} % of the rows are for training, not {plan.train_pct} %: equal keys "
+            "stay together; name split keys that tell rows apart"
+        )
+    return None
 
-def _regression(df: DataFrame, plan: AnalysisPlan, storage: StorageLevel | None):
+
+def _regression(df: DataFrame, plan: AnalysisPlan):
     spec = plan.regression
-    rows = _training_rows(df, plan, spec)
-    model = fit_regression(part(rows, TRAIN), spec.features, spec.label)
-    scored = predict(model, rows)
+    rows = _training_rows(df, plan, spec).persist(StorageLevel.MEMORY_AND_DISK)
+    try:  # cleaned and marked rows, read three times for the fit and again for the scores
+        model = fit_regression(part(rows, TRAIN), spec.features, spec.label)
+        scored = predict(model, rows)
+        metrics = settled(regression_metrics(scored, spec.label, by=["split"]))
+    finally:
+        rows.unpersist()
     return {
-        "metrics": settled(regression_metrics(scored, spec.label, by=["split"])),
+        "metrics": _described(metrics, "linear regression", spec, label=spec.label),
         "coefficients": coefficients(model),
         "sample": sample_rows(
             part(scored, TEST).select(named(spec.label).alias("label"), "prediction"),
             spec.sample,
+            spec.order_by,
         ),
+        "warning": _share_warning(plan, metrics),
     }
 
 
-def _classification(df: DataFrame, plan: AnalysisPlan, storage: StorageLevel | None):
+def _classification(df: DataFrame, plan: AnalysisPlan):
     spec = plan.classification
-    rows = _training_rows(df, plan, spec)
-    model = fit_classifier(part(rows, TRAIN), spec.features, spec.label, spec.max_iter)
-    scored = predict(model, rows)
-    # One pass over the scored rows; metrics, confusion and balance all follow from it.
-    cells = settled(confusion_matrix(scored, spec.label, by=["split"]))
+    rows = _training_rows(df, plan, spec).persist(StorageLevel.MEMORY_AND_DISK)
+    try:  # cleaned and marked rows, read for the fit and again for the scores
+        model = fit_classifier(part(rows, TRAIN), spec.features, spec.label, spec.max_iter)
+        scored = predict(model, rows)
+        # One pass over the scored rows; metrics, confusion and balance all follow from it.
+        cells = settled(confusion_matrix(scored, spec.label, by=["split"]))
+    finally:
+        rows.unpersist()
+    metrics = settled(classification_metrics(cells, by=["split"], weight="count"))
     return {
-        "metrics": settled(classification_metrics(cells, by=["split"], weight="count")),
+        "metrics": _described(
+            metrics, "logistic regression", spec, label=spec.label, meaning=spec.meaning
+        ),
         "confusion": cells,
         "class_balance": settled(
             cells.groupBy("label").agg(F.sum("count").alias("count")).orderBy("label")
@@ -208,46 +230,51 @@ def _classification(df: DataFrame, plan: AnalysisPlan, storage: StorageLevel | N
                 named(spec.label).alias("label"), "prediction", "probability"
             ),
             spec.sample,
+            spec.order_by,
         ),
+        "warning": _share_warning(plan, metrics),
     }
 
 
-def _kmeans(df: DataFrame, plan: AnalysisPlan, storage: StorageLevel | None):
+def _kmeans(df: DataFrame, plan: AnalysisPlan):
     spec = plan.kmeans
-    rows = clean(df, spec.features, spec.rules)
-    model = fit_clusters(rows, spec.features, spec.k, spec.seed)
-    assigned = assign_clusters(model, rows, scaled_suffix="_scaled")
-    points = assigned.select(*[named(f + "_scaled") for f in spec.features], "cluster")
-    if storage is not None:
-        points = points.persist(storage)
-    try:
-        return {
-            "metrics": settled(silhouette(points, [f + "_scaled" for f in spec.features])),
-            "sizes": fitted_sizes(model),
-            "centers": cluster_centers(model),
-            "sample": sample_rows(
-                assigned.select(*map(named, spec.features), "cluster"), spec.sample
-            ),
-        }
+    rows = _cleaned(df, plan, spec, spec.features).persist(StorageLevel.MEMORY_AND_DISK)
+    try:  # cleaned rows, read for the fit and twice for the silhouette
+        model = fit_clusters(rows, spec.features, spec.k, spec.seed)
+        assigned = assign_clusters(model, rows, scaled_suffix="_scaled")
+        points = assigned.select(*[named(f + "_scaled") for f in spec.features], "cluster")
+        metrics = settled(silhouette(points, [f + "_scaled" for f in spec.features]))
     finally:
-        if storage is not None:
-            points.unpersist()
+        rows.unpersist()
+    return {
+        "metrics": _described(metrics, "k-means", spec, k=spec.k),
+        "sizes": fitted_sizes(model),
+        "centers": cluster_centers(model),
+        "sample": sample_rows(
+            assigned.select(*map(named, spec.features), "cluster"), spec.sample, spec.order_by
+        ),
+    }
 
 
-def _outliers(df: DataFrame, plan: AnalysisPlan, storage: StorageLevel | None):
+def _outliers(df: DataFrame, plan: AnalysisPlan):
     spec = plan.outliers
-    baseline = clean(df, spec.columns, spec.rules)
+    baseline = _cleaned(df, plan, spec, spec.columns)
     stats = settled(zscore_stats(baseline, spec.columns))
-    examined = df if spec.scope == "all" else baseline
+    everything = df.transform(plan.derive)
+    examined = everything if spec.scope == "all" else baseline
     found = outliers(
         examined.select(*[named(c) for c in spec.columns]), spec.columns, spec.z, stats=stats
     )
     return {
-        "metrics": settled(
-            outlier_report(df, spec.columns, spec.z, baseline, stats, spec.scope)
+        "metrics": _described(
+            settled(
+                outlier_report(everything, spec.columns, spec.z, baseline, stats, spec.scope)
+            ),
+            "z-score",
+            spec,
         ),
         "moments": stats,
-        "sample": sample_rows(found, spec.sample),
+        "sample": sample_rows(found, spec.sample, spec.order_by),
     }
 
 

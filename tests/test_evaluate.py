@@ -9,7 +9,6 @@ from pyspark.ml.evaluation import (
 from pyspark.sql import functions as F
 
 import insight
-from insight.operators import evaluate
 
 
 @pytest.fixture
@@ -131,14 +130,17 @@ def test_silhouette_agrees_with_all_pairs_and_with_the_evaluator(groups):
     assert math.isclose(got["silhouette"], theirs, rel_tol=1e-6)
 
 
-def test_silhouette_in_blocks_is_the_same(spark, groups, monkeypatch):
-    whole = insight.silhouette(groups, ["x", "y"]).first()
-    monkeypatch.setattr(evaluate, "TERMS_PER_PASS", 2)
-    blocks = insight.silhouette(groups, ["x", "y"]).first()
-    assert blocks["clusters"] == 4
-    assert math.isclose(blocks["silhouette"], whole["silhouette"], rel_tol=1e-12)
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    assert named in spark.sparkContext.getCheckpointDir()
+def test_silhouette_of_many_clusters(spark):
+    rows = spark.range(4000).select(
+        (F.col("id") % 450).cast("int").alias("cluster"),
+        *[(F.sin(F.col("id") * (i + 3)) * 9 + F.col("id") % 450 % 7).alias(f"f{i}") for i in range(5)],
+    )
+    features = [f"f{i}" for i in range(5)]
+    lazy = insight.silhouette(rows, features)
+    theirs = ClusteringEvaluator(predictionCol="cluster").evaluate(insight.assemble(rows, features))
+    got = lazy.first()
+    assert (got["rows"], got["clusters"]) == (4000, 450)
+    assert math.isclose(got["silhouette"], theirs, rel_tol=1e-6)
 
 
 def test_silhouette_edges(spark, groups):

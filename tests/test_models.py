@@ -6,7 +6,6 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 import insight
-from insight.operators import models
 
 
 @pytest.fixture
@@ -51,13 +50,6 @@ def test_residuals_are_orthogonal_to_the_features(linear):
     assert np.allclose(list(sums.first()), 0.0, atol=1e-9)
 
 
-def test_many_features_go_through_mllib(linear, monkeypatch):
-    summed = insight.fit_regression(linear, ["x1", "x2"], "noisy")
-    monkeypatch.setattr(models, "SUMMED_FEATURES", 1)
-    fitted = insight.fit_regression(linear, ["x1", "x2"], "noisy")
-    assert np.allclose(summed.coefficients, fitted.coefficients, rtol=1e-9)
-
-
 def test_features_far_from_zero(spark):
     df = spark.range(1000).select(
         (F.col("id") % 17 + F.lit(1e9)).alias("x"),
@@ -77,15 +69,58 @@ def test_constant_and_dependent_features(linear):
     assert constant.coefficients == (0.0,) and math.isclose(constant.intercept, mean)
 
 
-def test_regression_refuses_holes(spark):
-    df = spark.createDataFrame([(1.0, 1.0), (None, 2.0), (2.0, float("nan"))], "x double, y double")
-    with pytest.raises(ValueError, match="2 rows lack"):
-        insight.fit_regression(df, ["x"], "y")
+@pytest.mark.parametrize("width", [1, 2, 11, 40])
+@pytest.mark.parametrize("fit", ["regression", "classifier", "clusters"])
+def test_every_width_refuses_the_same_rows(spark, width, fit):
+    names = [f"x{i}" for i in range(width)]
+
+    def table(*values):
+        rows = [(v, *range(width - 1), float(i % 2)) for i, v in enumerate(values)]
+        kinds = ", ".join(f"{n} double" for n in names)
+        rows = [tuple(None if x is None else float(x) for x in r) for r in rows]
+        return spark.createDataFrame(rows, f"{kinds}, y double")
+
+    def run(df):
+        if fit == "clusters":
+            return insight.fit_clusters(df, names, k=2)
+        call = insight.fit_regression if fit == "regression" else insight.fit_classifier
+        return call(df, names, "y")
+
+    for odd in (None, float("nan"), float("inf")):
+        with pytest.raises(ValueError, match="null, NaN or infinite values"):
+            run(table(1.0, odd, 2.0))
     with pytest.raises(ValueError, match="no rows"):
-        insight.fit_regression(df.where("false"), ["x"], "y")
-    df = spark.createDataFrame([(1.0, 1.0), (float("inf"), 2.0)], "x double, y double")
-    with pytest.raises(ValueError, match="infinite"):
-        insight.fit_regression(df, ["x"], "y")
+        run(table(1.0).where("false"))
+
+
+@pytest.fixture
+def counted(linear):
+    """Rows that count how often they are read."""
+    reads = linear.sparkSession.sparkContext.accumulator(0)
+
+    def read(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    df = linear.withColumn("label", (F.col("noisy") > 2).cast("double"))
+    return df.mapInArrow(read, df.schema), reads
+
+
+# Reads of the input by each fit, as the README has them.
+@pytest.mark.parametrize(
+    "fit, passes",
+    [
+        (lambda df: insight.fit_regression(df, ["x1", "x2"], "noisy"), 3),
+        (lambda df: insight.fit_classifier(df, ["x1", "x2"]), 1),
+        (lambda df: insight.fit_clusters(df, ["x1", "x2"], k=3), 1),
+        (lambda df: insight.fit_clusters(df, ["x1", "x2"], k=3, scale=False), 1),
+    ],
+)
+def test_reads_of_a_fit(counted, fit, passes):
+    df, reads = counted
+    fit(df)
+    assert reads.value == 200 * passes
 
 
 @pytest.fixture

@@ -38,7 +38,7 @@ def test_empty_table_has_no_nulls_and_no_summary(small):
     assert rows_of(insight.table_summary(empty)) == [(0, 3)]
     assert [r["null_count"] for r in insight.null_counts(empty).collect()] == [0, 0, 0]
     summary = {r["column"]: r[1:] for r in insight.numeric_summary(empty).collect()}
-    assert summary == {"k": (None, None, None), "x": (None, None, None)}
+    assert summary == {"k": (None,) * 5, "x": (None,) * 5}
     assert insight.top_values(empty, "s").count() == 0
 
 
@@ -47,15 +47,27 @@ def test_top_null_columns_ties_keep_table_order(small):
 
 
 def test_nan_becomes_maximum_and_mean(small):
-    low, high, mean = insight.numeric_summary(small, ["x"]).first()[1:]
+    low, high, _, _, mean = insight.numeric_summary(small, ["x"]).first()[1:]
     assert low == 1.0 and math.isnan(high) and math.isnan(mean)
 
 
-def test_integers_stay_exact(spark):
-    big = 2**60 + 1
+def test_integers_and_decimals_stay_exact(spark):
+    big = 2**53 + 1
     df = spark.createDataFrame([(big, 1.0), (1, 2.0)], "k bigint, x double")
-    assert rows_of(insight.numeric_summary(df, ["k"]))[0][:3] == ("k", 1, big)
-    assert dict(insight.numeric_summary(df).dtypes)["max"] == "double"
+    df = df.withColumn("d", F.expr("CAST('1234567890123456789012345678.0123456789' AS decimal(38,10))"))
+    got = {r["column"]: r for r in insight.numeric_summary(df).collect()}
+    assert (got["k"]["min_exact"], got["k"]["max_exact"]) == ("1", str(big))
+    assert got["d"]["max_exact"] == "1234567890123456789012345678.0123456789"
+    assert (got["x"]["min"], got["x"]["max"], got["x"]["max_exact"]) == (1.0, 2.0, None)
+    assert insight.numeric_summary(df).dtypes == insight.numeric_summary(df, ["k"]).dtypes
+    assert insight.numeric_summary(df, ["k"]).dtypes == insight.numeric_summary(df, []).dtypes
+
+
+def test_wide_tables_are_profiled_in_groups(spark, plan_of):
+    df = spark.range(10).select(*[(F.col("id") + i).alias(f"c{i}") for i in range(35)])
+    rows = insight.column_profile(df).collect()
+    assert [r["ordinal"] for r in rows] == list(range(35))
+    assert [(r["min"], r["mean"], r["row_count"]) for r in rows] == [(i, i + 4.5, 10) for i in range(35)]
 
 
 def test_absent_columns(small):
@@ -80,9 +92,9 @@ def test_top_values_count_null_and_break_ties(spark):
 def test_names_with_dots(spark):
     df = spark.createDataFrame([(1,), (None,)], "`a.b` int")
     assert rows_of(insight.null_counts(df)) == [(0, "a.b", 1)]
-    assert rows_of(insight.numeric_summary(df)) == [("a.b", 1, 1, 1.0)]
+    assert rows_of(insight.numeric_summary(df)) == [("a.b", 1, 1, "1", "1", 1.0)]
     assert rows_of(insight.top_values(df, "a.b")) == [(None, 1), (1, 1)]
-    assert rows_of(insight.column_profile(df)) == [(0, "a.b", "int", 2, 1, 1, 1, 1.0)]
+    assert rows_of(insight.column_profile(df)) == [(0, "a.b", "int", 2, 1, 1, 1, "1", "1", 1.0)]
 
 
 def test_column_profile_agrees_with_the_single_operators(small):

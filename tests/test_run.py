@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 import insight
 from insight.plans import ANALYSES, AnalysisPlan
+from insight.plans import run as run_module
 
 
 @pytest.fixture(scope="module")
@@ -144,9 +145,55 @@ def test_missing_column_fails_where_it_is_used(trips):
     assert status_of(run) == {"stats": "done", "outliers": "failed"}
 
 
-def test_without_keeping_the_input(trips, whole):
-    run = insight.run_analyses(trips, ["outliers", "regression"], insight.trip_plan(), storage=None)
-    assert run.reports["outliers"]["metrics"].first() == whole.reports["outliers"]["metrics"].first()
+@pytest.fixture(scope="module")
+def stored(spark, trips, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("trips") / "t")
+    trips.write.parquet(folder)
+    return spark.read.parquet(folder)
+
+
+@pytest.mark.parametrize("name", ["regression", "classification", "kmeans", "outliers"])
+def test_conditions_reach_the_reader(stored, plan_of, name):
+    plan = insight.trip_plan()
+    spec = getattr(plan, name)
+    columns = spec.columns if name == "outliers" else spec.features
+    text = plan_of(run_module._cleaned(stored, plan, spec, columns))
+    pushed = next(line for line in text.splitlines() if "PushedFilters" in line)
+    assert "GreaterThan(trip_distance,0.0)" in pushed
+    assert "IsNotNull(tpep_pickup_datetime)" in pushed
+
+
+# Reads of the source by each analysis, as the README has them.
+@pytest.mark.parametrize(
+    "name, reads", [("stats", 2), ("regression", 1), ("classification", 1), ("kmeans", 1), ("outliers", 2)]
+)
+def test_reads_of_an_analysis(trips, name, reads):
+    count = trips.sparkSession.sparkContext.accumulator(0)
+
+    def read(batches):
+        for batch in batches:
+            count.add(batch.num_rows)
+            yield batch
+
+    counted = trips.mapInArrow(read, trips.schema)
+    assert status_of(insight.run_analyses(counted, [name], insight.trip_plan())) == {name: "done"}
+    assert count.value == 400 * reads
+
+
+def test_reports_say_what_they_are_made_of(whole):
+    regression = whole.reports["regression"]["metrics"].first()
+    assert regression["features"] == "trip_distance, passenger_count, trip_duration"
+    assert (regression["method"], regression["label"]) == ("linear regression", "total_amount")
+    assert "card" in whole.reports["classification"]["metrics"].first()["meaning"]
+    assert whole.reports["kmeans"]["metrics"].first()["k"] == 5
+
+
+def test_warns_of_an_uneven_split(trips):
+    same = trips.where("trip_distance > 0").limit(1)
+    for _ in range(8):
+        same = same.unionAll(same)
+    run = insight.run_analyses(trips.unionAll(same), ["regression"], insight.trip_plan())
+    assert "split keys" in run.status.first()["warning"]
 
 
 def test_output_folder(spark, trips, tmp_path):
