@@ -289,16 +289,19 @@ def near_duplicates(
         .select("rep", "n", "u", F.explode("v").alias("v"))
         .select("rep", "n", F.xxhash64("u.at", "u.sub", "v.at", "v.sub").alias("key"))
     )
-    buckets = keys.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("first"), F.count("*").alias("c"))
+    buckets = (
+        keys.groupBy("key")
+        .agg(F.min(F.struct("rep", "n")).alias("first"), F.count("*").alias("c"))
+        .where("c > 1")
+    )
+    shared = written(keys.join(buckets, "key").select("key", "rep", "n", "first"))
     near = 100 * F.least("n", "first.n") >= percent * F.greatest("n", "first.n")
-    pairs = written(
-        keys.join(buckets.where("c > 1"), "key")
-        .where((F.col("rep") != F.col("first.rep")) & near)
+    pairs = (
+        shared.where((F.col("rep") != F.col("first.rep")) & near)
         .select(F.col("first.rep").alias("a"), F.col("rep").alias("b"))
         .distinct()
     )
     # Sets are built again, and kept, for the classes that share a bucket with another only.
-    shared = written(keys.join(buckets.where("c > 1").select("key"), "key", "left_semi"))
     wanted = shared.select("rep").distinct()
     sets = written(
         _sets(
@@ -328,9 +331,15 @@ def near_duplicates(
     groups = halved.select("rep", F.explode("u").alias("u")).select(
         "rep", F.xxhash64("u.at", "u.sub").alias("key")
     )
-    more = _between(opened, groups, sets, percent, block)
-    own = links.select(F.col("a"), F.col("b"))
-    final = components(own.unionByName(written(more)))
+    more = components(_between(opened, groups, sets, percent, block))  # of first components
+    final = (
+        first.select("node", "component")
+        .unionByName(more.select("node", F.col("node").alias("component")))
+        .groupBy("node")
+        .agg(F.min("component").alias("via"))
+        .join(more.withColumnRenamed("node", "via"), "via", "left")
+        .select("node", F.coalesce("component", "via").alias("component"))
+    )
 
     known = (
         classes.join(final, F.col("first.doc_id") == F.col("node"), "left")
