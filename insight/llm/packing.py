@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from insight.llm.shared import columns, text_slices, written
 
-#: Encoded words that one Python worker remembers, about 400 bytes each.
-_REMEMBERED = 400_000
+#: Encoded words of a generation; a Python worker remembers two, about 200 bytes for each word.
+_REMEMBERED = 600_000
 
 
 class _Words(dict):
@@ -35,11 +35,13 @@ class _Words(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.mark = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         self.ends: np.ndarray | None = None
+        self.old: dict[bytes, bytes] = {}
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= _REMEMBERED:
-            self.clear()
+        if (known := self.old.get(word)) is not None:
+            self[word] = known
+            return known
         lower = word.lower()
         if word != lower and word.isascii():
             ids = self[lower]  # the tokenizer lowers words itself
@@ -57,8 +59,9 @@ class _Words(dict):
     def learn(self, words: set[bytes]) -> None:
         """Encode new words of letters only in one call. Each is one pre-token, whose last token
         alone has the word-end mark; if the ends don't add up, they are left for later."""
-        cores = {(w.lower() if w.isascii() else w).rstrip(b".,") for w in words}
-        new = [t for w in cores if w not in self and (t := w.decode()).isalpha()]
+        old = self.old
+        cores = {(w.lower() if w.isascii() else w).rstrip(b".,") for w in words if w not in old}
+        new = [t for w in cores if w not in self and w not in old and (t := w.decode()).isalpha()]
         if not new:
             return
         if self.ends is None:
@@ -78,7 +81,8 @@ class _Words(dict):
 
     def split(self, texts: list[str]) -> list[list[bytes]]:
         """The words of each text, all of them learned."""
-        if len(self) >= _REMEMBERED:
+        if len(self) >= _REMEMBERED:  # words still in use move on from the old generation
+            self.old = dict(self)
             self.clear()
         parts = [t.encode().split() for t in texts]
         if self.mark:
