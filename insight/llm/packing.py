@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from insight.llm.shared import columns, text_slices, written
 
 #: Encoded words of a generation; a Python worker remembers two, about 200 bytes for each word.
-_REMEMBERED = 600_000
+_REMEMBERED = 250_000
 
 
 class _Words(dict):
@@ -36,6 +36,7 @@ class _Words(dict):
         self.mark = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         self.ends: np.ndarray | None = None
         self.old: dict[bytes, bytes] = {}
+        self._plain = None
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def __missing__(self, word: bytes) -> bytes:
@@ -67,7 +68,32 @@ class _Words(dict):
         if self.ends is None:
             marks = [t.endswith(self.mark) for t in self._vocabulary()]
             self.ends = np.array(marks)
-        [found] = self.tokenizer.encode_batch_fast([" ".join(new)], add_special_tokens=False)
+        plain = [t for t in new if t.isascii()]
+        self._encode_words(plain, self.plain())
+        self._encode_words([t for t in new if not t.isascii()], self.tokenizer)
+
+    def plain(self):
+        """The model without normaliser and pattern, for words of a-z that need neither.
+
+        Used only if it gives the tokenizer's own ids for a text of such words.
+        """
+        if self._plain is None:
+            from tokenizers import Tokenizer, pre_tokenizers
+
+            lean = Tokenizer(self.tokenizer.model)
+            lean.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+            letters = [chr(i) for i in range(ord("a"), ord("z") + 1)]
+            probe = " ".join([*letters, *(a + b + c for a in letters for b in letters for c in "aens")])
+            one, two = (
+                t.encode(probe, add_special_tokens=False).ids for t in (lean, self.tokenizer)
+            )
+            self._plain = lean if one == two else self.tokenizer
+        return self._plain
+
+    def _encode_words(self, new: list[str], tokenizer) -> None:
+        if not new:
+            return
+        [found] = tokenizer.encode_batch_fast([" ".join(new)], add_special_tokens=False)
         ids = np.array(found.ids, "<u4")
         at = np.flatnonzero(self.ends[ids]) + 1
         if len(at) == len(new):
