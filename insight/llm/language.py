@@ -21,7 +21,7 @@ from insight.llm.shared import columns
 UNKNOWN = "und"
 _WORDS = re.compile(r"[^\W\d_]+")
 #: Scored words that one Python worker remembers.
-_REMEMBERED = 200_000
+_REMEMBERED = 100_000
 
 
 @dataclass(frozen=True)
@@ -88,7 +88,7 @@ def fit_languages(
     *,
     max_docs: int = 20_000,
     max_words: int = 20_000,
-    max_grams: int = 20_000,
+    max_grams: int = 6_000,
     orders: tuple[int, ...] = (4, 3, 2, 1),
 ) -> LanguageModel:
     """Word and n-gram log frequencies by language.
