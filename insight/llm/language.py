@@ -9,10 +9,17 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
+from bisect import bisect_left
 from collections import Counter
 from dataclasses import dataclass
+from functools import reduce
+from operator import mul
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,13 +31,56 @@ _WORDS = re.compile(r"[^\W\d_]+")
 _REMEMBERED = 100_000
 
 
+def _hash(unit: str) -> int:
+    """As Spark's ``xxhash64`` of the string, unsigned."""
+    return xxhash.xxh64_intdigest(unit.encode(), 42)
+
+
+@dataclass(frozen=True)
+class Frequencies:
+    """One log frequency for each language, by unit.
+
+    Held in arrays: the units' hashes in order, where each begins, and the languages that have it
+    with its log frequency there. ``absent``, for all other languages, and ``totals`` are by
+    language; by length of unit, or at 0.
+    """
+
+    hashes: array
+    begins: array
+    langs: array
+    logs: array
+    absent: dict[int, tuple[float, ...]]
+    totals: dict[int, tuple[int, ...]]
+
+    def __len__(self) -> int:
+        return len(self.hashes)
+
+    def get(self, unit: str) -> tuple[float, ...] | None:
+        h = _hash(unit)
+        at = bisect_left(self.hashes, h)
+        if at == len(self.hashes) or self.hashes[at] != h:
+            return None
+        found = list(self.absent[0 if 0 in self.absent else len(unit)])
+        for i in range(self.begins[at], self.begins[at + 1]):
+            found[self.langs[i]] = self.logs[i]
+        return tuple(found)
+
+    def __contains__(self, unit: str) -> bool:
+        return self.get(unit) is not None
+
+    def __getitem__(self, unit: str) -> tuple[float, ...]:
+        if (found := self.get(unit)) is None:
+            raise KeyError(unit)
+        return found
+
+
 @dataclass(frozen=True)
 class LanguageModel:
     """``words`` and ``grams`` hold one log frequency for each of ``languages``."""
 
     languages: tuple[str, ...]
-    words: dict[str, tuple[float, ...]]
-    grams: dict[str, tuple[float, ...]]
+    words: Frequencies
+    grams: Frequencies
     orders: tuple[int, ...]
 
 
@@ -54,32 +104,38 @@ def _word_counts(batches):
         )
 
 
-def _top(counts: DataFrame, unit: str, keep: int, *within: str) -> DataFrame:
-    """The ``keep`` most frequent units of each language, with the language's total."""
-    by = Window.partitionBy("lang", *within)
-    return (
-        counts.withColumn("rank", F.row_number().over(by.orderBy(F.desc("n"), unit)))
-        .withColumn("total", F.sum("n").over(by))
-        .where(F.col("rank") <= keep)
-        .drop("rank")
+def _kept(counts: DataFrame, unit: str, keep: int | None) -> DataFrame:
+    """All counts, or those that any language has of the ``keep`` most frequent of each."""
+    if keep is None:
+        return counts
+    by = Window.partitionBy("lang").orderBy(F.desc("n"), unit)
+    top = counts.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= keep)
+    return counts.join(top.select(unit).distinct(), unit, "left_semi")
+
+
+def _frequencies(
+    counts: DataFrame, unit: str, languages: tuple[str, ...], totals: dict[int, tuple[int, ...]]
+) -> Frequencies:
+    length = F.lit(0) if 0 in totals else F.length(unit)
+    rows = counts.select(F.xxhash64(unit).alias("hash"), length.alias("length"), "lang", "n").toArrow()
+    hashes = rows["hash"].to_numpy().view("uint64")
+    order = np.argsort(hashes, kind="stable")
+    units, begins = np.unique(hashes[order], return_index=True)
+    langs = pc.index_in(rows["lang"], pa.array(languages, pa.string())).to_numpy().astype("int64")
+    of_length = np.zeros((max(totals) + 1, len(languages)))
+    for size, total in totals.items():
+        of_length[size] = total
+    logs = np.log((rows["n"].to_numpy() + 0.5) / (of_length[rows["length"].to_numpy(), langs] + 1.0))
+    return Frequencies(
+        array("Q", units.tobytes()),
+        array("q", np.append(begins, len(order)).astype("int64").tobytes()),
+        array("i", langs[order].astype("int32").tobytes()),
+        array("d", logs[order].tobytes()),
+        {size: tuple(math.log(0.5 / (t + 1.0)) for t in total) for size, total in totals.items()},
+        totals,
     )
 
 
-def _logs(rows, languages: tuple[str, ...], unit: str, total_of) -> dict[str, tuple[float, ...]]:
-    counts: dict[str, dict[str, int]] = {}
-    totals: dict[tuple, int] = {}
-    for row in rows:
-        counts.setdefault(row[unit], {})[row["lang"]] = row["n"]
-        totals[row["lang"], total_of(row[unit])] = row["total"]
-    return {
-        u: tuple(
-            math.log((by_lang.get(lang, 0) + 0.5) / (totals.get((lang, total_of(u)), 0) + 1.0))
-            for lang in languages
-        )
-        for u, by_lang in counts.items()
-    }
-
-
 def fit_languages(
     docs: DataFrame,
     text: str = "text",
@@ -87,15 +143,16 @@ def fit_languages(
     key: str = "doc_id",
     *,
     max_docs: int = 20_000,
-    max_words: int = 20_000,
-    max_grams: int = 6_000,
+    max_words: int | None = None,
+    max_grams: int | None = None,
     orders: tuple[int, ...] = (4, 3, 2, 1),
 ) -> LanguageModel:
     """Word and n-gram log frequencies by language.
 
     Fits on the labelled rows with a text; of more than ``max_docs``, a sample of about that
-    many, chosen by a hash of ``key``. The model keeps at most ``max_words`` words and, of each
-    order, ``max_grams`` n-grams for each language, so it has a bounded size whatever the input.
+    many, chosen by a hash of ``key``. The model keeps every word and n-gram of these, or, if
+    asked, those that are among the ``max_words`` words or, of each order, ``max_grams`` n-grams
+    most frequent in any language, with their counts in all. Units are known by 64-bit hashes.
     Rows without label or text teach nothing; without any labelled row the model knows no
     language.
     """
@@ -128,43 +185,52 @@ def fit_languages(
         .agg(F.sum("n").alias("n"))
         for order in orders
     ]
-    word_rows = _top(counts, "word", max_words).collect()
-    gram_rows = [row for g in grams for row in _top(g, "gram", max_grams).collect()]
+    # A word has as many n-grams of an order as places for one.
+    places = [F.sum(F.col("n") * F.greatest(F.length(padded) - order + 1, F.lit(0))) for order in orders]
+    sums = sorted(counts.groupBy("lang").agg(F.sum("n"), *places).collect())
+    languages = tuple(row[0] for row in sums)
+    totals = {
+        order: tuple(row[i] for row in sums) for i, order in enumerate((0, *orders), start=1)
+    }
+    words = _frequencies(_kept(counts, "word", max_words), "word", languages, {0: totals.pop(0)})
+    all_grams = reduce(DataFrame.unionByName, [_kept(g, "gram", max_grams) for g in grams])
+    gram_table = _frequencies(all_grams, "gram", languages, totals)
     counts.unpersist()
-    languages = tuple(sorted({row["lang"] for row in word_rows}))
-    return LanguageModel(
-        languages,
-        _logs(word_rows, languages, "word", lambda u: 0),
-        _logs(gram_rows, languages, "gram", len),
-        orders,
-    )
+    return LanguageModel(languages, words, gram_table, orders)
 
 
-def _score_word(model: LanguageModel, word: str) -> tuple[float, ...]:
+def _score_word(model: LanguageModel, word: str, gram_of=None) -> tuple[float, ...]:
     if found := model.words.get(word):
         return found
+    gram_of = gram_of or model.grams.get
     padded = f"_{word}_"
     for order in model.orders:
-        known = [
-            model.grams[g]
-            for i in range(len(padded) - order + 1)
-            if (g := padded[i : i + order]) in model.grams
-        ]
-        if known:
+        found = (gram_of(padded[i : i + order]) for i in range(len(padded) - order + 1))
+        if known := [x for x in found if x]:
             return tuple(sum(x) / len(known) for x in zip(*known, strict=True))
     return (0.0,) * len(model.languages)
 
 
 class _Scorer(dict):
-    """Scores of words, remembered up to a bound."""
+    """Scores of words, and of n-grams, remembered up to a bound."""
 
     def __init__(self, model: LanguageModel):
         self.model = model
+        self.grams: dict = {}
+
+    def gram(self, unit: str) -> tuple[float, ...] | None:
+        try:
+            return self.grams[unit]
+        except KeyError:
+            if len(self.grams) >= _REMEMBERED:
+                self.grams.clear()
+            self.grams[unit] = found = self.model.grams.get(unit)
+            return found
 
     def __missing__(self, word: str) -> tuple[float, ...]:
         if len(self) >= _REMEMBERED:
             self.clear()
-        self[word] = score = _score_word(self.model, word)
+        self[word] = score = _score_word(self.model, word, self.gram)
         return score
 
 
@@ -174,10 +240,8 @@ def judge(text: str | None, model: LanguageModel, scores: dict | None = None) ->
     words = Counter(words_of(text)) if text else None
     if not words or not model.languages or not any(map(str.isalpha, text)):
         return UNKNOWN, 0.0
-    totals = [0.0] * len(model.languages)
-    for word, n in words.items():
-        for i, x in enumerate(scores[word]):
-            totals[i] += n * x
+    times = list(words.values())
+    totals = [sum(map(mul, times, x)) for x in zip(*map(scores.__getitem__, words), strict=True)]
     best = max(range(len(totals)), key=lambda i: (totals[i], -i))
     mean = sum(words.values())
     rest = sum(math.exp((t - totals[best]) / mean) for t in totals)

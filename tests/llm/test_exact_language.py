@@ -1,6 +1,7 @@
 """Exact dedup, language identification and the pipeline."""
 
 import hashlib
+import math
 import re
 import zlib
 
@@ -91,6 +92,24 @@ def test_the_sample_is_bounded(spark):
     assert "common" in model.words
 
 
+def test_every_word_and_gram_of_the_sample_is_known(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = [f"{a}{b}{c}{d}" for a in letters for b in letters for c in letters for d in "xyz"][:25_000]
+    rows = [(i, " ".join(words[i::50]), "en") for i in range(50)] + [(50, "der Hund", "de")]
+    model = language.fit_languages(spark.createDataFrame(rows, SCHEMA))
+    assert len(model.words) == len(words) + 2
+    assert all(w in model.words for w in [*words, "der", "hund"])
+    padded = [f"_{w}_" for w in [*words, "der", "hund"]]
+    assert len(model.grams) == len({p[i : i + k] for p in padded for k in (1, 2, 3, 4) for i in range(len(p) - k + 1)})
+
+
+def test_a_kept_word_has_its_count_in_every_language(spark):
+    rows = [(1, "sun sun sun sea sea", "en"), (2, "sea sea sea sun sun", "it")]
+    model = language.fit_languages(spark.createDataFrame(rows, SCHEMA), max_words=1, max_grams=1)
+    assert model.words["sun"] == pytest.approx((math.log(3.5 / 6), math.log(2.5 / 6)))
+    assert model.words["sea"] == pytest.approx((math.log(2.5 / 6), math.log(3.5 / 6)))
+
+
 def test_accuracy_on_held_out_documents(spark):
     docs = {r.doc_id: r for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
     rows = queries.op9_language(spark, "/root/testdata/sf0.01").collect()
