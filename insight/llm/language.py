@@ -29,6 +29,8 @@ UNKNOWN = "und"
 _WORDS = re.compile(r"[^\W\d_]+")
 #: Scored words that one Python worker remembers.
 _REMEMBERED = 100_000
+#: Places of keys by their hash; a sample is those before a place.
+_PLACES = 1 << 40
 
 
 def _hash(unit: str) -> int:
@@ -136,6 +138,16 @@ def _frequencies(
     )
 
 
+def _share(sizes, most: int) -> float:
+    """The largest number such that, of each size, so many at most are ``most`` together."""
+    left = float(most)
+    for i, n in enumerate(sorted(sizes)):
+        if n * (len(sizes) - i) > left:
+            return left / (len(sizes) - i)
+        left -= n
+    return math.inf
+
+
 def fit_languages(
     docs: DataFrame,
     text: str = "text",
@@ -150,7 +162,8 @@ def fit_languages(
     """Word and n-gram log frequencies by language.
 
     Fits on the labelled rows with a text; of more than ``max_docs``, a sample of about that
-    many, chosen by a hash of ``key``. The model keeps every word and n-gram of these, or, if
+    many, chosen by a hash of ``key``: all rows of languages below an equal share, and of the
+    others what is left, in equal parts. The model keeps every word and n-gram of these, or, if
     asked, those that are among the ``max_words`` words or, of each order, ``max_grams`` n-grams
     most frequent in any language, with their counts in all. Units are known by 64-bit hashes.
     Rows without label or text teach nothing; without any labelled row the model knows no
@@ -159,11 +172,14 @@ def fit_languages(
     known = columns(docs, key=key, text=text, lang=lang).where(
         F.col("lang").isNotNull() & F.col("text").isNotNull()
     )
-    n = known.count()
-    share = min(1.0, max_docs / max(n, 1))
-    sample = known.where(
-        F.pmod(F.xxhash64(F.col("key").cast("string")), F.lit(1 << 20)) < int(share * (1 << 20))
+    sizes = dict(known.groupBy("lang").count().collect())
+    each = _share(sizes.values(), max_docs)
+    limits = docs.sparkSession.createDataFrame(
+        [(name, int(min(1.0, each / n) * _PLACES)) for name, n in sizes.items()],
+        "lang string, most long",
     )
+    place = F.pmod(F.xxhash64(F.col("key").cast("string")), F.lit(_PLACES))
+    sample = known.join(F.broadcast(limits), "lang").where(place < F.col("most"))
     counts = (
         sample.select("lang", "text")
         .mapInArrow(_word_counts, "lang string, word string, n long")

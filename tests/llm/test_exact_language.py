@@ -110,6 +110,15 @@ def test_a_kept_word_has_its_count_in_every_language(spark):
     assert model.words["sea"] == pytest.approx((math.log(2.5 / 6), math.log(3.5 / 6)))
 
 
+def test_the_sample_has_all_of_a_small_language(spark):
+    rows = [(i, f"common w{chr(97 + i % 26)}x", "en") for i in range(3000)]
+    rows += [(5000 + i, f"rare{chr(97 + i)}", "is") for i in range(20)]
+    model = language.fit_languages(spark.createDataFrame(rows, SCHEMA), max_docs=300)
+    assert all(f"rare{chr(97 + i)}" in model.words for i in range(20))
+    assert 200 < model.words.totals[0][0] / 2 < 360
+    assert [language._share(x, 30) for x in ((5, 40, 50), (10, 20), (40,))] == [12.5, math.inf, 30]
+
+
 def test_accuracy_on_held_out_documents(spark):
     docs = {r.doc_id: r for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
     rows = queries.op9_language(spark, "/root/testdata/sf0.01").collect()
