@@ -1,13 +1,13 @@
 """URL filter: rules by host and path, and a tree of path templates learned per host.
 
-Level by level, the frequent segments below a node of a host's tree stay, all others become a
-wildcard, and siblings whose counts do not differ by a test of two proportions are merged. A
-template is rejected if enough of its labelled urls are bad, after smoothing.
+Level by level, the segments with enough urls below a node of a host's tree stay, all others
+become a wildcard, and siblings whose counts do not differ by a test of two proportions are merged.
+A template is rejected if enough of its labelled urls are bad, after smoothing.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from insight.llm.shared import columns, lower_ascii, written
@@ -52,10 +52,25 @@ def _differ(bad_a: Column, n_a: Column, bad_b: Column, n_b: Column, z: float) ->
     return F.abs(bad_a / n_a - bad_b / n_b) > z * spread + 1e-12
 
 
-def _constants(rows: DataFrame, depth: int, share: float, support: int, z: float) -> DataFrame:
+def _runs(rows: DataFrame, within: list[str], hit: str, of: str, run: str, z: float) -> DataFrame:
+    """``rows`` with ``run``: siblings in order of ``hit`` / ``of``, a new run where neighbours
+    differ. What differs from its run as a whole is its own run, so that small steps do not add up.
+    """
+    order = Window.partitionBy(*within).orderBy(F.col(hit) / F.col(of), "segment")
+    whole = Window.partitionBy(*within, run)
+    last, n = F.lag(hit).over(order), F.lag(of).over(order)
+    breaks = F.when(_differ(F.col(hit), F.col(of), last, n, z), 1).otherwise(0)
+    numbered = rows.withColumn("_breaks", breaks).withColumn(run, F.sum("_breaks").over(order))
+    apart = _differ(F.col(hit), F.col(of), F.sum(hit).over(whole), F.sum(of).over(whole), z)
+    return numbered.withColumn(
+        run, F.struct(run, F.when(apart, F.col("segment")).alias("alone"))
+    ).drop("_breaks")
+
+
+def _constants(rows: DataFrame, depth: int, support: int, z: float) -> DataFrame:
     """``host, node, segment, branch``: the segments that stay below each node, and the name of
-    the branch they belong to: the first sibling that they do not differ from, or themselves."""
-    children = (
+    the branch they belong to: the first of the siblings that they do not differ from."""
+    kept = written(
         rows.where(F.size("segments") > depth)
         .groupBy("host", "node", F.col("segments")[depth].alias("segment"))
         .agg(
@@ -64,70 +79,57 @@ def _constants(rows: DataFrame, depth: int, share: float, support: int, z: float
             F.count("bad").alias("labelled"),
             F.count_if("bad").alias("bad"),
         )
+        .where(F.col("n") >= support)
     )
-    totals = (
-        rows.where(F.size("segments") > depth)
-        .groupBy("host", "node")
-        .agg(F.count("*").alias("total"))
-    )
-    kept = written(
-        children.where(F.col("n") >= support)
-        .join(totals, ["host", "node"])
-        .where(F.col("n") >= share * F.col("total"))
-        .drop("total")
-    )
-    # A node keeps at most 1 / share segments, so its siblings make a bounded number of pairs.
-    other = kept.select(
-        "host", "node", *(F.col(c).alias(f"{c}_") for c in ("segment", "n", "inner", "labelled", "bad"))
+    by = ["host", "node"]
+    deep = _runs(kept.where(F.col("labelled") > 0), by, "inner", "n", "deep", z)
+    like = _runs(deep, [*by, "deep"], "bad", "labelled", "like", z)
+    branch = F.min("segment").over(Window.partitionBy(*by, "deep", "like"))
+    return (
+        like.select(*by, "segment", branch.alias("branch"))
+        .unionByName(kept.where("labelled = 0").select(*by, "segment", F.col("segment").alias("branch")))
     )
-    like = (
-        kept.join(other, ["host", "node"])
-        .where(F.col("segment_") < F.col("segment"))
-        .where((F.col("labelled") > 0) & (F.col("labelled_") > 0))
-        .where(~_differ(F.col("bad"), F.col("labelled"), F.col("bad_"), F.col("labelled_"), z))
-        .where(~_differ(F.col("inner"), F.col("n"), F.col("inner_"), F.col("n_"), z))
-        .groupBy("host", "node", "segment")
-        .agg(F.min("segment_").alias("branch"))
-    )
-    return kept.select("host", "node", "segment").join(
-        like, ["host", "node", "segment"], "left"
-    ).withColumn("branch", F.coalesce("branch", "segment"))
 
 
 def _descend(rows: DataFrame, constants: DataFrame, depth: int) -> DataFrame:
-    """``rows`` one level down: ``node`` gets its branch, a wildcard, or nothing if it ended."""
+    """``rows`` one level down: ``node`` gets its branch, a wildcard, or nothing if it ended.
+    ``wild`` is the segment at the first wildcard."""
     step = rows.withColumn("segment", F.get("segments", F.lit(depth))).join(
         constants, ["host", "node", "segment"], "left"
     )
     below = F.concat("node", F.lit("/"), F.coalesce("branch", F.lit(WILDCARD)))
-    return step.withColumn("node", F.when(F.col("segment").isNull(), F.col("node")).otherwise(below)).drop(
-        "segment", "branch"
-    )
+    wild = F.col("segment").isNotNull() & F.col("branch").isNull()
+    return step.withColumns(
+        {
+            "node": F.when(F.col("segment").isNull(), F.col("node")).otherwise(below),
+            "wild": F.coalesce("wild", F.when(wild, F.col("segment"))),
+        }
+    ).drop("segment", "branch")
 
 
 def template_tree(
     urls: DataFrame,
     *,
     depth: int = 4,
-    share: float = 0.05,
     support: int = 5,
     z: float = 1.96,
 ) -> tuple[DataFrame, list[DataFrame]]:
-    """``urls`` (host, path and nullable boolean ``bad``) with ``node``, each one's template, and
-    the constant segments of each level.
+    """``urls`` (host, path and nullable boolean ``bad``) with ``node``, each one's template,
+    ``wild``, its segment at the template's first wildcard, and the constant segments of each level.
 
-    A segment stays if it has at least ``support`` urls and a ``share`` of its node's. Segments
+    A segment stays if it has at least ``support`` urls, whatever its share of its node's. Segments
     beyond ``depth`` are not told apart. A path without segments has the host as its template.
     """
     rows = urls.withColumns(
         {
             "segments": F.slice(F.filter(F.split("path", "/"), lambda s: s != ""), 1, depth),
             "node": F.lit(""),
+            "wild": F.lit(None).cast("string"),
         }
     )
     levels = []
     for level in range(depth):
-        levels.append(written(_constants(rows, level, share, support, z)))
+        levels.append(written(_constants(rows, level, support, z)))
         rows = _descend(rows, levels[-1], level)
     return rows.drop("segments"), levels
 
@@ -147,7 +149,9 @@ def filter_urls(
 
     ``rules`` maps a host and path to whether it blocks. The longest rule that fits decides; for
     other urls the template does: it blocks if (bad + prior) / (labelled + 2 prior) is at least
-    ``purity``, so a template without labelled urls allows. Urls count as labelled by the rule
+    ``purity``, so a template without labelled urls allows. Where a template has a wildcard and
+    less than half of its urls are labelled, the segments at its first wildcard are counted so, each
+    once: as bad by the share of its own labelled urls. So no small branch decides. Urls count as labelled by the rule
     that decides them, or, where ``labels`` (``url`` and boolean ``bad``, one row for each url)
     has them, by that. A null url, or one without ``://``, has an empty host and path. Repeated
     rows count and are judged each.
@@ -166,10 +170,18 @@ def filter_urls(
         ).drop("given")
     judged = judged.drop("url")
     rows, _ = template_tree(judged, **tree)
-    clean = (F.count_if("bad") + prior) / (F.count("bad") + 2 * prior)
+    branches = rows.groupBy("host", "node", "wild").agg(
+        F.count("*").alias("n"), F.count("bad").alias("labelled"), F.count_if("bad").alias("bad")
+    )
+    known, seen = F.sum("labelled"), F.count_if(F.col("labelled") > 0)
+    each = F.coalesce(F.sum(F.col("bad") / F.nullif("labelled", F.lit(0))), F.lit(0.0))
+    by_branch = (F.count("wild") > 0) & (known * 2 < F.sum("n"))
+    share = F.when(by_branch, (each + prior) / (seen + 2 * prior)).otherwise(
+        (F.sum("bad") + prior) / (known + 2 * prior)
+    )
     rejected = written(
-        rows.groupBy("host", "node")
-        .agg(clean.alias("purity"), F.count("bad").alias("labelled"))
+        branches.groupBy("host", "node")
+        .agg(share.alias("purity"))
         .where(F.col("purity") >= purity)
         .select("host", "node", "purity")
     )

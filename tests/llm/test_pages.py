@@ -8,6 +8,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from insight.llm import topk, urls, warc
 
@@ -206,6 +207,40 @@ def test_templates_with_labels(spark):
     assert check_urls(rows, values, labels) > 50
 
 
+def test_sections_of_a_small_share_stay_apart(spark):
+    sections = ["de", *(f"s{k}" for k in range(29))]
+    values = [f"http://a.example.com/{s}/{i}" for s in sections for i in range(20)]
+    df = spark.createDataFrame(list(enumerate(values)), "page_id long, url string")
+    rows = urls.filter_urls(df, RULES).collect()
+    assert {(r.path.split("/")[1], r.verdict) for r in rows} == {
+        (s, "block" if s == "de" else "allow") for s in sections
+    }
+    assert {r.template for r in rows} == {f"a.example.com/{s}/*" for s in sections}
+
+
+def test_a_small_branch_does_not_decide_a_wildcard(spark):
+    values = [f"http://b.org/{i}/p{k}" for i in range(300) for k in range(4)]
+    few = {u: True for u in values[:12]}
+    many = {u: True for u in values[: 4 * 30 : 4]}
+    df = spark.createDataFrame(list(enumerate(values)), "page_id long, url string")
+    for labels, want in ((few, "allow"), (many, "block")):
+        given = spark.createDataFrame(list(labels.items()), "url string, bad boolean")
+        # Below a wildcard of sections the last segments stay, so one level tells them all.
+        rows = urls.filter_urls(df, {}, labels=given, depth=1).collect()
+        assert {(r.template, r.verdict) for r in rows} == {("b.org/*", want)}
+
+
+def test_like_siblings_merge_and_small_steps_do_not_add_up(spark):
+    values = [f"http://c.org/{s:02d}/{i}" for s in range(41) for i in range(40)]
+    labels = {u: i % 40 < i // 40 for i, u in enumerate(values)}
+    df = spark.createDataFrame([("c.org", u[12:], b) for u, b in labels.items()], "host string, path string, bad boolean")
+    branch = {r.segment: r.branch for r in urls.template_tree(df)[1][0].collect()}
+    assert len(branch) == 41
+    assert branch["00"] != branch["40"] and branch["10"] != branch["30"]
+    same = df.withColumn("bad", F.lit(True))
+    assert {r.branch for r in urls.template_tree(same)[1][0].collect()} == {"00"}
+
+
 def test_url_query_on_the_smallest_tables(spark):
     from insight.llm.queries import op6_urls
 
