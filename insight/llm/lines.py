@@ -85,6 +85,54 @@ def _tokens_of(rows: DataFrame, depth: int) -> DataFrame:
     return rows.mapInArrow(fetch, "high long, low long, leaf long, tokens array<long>")
 
 
+def _holders(few: DataFrame, parsed: DataFrame, least: int) -> DataFrame:
+    """``few``, lines in fewer than ``least`` documents, once for each ``doc_id`` that has them."""
+    ends = few.where("docs <= 2").withColumn(
+        "doc_id", F.explode(F.array_distinct(F.array("first", "last")))
+    )
+    if least <= 3:
+        return ends
+    more = few.where("docs > 2").join(parsed.select("doc_id", *_LINE).distinct(), list(_LINE))
+    return ends.unionByName(more)
+
+
+def _in_enough(
+    members: DataFrame, group: list[str], mixed: DataFrame, parsed: DataFrame, least: int
+) -> DataFrame:
+    """``leaf``, ``group``, ``first, kinds``: groups of lines in ``least`` documents or more.
+
+    The sum over lines counts a document once for each of its lines. It is right where no document
+    has several lines of the leaf, enough where one line is in enough documents, and else the
+    distinct documents are counted. ``mixed``: the leaves of which a document has several lines.
+    """
+    names = ["leaf", *group]
+    told = written(
+        members.groupBy(*names)
+        .agg(
+            F.sum("docs").alias("seen"),
+            F.max("docs").alias("most"),
+            F.min("first").alias("first"),
+            F.count("*").alias("kinds"),
+        )
+        .where(F.col("seen") >= least)
+        .join(mixed.withColumn("mixed", F.lit(True)), "leaf", "left")
+    )
+    open_ = told.where(F.col("mixed") & (F.col("most") < least))
+    few = members.where(F.col("docs") < least).select(*names, *_LINE, "docs", "first", "last")
+    counted = (
+        _holders(few.join(open_.select(*names), names, "left_semi"), parsed, least)
+        .select(*names, "doc_id")
+        .distinct()
+        .groupBy(*names)
+        .agg(F.count("*").alias("documents"))
+        .where(F.col("documents") >= least)
+    )
+    enough = told.where(F.col("mixed").isNull() | (F.col("most") >= least)).unionByName(
+        open_.join(counted.select(*names), names, "left_semi")
+    )
+    return enough.select(*names, "first", "kinds")
+
+
 def recurring_lines(
     rows: DataFrame, parsed: DataFrame, *, depth: int, least: int, constant: float
 ) -> DataFrame:
@@ -92,7 +140,9 @@ def recurring_lines(
     smallest of these. ``rows``: ``doc_id, text``; ``parsed``: their lines."""
     lines = written(
         parsed.groupBy(*_LINE, "leaf").agg(
-            F.count("*").alias("docs"), F.min("doc_id").alias("first")
+            F.count("*").alias("docs"),
+            F.min("doc_id").alias("first"),
+            F.max("doc_id").alias("last"),
         )
     )
     # Only below leaves with several lines in enough documents can a wildcard matter.
@@ -109,22 +159,25 @@ def recurring_lines(
     tokens = written(
         _tokens_of(rows.join(wanted, "doc_id").select("text", "wanted"), depth)
         .dropDuplicates(list(_LINE))
-        .join(shared.select(*_LINE, "docs", "first"), list(_LINE))
+        .join(shared.select(*_LINE, "docs", "first", "last"), list(_LINE))
+    )
+    mixed = written(
+        _holders(tokens.where(F.col("docs") < least), parsed, least)
+        .groupBy("leaf", "doc_id")
+        .agg(F.count("*").alias("kinds"))
+        .where("kinds > 1")
+        .select("leaf")
+        .distinct()
     )
     placed = tokens.select(
-        *_LINE, "leaf", "docs", "first", F.size("tokens").alias("size"),
+        *_LINE, "leaf", "docs", "first", "last", F.size("tokens").alias("size"),
         F.posexplode("tokens").alias("at", "token"),
     )
-    stable = (
-        placed.groupBy("leaf", "at", "token")
-        .agg(F.sum("docs").alias("seen"))
-        .where(F.col("seen") >= least)
-        .select("leaf", "at", "token")
-    )
+    stable = _in_enough(placed, ["at", "token"], mixed, parsed, least).select("leaf", "at", "token")
     # One list for each line: the tokens that stay. The rest of the template are wildcards.
     templates = (
         placed.join(stable, ["leaf", "at", "token"])
-        .groupBy(*_LINE, "leaf", "docs", "first", "size")
+        .groupBy(*_LINE, "leaf", "docs", "first", "last", "size")
         .agg(F.sort_array(F.collect_list(F.struct("at", "token"))).alias("stays"))
         .where(F.size("stays") >= constant * F.col("size"))
         .withColumn("template", F.xxhash64("leaf", "stays"))
@@ -133,9 +186,8 @@ def recurring_lines(
     )
     templates = written(templates)
     known = (
-        templates.groupBy("template", "template2")
-        .agg(F.sum("docs").alias("docs"), F.min("first").alias("first"), F.count("*").alias("kinds"))
-        .where((F.col("docs") >= least) & (F.col("kinds") > 1))
+        _in_enough(templates, ["template", "template2"], mixed, parsed, least)
+        .where("kinds > 1")
         .select("template", "template2", "first")
     )
     by_template = templates.select(*_LINE, "template", "template2").join(
