@@ -11,22 +11,29 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from insight.llm.shared import columns, written
+from insight.llm.shared import columns, text_slices, written
 
 _KEY = ("doc_id", "mark")
 _MASK = (1 << 64) - 1
 _REMEMBERED = 150_000
+#: Longer words are hashed each time.
+_LONG = 100
+#: Bytes of slices at which a batch of partitions ends.
+_BATCH_BYTES = 1 << 25
 
 
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= _REMEMBERED:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
+        h = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= _LONG:
+            if len(self) >= _REMEMBERED:
+                self.clear()
+            self[word] = h
         return h
 
 
@@ -69,7 +76,7 @@ def _anchored(rows: DataFrame, window: int, seed: int) -> DataFrame:
 
     def find(batches):
         hashes = _WordHashes()
-        for batch in batches:
+        for batch in text_slices(batches, 2):
             ids, marks, out = [], [], []
             for doc, mark, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 found = np.unique(anchors(words_of(text), window, seed, hashes)[1])
@@ -97,7 +104,7 @@ def _slices(rows: DataFrame, window: int, seed: int) -> DataFrame:
 
     def cut(batches):
         hashes = _WordHashes()
-        for batch in batches:
+        for batch in text_slices(batches, 2):
             out: list[tuple] = []
             for doc, mark, text, wanted in zip(
                 *(c.to_pylist() for c in batch.columns), strict=True
@@ -131,7 +138,8 @@ def first_holders(slices: list[bytes], docs: np.ndarray, window: int) -> list[np
     """
     split = [s.split() for s in slices]
     sizes = np.array([len(w) for w in split])
-    _, rank = np.unique(np.array([w for words in split for w in words]), return_inverse=True)
+    numbers: dict[bytes, int] = {}
+    rank = np.array([numbers.setdefault(w, len(numbers)) for words in split for w in words], "int64")
     depth = 1
     while depth < window:
         step = min(depth, window - depth)
@@ -151,7 +159,8 @@ def first_holders(slices: list[bytes], docs: np.ndarray, window: int) -> list[np
 def _subtrees(distinct: DataFrame, window: int, batch_slices: int) -> DataFrame:
     """``high, low, firsts``: for each window of a slice its first holder, if there is another.
 
-    Rows of one anchor are together and in order; whole anchors are taken up to a batch.
+    Rows of one anchor are together and in order; whole anchors are taken up to a batch of
+    ``batch_slices`` or ``_BATCH_BYTES``.
     """
 
     def build(batches):
@@ -171,9 +180,11 @@ def _subtrees(distinct: DataFrame, window: int, batch_slices: int) -> DataFrame:
             )
 
         held: list[pa.RecordBatch] = []
-        for batch in batches:
+        size = 0
+        for batch in text_slices(batches, 3):
             if not batch.num_rows:
                 continue
+            sizes = np.cumsum(pc.binary_length(batch.column(3)).to_numpy(), dtype="int64")
             names = batch.column(0).to_numpy()
             starts = np.flatnonzero(np.r_[True, names[1:] != names[:-1]])
             at = 0
@@ -181,11 +192,13 @@ def _subtrees(distinct: DataFrame, window: int, batch_slices: int) -> DataFrame:
                 new = not held or held[-1].column(0)[-1].as_py() != names[start] or start > at
                 if start > at:
                     held.append(batch.slice(at, start - at))
+                    size += int(sizes[start - 1] - (sizes[at - 1] if at else 0))
                     at = start
-                if new and sum(b.num_rows for b in held) >= batch_slices:
+                if new and held and (sum(b.num_rows for b in held) >= batch_slices or size >= _BATCH_BYTES):
                     yield done(held)
-                    held = []
+                    held, size = [], 0
             held.append(batch.slice(at))
+            size += int(sizes[-1] - (sizes[at - 1] if at else 0))
         if held:
             yield done(held)
 
@@ -199,7 +212,7 @@ def _longest_prefixes(distinct: DataFrame, window: int) -> DataFrame:
     tree, so the smallest holder is an aggregate."""
 
     def windows(batches):
-        for batch in batches:
+        for batch in text_slices(batches, 2):
             out = []
             for high, low, words, first in zip(
                 *(batch.column(i).to_pylist() for i in range(4)), strict=True
@@ -254,7 +267,10 @@ def repeated_windows(
         )
     )
     large = written(
-        distinct.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > most).select("anchor")
+        distinct.groupBy("anchor")
+        .agg(F.count("*").alias("n"), F.sum(F.length("words")).alias("size"))
+        .where((F.col("n") > most) | (F.col("size") > _BATCH_BYTES))
+        .select("anchor")
     )
     parted = (
         distinct.join(large, "anchor", "left_anti")
@@ -298,7 +314,8 @@ def remove_repeated_passages(
     by ASCII white space and otherwise as they are. The text that stays is the input's own if no
     word goes, else the words left, joined by one space. A null or empty text has no words and
     stays. Rows without key lose nothing and make no other row lose anything; rows with one key
-    do not repeat each other. A partition holds at most ``most`` distinct slices of its prefix.
+    do not repeat each other. A partition holds at most ``most`` distinct slices of its prefix,
+    and of these 32 MB; windows of larger ones are grouped by their hash.
     """
     base = columns(docs, doc_id=key, text=text, **{f"_{c}": c for c in keep}).withColumn(
         "doc_id", F.col("doc_id").cast("long")

@@ -108,6 +108,23 @@ def test_first_holders_of_slices():
         assert got.tolist() == [first[tuple(w[i : i + 6])] for i in range(len(w) - 5)]
 
 
+def test_long_words_and_words_with_nul_bytes():
+    plain = b" ".join(b"w%d" % i for i in range(60))
+    slices = [b"x" * 1_000_000 + b" " + plain] + [plain] * 8000
+    got = substrings.first_holders(slices, np.arange(len(slices)), 50)
+    assert got[0].tolist() == [0] * 12 and got[8000].tolist() == [0] * 11
+    assert [f.tolist() for f in substrings.first_holders([b"a b", b"a b\x00"], np.array([1, 2]), 2)] == [[1], [2]]
+
+
+@pytest.mark.parametrize("most_bytes", [1, 400, 1 << 25])
+def test_partitions_are_bounded_by_bytes(spark, monkeypatch, most_bytes):
+    monkeypatch.setattr(substrings, "_BATCH_BYTES", most_bytes)
+    rows = passages(random.Random(9), 40, 500, 10)
+    rows += [(90 + i, " ".join(["y" * 50_000, *(f"p{k}" for k in range(30)), "\x00z"[i:]])) for i in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    compare(substrings.remove_repeated_passages(docs, window=10, seed=4), rows, 10)
+
+
 # ---------------------------------------------------------------- lines
 
 
