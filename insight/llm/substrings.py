@@ -2,9 +2,10 @@
 
 A passage repeats if a window of its words occurs elsewhere. Every window has an anchor, its
 short prefix-like seed with the smallest hash, so equal windows have equal anchors. Suffixes are
-partitioned by the anchor they begin at; a partition of more suffixes than fit in memory is
-partitioned further by longer prefixes, up to the whole window. Each partition builds its tree as
-sorted suffixes, by prefix doubling. Nodes as deep as the window with several leaves are repeats.
+partitioned by the anchor they begin at. Each partition ranks its suffixes by prefix doubling, up to
+the window: those of one rank are the leaves below one node of the suffix tree at that depth, which
+is not built itself. Windows of anchors with too many suffixes are grouped by a hash of the whole
+window instead. Nodes as deep as the window with several leaves are repeats.
 """
 
 from __future__ import annotations
