@@ -7,12 +7,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from insight.llm import (
+    audit,
     bpe,
     exact,
+    infill,
     language,
     lines,
     near,
     packing,
+    quality,
     substrings,
     topk,
     urls,
@@ -153,3 +156,74 @@ def op10_lines(spark, folder):
     return kept.select(
         "doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
     )
+
+
+@_query(
+    r"""WITH t AS (SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || doc_id) AS h,
+        regexp_extract_all(coalesce(text, ''),
+          '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units FROM documents),
+      d AS (SELECT *, len(units)::BIGINT AS n, ('0x' || substr(h, 1, 8))::BIGINT % (len(units) + 1) AS a,
+        ('0x' || substr(h, 9, 8))::BIGINT % (len(units) + 1) AS b,
+        CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+               OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 50 THEN 'plain'
+             WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM t),
+      c AS (SELECT doc_id, text, n, form, array_to_string(units[1:least(a, b)], '') AS x,
+        array_to_string(units[least(a, b) + 1:greatest(a, b)], '') AS y,
+        array_to_string(units[greatest(a, b) + 1:], '') AS z FROM d)
+    SELECT doc_id, n, form,
+           CASE WHEN form <> 'plain' THEN length(x)::BIGINT END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN length(y)::BIGINT END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN text
+             WHEN 'psm' THEN '<P>' || x || '<S>' || z || '<M>' || y
+             ELSE '<S>' || z || '<P>' || x || '<M>' || y END) AS output_sha256,
+           sha256(text) AS restored_sha256 FROM c"""
+)
+def op11_infill(spark, folder):
+    made = infill.fill_in_middle(_table(spark, folder, "documents"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(infill.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+@_query(
+    r"""WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang,
+        coalesce(source, '') AS source,
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body
+        FROM documents),
+      t AS (SELECT r, lang, source,
+        unnest(regexp_extract_all(body, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+      c AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT r) AS docs FROM t GROUP BY ALL),
+      k AS (SELECT lang, term, sum(n) AS total FROM c GROUP BY ALL HAVING sum(docs) >= 3),
+      l AS (SELECT lang, count(*) AS v, sum(total) AS size FROM k GROUP BY lang),
+      g AS (SELECT lang, source, coalesce(max(l.v), 0) AS v, coalesce(sum(c.n), 0) AS size
+        FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN l USING (lang)
+          LEFT JOIN (SELECT c.* FROM c JOIN k USING (lang, term)) c USING (lang, source) GROUP BY ALL),
+      m AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+          1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 1)::HUGEINT // (g.size + g.v)::HUGEINT AS p,
+          1 + 1000000000::HUGEINT * (k.total + 1)::HUGEINT // (l.size + l.v)::HUGEINT AS q
+        FROM g JOIN k USING (lang) JOIN l USING (lang) LEFT JOIN c USING (lang, source, term)),
+      s AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+        FROM m a JOIN m b USING (lang, term) WHERE a.source <> b.source GROUP BY ALL),
+      f AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+          FROM g a JOIN g b USING (lang) LEFT JOIN s
+            ON s.lang = a.lang AND s.source = a.source AND s.item = b.source WHERE a.source <> b.source
+        UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM m WHERE n > 0 AND p > q),
+      o AS (SELECT lang, source, part, item, value::BIGINT AS value,
+        (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank FROM f)
+    SELECT * FROM o WHERE part = 'pair' OR rank <= 200"""
+)
+def op12_audit(spark, folder):
+    return audit.divergence_audit(_table(spark, folder, "documents"))
+
+
+@_query()
+def op13_quality(spark, folder):
+    return quality.quality_rules(
+        _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    )
