@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,7 +29,7 @@ _TERM = re.compile(rb"[A-Za-z\x80-\xff]+")
 #: Bytes of a text that are split into terms at once.
 _BLOCK = 1 << 22
 #: Different terms of a task after which it sends on what it has counted.
-_HELD = 200_000
+_HELD = 400_000
 SCALE = 1_000_000_000
 _GROUP = ["lang", "source"]
 _COUNTS = "lang string, source string, term string, n long, docs long"
@@ -97,6 +98,56 @@ def divergence(p: Column, q: Column) -> Column:
     return F.call_function("div", (p - q) * (p - q), q)
 
 
+def _runs(batch: pa.RecordBatch, keys: int) -> list[int]:
+    """Where rows begin whose first ``keys`` columns differ from the row before, and the end."""
+    n = batch.num_rows
+    new = np.ones(n, bool)
+    if n > 1:
+        same = [
+            pc.equal(column.slice(1), column.slice(0, n - 1)).to_numpy(False)
+            for column in batch.columns[:keys]
+        ]
+        new[1:] = ~np.logical_and.reduce(same)
+    return [*np.flatnonzero(new).tolist(), n]
+
+
+class _Band:
+    """Counts of the terms of one group that are held, in order of their names."""
+
+    def __init__(self, k: int):
+        self.k = k
+        self.n = self.total = np.empty(0, "int64")
+        self.cuts = self.bars = np.empty(0, "int64")
+        self.planned = 0
+
+    def _plan(self) -> None:
+        """For some totals: the k-th highest count among the held terms of at most that total."""
+        self.planned = len(self.n)
+        order = np.argsort(self.total, kind="stable")
+        ends = np.unique(np.linspace(self.k, len(order), 32).astype(int))
+        self.cuts = self.total[order[ends - 1]]
+        n = self.n[order]
+        self.bars = np.array([np.partition(n[:e], e - self.k)[e - self.k] for e in ends])
+
+    def passed(self, n: np.ndarray, total: np.ndarray) -> np.ndarray:
+        """False only where ``k`` held terms dominate."""
+        if len(self.n) >= self.k and len(self.n) > 1.2 * self.planned:
+            self._plan()
+        if not self.planned:
+            return np.ones(len(n), bool)
+        at = np.searchsorted(self.cuts, total, "right") - 1
+        return (at < 0) | (n > self.bars[at])
+
+    def hold(self, n: np.ndarray, total: np.ndarray) -> np.ndarray:
+        """Which of these, the next in order of names, fewer than ``k`` terms dominate."""
+        a, b = n[:, None], total[:, None]
+        dominating = ((self.n >= a) & (self.total <= b)).sum(1)
+        dominating += np.tril((n >= a) & (total <= b), -1).sum(1)
+        keep = dominating < self.k
+        self.n, self.total = np.append(self.n, n[keep]), np.append(self.total, total[keep])
+        return keep
+
+
 def skyband(keys: int, k: int, block: int = 512):
     """A function for sorted partitions: of rows of ``keys`` columns, then ``term, n, total``, in
     order of all but the last two, those that fewer than ``k`` others of their key dominate.
@@ -106,28 +157,24 @@ def skyband(keys: int, k: int, block: int = 512):
     """
 
     def run(batches):
-        current, n_held, total_held = None, np.empty(0, "int64"), np.empty(0, "int64")
+        current, band = None, _Band(k)
         for batch in batches:
-            names = list(zip(*(batch.column(i).to_pylist() for i in range(keys)), strict=True))
             n = batch.column(keys + 1).to_numpy()
             total = batch.column(keys + 2).to_numpy()
-            stays = np.zeros(len(names), bool)
-            begin = 0
-            while begin < len(names):
-                if names[begin] != current:
-                    current = names[begin]
-                    n_held = total_held = np.empty(0, "int64")
-                end = begin + 1
-                while end < len(names) and end - begin < block and names[end] == current:
-                    end += 1
-                a, b = n[begin:end, None], total[begin:end, None]
-                dominating = ((n_held >= a) & (total_held <= b)).sum(1)
-                among = (a.T >= a) & (b.T <= b)
-                dominating += np.tril(among, -1).sum(1)
-                stays[begin:end] = keep = dominating < k
-                n_held = np.append(n_held, n[begin:end][keep])
-                total_held = np.append(total_held, total[begin:end][keep])
-                begin = end
+            stays = np.zeros(len(n), bool)
+            bounds = _runs(batch, keys)
+            for begin, end in zip(bounds, bounds[1:], strict=False):
+                key = [batch.column(i)[begin].as_py() for i in range(keys)]
+                if key != current:
+                    current, band = key, _Band(k)
+                while begin < end:
+                    # Short steps at first, until there is something to be dominated by.
+                    step = min(end, begin + (block if len(band.n) < k else 16 * block))
+                    rows = begin + np.flatnonzero(band.passed(n[begin:step], total[begin:step]))
+                    for i in range(0, len(rows), block):
+                        part = rows[i : i + block]
+                        stays[part] = band.hold(n[part], total[part])
+                    begin = step
             yield batch.filter(pa.array(stays))
 
     return run
@@ -161,76 +208,96 @@ def _first_terms(terms: DataFrame, groups: DataFrame, k: int, merges: tuple[int,
     )
 
 
-def _compare(batches, tile: int):
-    """For each key (lang, low, high, salt), whose members come first and then its terms: the
-    divergences of every member from every other, summed over the terms, without members' own.
+class _Block:
+    """Divergences between the members of one key: (lang, low, high, salt).
 
-    A member has the probability of an absent term where a term has no entry for it. What absent
-    terms give is added here for the terms of this key, less for those that others have: the first
-    salt adds it for all terms of the language.
+    A member has the probability of an absent term where a term has no entry for it. Only terms
+    that are seen here are summed, each less what two absences give; the first salt adds that
+    for all terms of the language.
     """
-    out: list[list] = [[], [], [], []]
-    key, members, absent = None, [], np.empty(0, "int64")
-    sums, dense, used, last = None, None, 0, None
-
-    def score(count: int) -> None:
-        for i in range(len(members)):
-            apart = dense[:count, i : i + 1] - dense[:count]
-            sums[i] += (apart * apart // dense[:count]).sum(0)
-        dense[:] = absent
-
-    def close() -> None:
-        nonlocal used
-        if key is None:
-            return
-        if sums is not None:
-            score(used)
-        lang, low, high, salt = key
-        for i, (block, source, p, kinds) in enumerate(members):
-            for j, (other_block, other, q, _) in enumerate(members):
-                if source == other or (low != high and block == other_block):
-                    continue
-                rest = (p - q) ** 2 // q
-                value = (int(sums[i, j]) if sums is not None else 0) - rest * used_all
-                if salt == 0:
-                    value += rest * kinds
-                for column, x in zip(out, (lang, source, other, value), strict=True):
-                    column.append(x)
-        used = 0
-
-    used_all = 0
+
+    def __init__(self, key: list, members: list[tuple], tile: int):
+        self.key, self.members, self.tile = key, members, tile
+        self.names = pa.array([m[1] for m in members], pa.string())
+        self.absent = np.array([m[2] for m in members], "int64")
+        self.sums = np.zeros((len(members),) * 2, "int64")
+        self.dense = np.empty((0, len(members)), "int64")
+        self.used = self.seen = 0
+        self.last: str | None = None
+
+    def add(self, terms: pa.Array, sources: pa.Array, p: np.ndarray) -> None:
+        """Entries in order of their terms, which may go on with the last term so far."""
+        new = np.ones(len(p), bool)
+        new[0] = terms[0].as_py() != self.last
+        new[1:] = pc.not_equal(terms.slice(1), terms.slice(0, len(p) - 1)).to_numpy(False)
+        self.last = terms[len(p) - 1].as_py()
+        at = pc.index_in(sources, self.names).to_numpy()
+        number = np.cumsum(new)
+        if not len(self.dense):
+            self.dense = np.tile(self.absent, (self.tile, 1))
+        begin = done = 0
+        while begin < len(p):
+            if self.used == self.tile and number[begin] > done:
+                self.score()
+            end = int(np.searchsorted(number, done + self.tile - self.used, "right"))
+            self.dense[self.used + number[begin:end] - done - 1, at[begin:end]] = p[begin:end]
+            self.used += int(number[end - 1]) - done
+            done, begin = int(number[end - 1]), end
+        self.seen += done
+
+    def score(self) -> None:
+        known = self.dense[: self.used]
+        for i in range(len(self.members)):
+            apart = known[:, i : i + 1] - known
+            self.sums[i] += (apart * apart // known).sum(0)
+        self.dense[:] = self.absent
+        self.used = 0
+
+    def rows(self):
+        """lang, source, other source and value."""
+        if self.used:
+            self.score()
+        lang, low, high, salt = self.key
+        for i, (block, source, p, kinds) in enumerate(self.members):
+            for j, (other_block, other, q, _) in enumerate(self.members):
+                if source != other and (low == high or block != other_block):
+                    times = (kinds if salt == 0 else 0) - self.seen
+                    yield lang, source, other, int(self.sums[i, j]) + (p - q) ** 2 // q * times
+
+
+def _compare(batches, tile: int):
+    """Of each key its members come first, with a null term, and then its terms in order."""
+    key, members, block, out = None, [], None, []
+
+    def close():
+        if key is not None:
+            out.extend((block or _Block(key, members, tile)).rows())
+
     for batch in batches:
-        for *name, term, block, source, p, kinds in zip(
-            *(c.to_pylist() for c in batch.columns), strict=True
-        ):
+        bounds = _runs(batch, 4)
+        for begin, end in zip(bounds, bounds[1:], strict=False):
+            part = batch.slice(begin, end - begin)
+            name = [part.column(i)[0].as_py() for i in range(4)]
             if name != key:
                 close()
-                key, members, places = name, [], {}
-                sums, dense, used, last, used_all = None, None, 0, None, 0
-            if term is None:
-                places[source] = len(members)
-                members.append((block, source, p, kinds))
-                continue
-            if sums is None:
-                absent = np.array([m[2] for m in members], "int64")
-                sums = np.zeros((len(members),) * 2, "int64")
-                dense = np.tile(absent, (tile, 1))
-            if term != last:
-                if used == tile:
-                    score(used)
-                    used = 0
-                last, used, used_all = term, used + 1, used_all + 1
-            dense[used - 1, places[source]] = p
-        if len(out[0]) >= 1 << 16:
+                key, members, block = name, [], None
+            heads = part.column(4).null_count
+            told = part.slice(0, heads)
+            members += zip(*(told.column(i).to_pylist() for i in (5, 6, 7, 8)), strict=True)
+            if heads < part.num_rows:
+                block = block or _Block(key, members, tile)
+                rest = part.slice(heads)
+                block.add(rest.column(4), rest.column(6), rest.column(7).to_numpy())
+        if len(out) >= 1 << 16:
             yield _pairs_batch(out)
-            out = [[], [], [], []]
+            out.clear()
     close()
     yield _pairs_batch(out)
 
 
-def _pairs_batch(out: list[list]) -> pa.RecordBatch:
+def _pairs_batch(out: list[tuple]) -> pa.RecordBatch:
     kinds = (pa.string(), pa.string(), pa.string(), pa.int64())
-    arrays = [pa.array(c, kind) for c, kind in zip(out, kinds, strict=True)]
+    arrays = [pa.array([row[i] for row in out], kind) for i, kind in enumerate(kinds)]
     return pa.RecordBatch.from_arrays(arrays, names=[*_GROUP, "item", "value"])
 
 
@@ -313,18 +380,22 @@ def divergence_audit(
     rows = columns(docs, lang=lang, source=source, text=text).select(
         *(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text"))
     )
-    counts = written(
+    # Tasks have counted before this shuffle, so a term has one row for each group and some 10 MB
+    # of text; both sums are made where it brought the rows.
+    everywhere = Window.partitionBy("lang", "term")
+    counts = (
         rows.mapInArrow(_counted, _COUNTS)
-        .groupBy(*_GROUP, "term")
+        .repartition("lang", "term")
+        .groupBy("lang", "term", "source")
         .agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     )
-    kept = (
-        counts.groupBy("lang", "term")
-        .agg(F.sum("n").alias("total"), F.sum("docs").alias("docs"))
+    terms = written(
+        counts.withColumns(
+            {"total": F.sum("n").over(everywhere), "docs": F.sum("docs").over(everywhere)}
+        )
         .where(F.col("docs") >= least)
         .drop("docs")
     )
-    terms = written(counts.drop("docs").join(kept, ["lang", "term"]))
     sizes = terms.groupBy(*_GROUP).agg(F.sum("n").alias("size"))
     langs = (
         terms.groupBy("lang", "term").agg(F.max("total").alias("total"))
