@@ -13,10 +13,10 @@ import re
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from insight.llm.shared import columns, written
+from insight.llm.shared import columns, text_slices, written
 
 _DIGITS = re.compile(rb"[0-9]+")
 _LINE = ("high", "low")
@@ -41,7 +41,7 @@ def _parsed(rows: DataFrame, depth: int) -> DataFrame:
     """``doc_id, high, low, leaf``: each document's distinct lines that have tokens."""
 
     def parse(batches):
-        for batch in batches:
+        for batch in text_slices(batches, 1):
             ids, found = [], []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 lines = {
@@ -64,7 +64,7 @@ def _tokens_of(rows: DataFrame, depth: int) -> DataFrame:
     """``high, low, leaf, tokens`` of the lines that ``rows`` names in ``wanted``."""
 
     def fetch(batches):
-        for batch in batches:
+        for batch in text_slices(batches, 0):
             out: list[tuple] = []
             for text, wanted in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
                 names = {(w["high"], w["low"]) for w in wanted}
@@ -85,52 +85,20 @@ def _tokens_of(rows: DataFrame, depth: int) -> DataFrame:
     return rows.mapInArrow(fetch, "high long, low long, leaf long, tokens array<long>")
 
 
-def _holders(few: DataFrame, parsed: DataFrame, least: int) -> DataFrame:
-    """``few``, lines in fewer than ``least`` documents, once for each ``doc_id`` that has them."""
-    ends = few.where("docs <= 2").withColumn(
-        "doc_id", F.explode(F.array_distinct(F.array("first", "last")))
-    )
-    if least <= 3:
-        return ends
-    more = few.where("docs > 2").join(parsed.select("doc_id", *_LINE).distinct(), list(_LINE))
-    return ends.unionByName(more)
-
-
-def _in_enough(
-    members: DataFrame, group: list[str], mixed: DataFrame, parsed: DataFrame, least: int
-) -> DataFrame:
-    """``leaf``, ``group``, ``first, kinds``: groups of lines in ``least`` documents or more.
+def smallest(rows: DataFrame, group: list[str], least: int) -> DataFrame:
+    """``group, doc_id, nth``: of each group, its ``least`` smallest distinct documents.
 
-    The sum over lines counts a document once for each of its lines. It is right where no document
-    has several lines of the leaf, enough where one line is in enough documents, and else the
-    distinct documents are counted. ``mixed``: the leaves of which a document has several lines.
+    Such sets can be united: a group's is the smallest of its members' sets. A group is in
+    ``least`` documents or more if its set is full, and a smaller set is whole. Each task sends on
+    its own smallest documents only, so a group that is in all documents is small, too.
     """
-    names = ["leaf", *group]
-    told = written(
-        members.groupBy(*names)
-        .agg(
-            F.sum("docs").alias("seen"),
-            F.max("docs").alias("most"),
-            F.min("first").alias("first"),
-            F.count("*").alias("kinds"),
-        )
-        .where(F.col("seen") >= least)
-        .join(mixed.withColumn("mixed", F.lit(True)), "leaf", "left")
-    )
-    open_ = told.where(F.col("mixed") & (F.col("most") < least))
-    few = members.where(F.col("docs") < least).select(*names, *_LINE, "docs", "first", "last")
-    counted = (
-        _holders(few.join(open_.select(*names), names, "left_semi"), parsed, least)
-        .select(*names, "doc_id")
-        .distinct()
-        .groupBy(*names)
-        .agg(F.count("*").alias("documents"))
-        .where(F.col("documents") >= least)
-    )
-    enough = told.where(F.col("mixed").isNull() | (F.col("most") >= least)).unionByName(
-        open_.join(counted.select(*names), names, "left_semi")
+    in_order = Window.partitionBy(*group).orderBy("doc_id")
+    return (
+        rows.select(*group, "doc_id")
+        .withColumn("nth", F.dense_rank().over(in_order))
+        .where(F.col("nth") <= least)
+        .dropDuplicates([*group, "doc_id"])
     )
-    return enough.select(*names, "first", "kinds")
 
 
 def recurring_lines(
@@ -138,12 +106,9 @@ def recurring_lines(
 ) -> DataFrame:
     """``high, low, first``: lines whose template is in at least ``least`` documents, and the
     smallest of these. ``rows``: ``doc_id, text``; ``parsed``: their lines."""
+    held = written(smallest(parsed, [*_LINE, "leaf"], least))
     lines = written(
-        parsed.groupBy(*_LINE, "leaf").agg(
-            F.count("*").alias("docs"),
-            F.min("doc_id").alias("first"),
-            F.max("doc_id").alias("last"),
-        )
+        held.groupBy(*_LINE, "leaf").agg(F.max("nth").alias("docs"), F.min("doc_id").alias("first"))
     )
     # Only below leaves with several lines in enough documents can a wildcard matter.
     leaves = (
@@ -156,47 +121,45 @@ def recurring_lines(
     wanted = shared.groupBy(F.col("first").alias("doc_id")).agg(
         F.collect_list(F.struct(*_LINE)).alias("wanted")
     )
+    # How texts are joined does not depend on the size of the other side: they are sent by key.
     tokens = written(
-        _tokens_of(rows.join(wanted, "doc_id").select("text", "wanted"), depth)
+        _tokens_of(rows.join(wanted.hint("merge"), "doc_id").select("text", "wanted"), depth)
         .dropDuplicates(list(_LINE))
-        .join(shared.select(*_LINE, "docs", "first", "last"), list(_LINE))
-    )
-    mixed = written(
-        _holders(tokens.where(F.col("docs") < least), parsed, least)
-        .groupBy("leaf", "doc_id")
-        .agg(F.count("*").alias("kinds"))
-        .where("kinds > 1")
-        .select("leaf")
-        .distinct()
     )
     placed = tokens.select(
-        *_LINE, "leaf", "docs", "first", "last", F.size("tokens").alias("size"),
-        F.posexplode("tokens").alias("at", "token"),
+        *_LINE, "leaf", F.size("tokens").alias("size"), F.posexplode("tokens").alias("at", "token")
+    )
+    place = ["leaf", "at", "token"]
+    members = held.join(shared.select(*_LINE), list(_LINE), "left_semi").drop("nth", "leaf")
+    stable = (
+        smallest(placed.join(members, list(_LINE)), place, least)
+        .where(F.col("nth") == least)
+        .select(*place)
     )
-    stable = _in_enough(placed, ["at", "token"], mixed, parsed, least).select("leaf", "at", "token")
     # One list for each line: the tokens that stay. The rest of the template are wildcards.
-    templates = (
-        placed.join(stable, ["leaf", "at", "token"])
-        .groupBy(*_LINE, "leaf", "docs", "first", "last", "size")
+    templates = written(
+        placed.join(stable, place)
+        .groupBy(*_LINE, "leaf", "size")
         .agg(F.sort_array(F.collect_list(F.struct("at", "token"))).alias("stays"))
         .where(F.size("stays") >= constant * F.col("size"))
-        .withColumn("template", F.xxhash64("leaf", "stays"))
-        .withColumn("template2", F.sha1(F.to_json("stays")))
-        .drop("stays")
+        .select(
+            *_LINE,
+            F.xxhash64("leaf", "stays").alias("template"),
+            F.sha1(F.to_json("stays")).alias("template2"),
+        )
     )
-    templates = written(templates)
+    template = ["template", "template2"]
     known = (
-        _in_enough(templates, ["template", "template2"], mixed, parsed, least)
-        .where("kinds > 1")
-        .select("template", "template2", "first")
-    )
-    by_template = templates.select(*_LINE, "template", "template2").join(
-        known, ["template", "template2"]
+        smallest(templates.join(members, list(_LINE)), template, least)
+        .groupBy(*template)
+        .agg(F.max("nth").alias("docs"), F.min("doc_id").alias("first"))
+        .where(F.col("docs") >= least)
+        .drop("docs")
     )
     return (
         lines.where(F.col("docs") >= least)
         .select(*_LINE, "first")
-        .unionByName(by_template.select(*_LINE, "first"))
+        .unionByName(templates.join(known, template).select(*_LINE, "first"))
         .groupBy(*_LINE)
         .agg(F.min("first").alias("first"))
     )
@@ -226,7 +189,7 @@ def drop_recurring_lines(
     rows = base.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
     parsed = written(_parsed(rows, depth))
     known = written(
-        recurring_lines(rows, parsed.distinct(), depth=depth, least=least, constant=constant)
+        recurring_lines(rows, parsed, depth=depth, least=least, constant=constant)
     )
     drops = (
         parsed.join(known, list(_LINE))
@@ -234,13 +197,11 @@ def drop_recurring_lines(
         .groupBy("doc_id")
         .agg(F.collect_set(F.struct(*_LINE)).alias("drops"))
     )
-    joined = base.join(drops, "doc_id", "left").select(
-        *base.columns, F.col("drops")
-    )
+    joined = base.join(drops.hint("merge"), "doc_id", "left").select(*base.columns, "drops")
     kept = len(base.columns)
 
     def drop(batches):
-        for batch in batches:
+        for batch in text_slices(batches, 1):
             texts, before, removed = [], [], []
             for value, names in zip(batch.column(1), batch.column(kept).to_pylist(), strict=True):
                 value = value.as_py()

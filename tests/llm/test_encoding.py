@@ -179,6 +179,6 @@ def test_bound_is_below_the_best_packing(sizes):
 
     best = next(n for n in range(1, 8) if fits(n))
     bins, offsets = packing.best_fit_decreasing(np.array(sizes), 12)
-    assert packing.lower_bound(np.array(sizes), 12) <= best <= bins.max() + 1
+    assert packing.lower_bound(np.array(sizes), capacity=12) <= best <= bins.max() + 1
     assert (np.bincount(bins, weights=sizes) <= 12).all()
     assert (offsets + np.array(sizes) <= 12).all()

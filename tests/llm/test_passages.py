@@ -129,6 +129,7 @@ def test_partitions_are_bounded_by_bytes(spark, monkeypatch, most_bytes):
 
 
 def brute_lines(rows, depth=3, least=3, constant=0.7):
+    """What stays of each document, by sets of documents."""
     kinds: dict = {}
     for doc, text in rows:
         if doc is None or text is None:
@@ -140,19 +141,17 @@ def brute_lines(rows, depth=3, least=3, constant=0.7):
     leaf = lambda t: (len(t), t[:depth])
     for t, docs in kinds.items():
         for i, token in enumerate(t):
-            key = (leaf(t), i, token)
-            stable[key] = stable.get(key, 0) + len(docs)
+            stable.setdefault((leaf(t), i, token), set()).update(docs)
     groups: dict = {}
     for t in kinds:
-        stays = tuple((i, x) for i, x in enumerate(t) if stable[leaf(t), i, x] >= least)
+        stays = tuple((i, x) for i, x in enumerate(t) if len(stable[leaf(t), i, x]) >= least)
         if len(stays) >= constant * len(t):
             groups.setdefault((leaf(t), stays), []).append(t)
     first = {t: min(d) for t, d in kinds.items() if len(d) >= least}
     for members in groups.values():
-        if len(members) > 1 and sum(len(kinds[t]) for t in members) >= least:
-            low = min(min(kinds[t]) for t in members)
-            for t in members:
-                first[t] = min(first.get(t, low), low)
+        docs = set().union(*(kinds[t] for t in members))
+        if len(docs) >= least:
+            first |= {t: min(first.get(t, min(docs)), min(docs)) for t in members}
     out = []
     for doc, text in rows:
         if doc is None or text is None:
@@ -208,33 +207,6 @@ def test_lines_of_repeated_rows_and_nothing(spark):
     assert lines.drop_recurring_lines(docs.where("doc_id = 9")).count() == 0
 
 
-def brute_line_sets(rows, depth=3, least=3, constant=0.7):
-    """What ``drop_recurring_lines`` removes of each document, by sets of documents."""
-    kinds: dict = {}
-    for doc, text in rows:
-        for t in map(tuple, lines.masked_lines(text)):
-            if t:
-                kinds.setdefault(t, set()).add(doc)
-    leaf = lambda t: (len(t), t[:depth])
-    spots: dict = {}
-    for t, docs in kinds.items():
-        for i, token in enumerate(t):
-            spots.setdefault((leaf(t), i, token), set()).update(docs)
-    groups: dict = {}
-    for t in kinds:
-        stays = tuple((i, x) for i, x in enumerate(t) if len(spots[leaf(t), i, x]) >= least)
-        if len(stays) >= constant * len(t):
-            groups.setdefault((leaf(t), stays), []).append(t)
-    first = {t: min(d) for t, d in kinds.items() if len(d) >= least}
-    for members in groups.values():
-        docs = set().union(*(kinds[t] for t in members))
-        if len(members) > 1 and len(docs) >= least:
-            first |= {t: min(first.get(t, min(docs)), min(docs)) for t in members}
-    return {
-        doc: sum(first.get(tuple(t), doc) != doc for t in lines.masked_lines(text)) for doc, text in rows
-    }
-
-
 def test_a_document_counts_once_for_a_template(spark):
     table = "\n".join(f"row of table {c}x with one value" for c in "abcdefghijklmnopqrstuvwxyz")
     rows = [(1, table), (2, "row of table other with one value")]
@@ -254,7 +226,7 @@ def test_lines_against_sets_of_documents(spark, least):
         rows.append((i, "\n".join(mine + [f"{rng.choice('abc')}{i % 31} k l {rng.choice('xyzuvw')} m n o"] * (i % 2))))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r.n_removed for r in lines.drop_recurring_lines(docs, least=least).collect()}
-    assert got == brute_line_sets(rows, least=least)
+    assert got == {d: gone for d, _, _, gone in brute_lines(rows, least=least)}
     assert sum(got.values()) > 50
 
 
