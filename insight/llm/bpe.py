@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 
+import numpy as np
 import pyarrow as pa
 import regex
 import tiktoken
@@ -22,6 +23,8 @@ from insight.llm.shared import columns, text_slices
 _MARGIN = 4
 #: Encoded pre-tokens that one Python worker remembers.
 _REMEMBERED = 200_000
+#: Parts of a text that are sent on in one batch.
+_TOGETHER = 256
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -36,7 +39,7 @@ def boundaries(text: str, pattern, start: int = 0) -> list[int]:
 
 
 class _Encoder(dict):
-    """Ids of pre-tokens, remembered up to a bound."""
+    """Ids of pre-tokens as little-endian 32-bit integers, remembered up to a bound."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.pattern = regex.compile(pattern)
@@ -44,22 +47,22 @@ class _Encoder(dict):
             "ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}
         )
 
-    def __missing__(self, token: str) -> list[int]:
+    def __missing__(self, token: str) -> bytes:
         if len(self) >= _REMEMBERED:
             self.clear()
-        self[token] = ids = self.coding._encode_single_piece(token)
+        self[token] = ids = np.array(self.coding._encode_single_piece(token), "<u4").tobytes()
         return ids
 
-    def encode(self, text: str, length: int) -> list[int]:
+    def encode(self, text: str, length: int) -> np.ndarray:
         """Ids of the pre-tokens that begin before ``length``."""
         if len(text) == length:
-            return [i for token in self.pattern.findall(text) for i in self[token]]
-        ids: list[int] = []
+            return self.coding.encode_to_numpy(text, disallowed_special=())
+        found: list[bytes] = []
         for m in self.pattern.finditer(text):
             if m.start() >= length:
                 break
-            ids += self[m.group()]
-        return ids
+            found.append(self[m.group()])
+        return np.frombuffer(b"".join(found), "<u4")
 
 
 def _shared_encoder(spark: SparkSession, ranks: dict[bytes, int], pattern: str):
@@ -90,17 +93,38 @@ def _cuts(groups: dict[int, tuple[list[int], list[int]]], chunk: int) -> list[in
     return cuts
 
 
+def _sliced(rows: DataFrame, spans) -> DataFrame:
+    """``row, piece, start, part, n`` for each (start, length, end of the part) that ``spans``
+    gives for a text, in one pass over it. ``rows``: ``row, text`` and what ``spans`` takes."""
+
+    def cut(batches):
+        for batch in text_slices(batches, 1):
+            for i in range(batch.num_rows):
+                row, text, *more = (c[i].as_py() for c in batch.columns)
+                places = list(spans(text, *more))
+                for at in range(0, len(places), _TOGETHER):
+                    some = places[at : at + _TOGETHER]
+                    yield pa.RecordBatch.from_pydict(
+                        {
+                            "row": pa.array([row] * len(some), pa.string()),
+                            "piece": pa.array(range(at, at + len(some)), pa.int32()),
+                            "start": pa.array([s for s, _, _ in some], pa.int64()),
+                            "part": pa.array([text[s:e] for s, _, e in some], pa.string()),
+                            "n": pa.array([n for _, n, _ in some], pa.int64()),
+                        }
+                    )
+
+    return rows.mapInArrow(cut, "row string, piece int, start long, part string, n long")
+
+
 def _stitches(long: DataFrame, pattern: str, chunk: int, overlap: int) -> DataFrame:
     """``row`` and the offsets ``cuts`` of its pieces, for texts longer than a chunk."""
-    chunks = long.select(
-        "row",
-        F.posexplode(F.expr(f"sequence(0L, length(text) - 1L, {chunk}L)")).alias("number", "start"),
-        "text",
-    ).select(
-        "row",
-        "number",
-        "start",
-        F.expr(f"substring(text, int(start) + 1, {chunk + overlap})").alias("part"),
+
+    def spans(text):
+        return ((s, chunk, s + chunk + overlap) for s in range(0, len(text), chunk))
+
+    chunks = _sliced(long.select("row", "text"), spans).select(
+        "row", F.col("piece").alias("number"), "start", "part"
     )
 
     def pretokenise(batches):
@@ -151,12 +175,16 @@ def _encoded(pieces: DataFrame, encoder) -> DataFrame:
 
     def encode(batches):
         for batch in text_slices(batches, 2):
+            coder = encoder()
             out = [
-                encoder().encode(p.as_py(), n.as_py())
-                for p, n in zip(batch.column(2), batch.column(3), strict=True)
+                coder.encode(p.as_py(), n)
+                for p, n in zip(batch.column(2), batch.column(3).to_pylist(), strict=True)
             ]
+            ends = np.cumsum([0, *map(len, out)]).astype("int32")
+            values = np.concatenate([np.empty(0, "<u4"), *out]).view("<i4")
+            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(values, pa.int32()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(out, pa.list_(pa.int32()))],
+                [batch.column(0), batch.column(1), ids],
                 names=[first.name, second.name, "ids"],
             )
 
@@ -180,7 +208,9 @@ def encode(
 
     ``ranks`` is a whole vocabulary, whose size does not depend on the input. Texts of up to
     ``chunk`` characters are encoded where they are read. Longer ones are cut into chunks of
-    ``chunk + overlap`` characters, which are dealt to all tasks. A null or empty text has no
+    ``chunk + overlap`` characters, which are dealt to all tasks; their task holds one such text
+    at a time. A match of ``pattern`` may depend on at most four characters past its end, as those
+    of the usual patterns do; one that looks further may be cut. A null or empty text has no
     ids; null keys are kept. Repeated rows are repeated in the result.
     """
     if not 0 < 2 * _MARGIN < overlap <= chunk:
@@ -197,19 +227,13 @@ def encode(
     )
     distinct = long.select("row", "text").dropDuplicates(["row"])
     cuts = _stitches(distinct, pattern, chunk, overlap)
-    pieces = (
-        distinct.join(cuts, "row")
-        .select("row", "text", F.posexplode("cuts").alias("piece", "begin"), "cuts")
-        .withColumn(
-            "end", F.coalesce(F.expr("try_element_at(cuts, piece + 2)"), F.length("text"))
-        )
-        .select(
-            "row",
-            "piece",
-            F.expr(f"substring(text, int(begin) + 1, int(end - begin) + {_MARGIN})").alias("part"),
-            F.expr("int(end - begin)").alias("n"),
-        )
-        .repartition("row", "piece")
+
+    def spans(text, begins):
+        ends = [*begins[1:], len(text)]
+        return ((b, e - b, e + _MARGIN) for b, e in zip(begins, ends, strict=True))
+
+    pieces = _sliced(distinct.join(cuts, "row").select("row", "text", "cuts"), spans).repartition(
+        "row", "piece"
     )
     joined = (
         _encoded(pieces, encoder)
@@ -238,7 +262,9 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], ids: str = "ids") -> Dat
     at = names.index(ids)
 
     def tokens_to_bytes(batches):
-        table = {rank: token for token, rank in sent.value.items()}
+        table = [b""] * (max(sent.value.values(), default=-1) + 1)
+        for token, rank in sent.value.items():
+            table[rank] = token
         for batch in batches:
             raw, packed = [], []
             for value in batch.column(at):
@@ -249,7 +275,7 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], ids: str = "ids") -> Dat
                 raw.append(
                     None
                     if numbers is None
-                    else b"".join(map(table.__getitem__, numbers.to_pylist()))
+                    else b"".join(map(table.__getitem__, numbers.to_numpy().tolist()))
                 )
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(raw, pa.binary()), pa.array(packed, pa.binary())],
