@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from array import array
 from bisect import bisect_left
 from collections import Counter
@@ -23,12 +24,12 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from insight.llm.shared import columns
+from insight.llm.shared import columns, kept_in_stage, text_slices
 
 UNKNOWN = "und"
 _WORDS = re.compile(r"[^\W\d_]+")
 #: Scored words that one Python worker remembers.
-_REMEMBERED = 100_000
+_REMEMBERED = 50_000
 #: Places of keys by their hash; a sample is those before a place.
 _PLACES = 1 << 40
 
@@ -92,7 +93,7 @@ def words_of(text: str) -> list[str]:
 
 
 def _word_counts(batches):
-    for batch in batches:
+    for batch in text_slices(batches, 1):
         counts: Counter = Counter()
         for lang, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             for word, n in Counter(words_of(text)).items():
@@ -276,20 +277,16 @@ def predict_language(
     """
     chosen = columns(docs, **{c: c for c in keep}, **{"_text": text})
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kept = len(keep)
-
-    def predict(batches):
-        scores = _Scorer(shared.value)
-        for batch in batches:
-            found = [judge(t.as_py(), shared.value, scores) for t in batch.column(kept)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *batch.columns[:kept],
-                    pa.array([f[0] for f in found], pa.string()),
-                    pa.array([f[1] for f in found], pa.float64()),
-                ],
-                names=[*keep, "lang_pred", "score"],
-            )
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema[:kept])
-    return chosen.mapInArrow(predict, f"{fields}, lang_pred string, score double")
+    name = f"scores {uuid.uuid4().hex}"
+
+    @F.arrow_udf("lang_pred string, score double")
+    def judged(texts: pa.Array) -> pa.Array:
+        scores = kept_in_stage(name, lambda: _Scorer(shared.value))
+        found = [judge(t.as_py(), scores.model, scores) for t in texts]
+        return pa.StructArray.from_arrays(
+            [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
+            names=["lang_pred", "score"],
+        )
+
+    # Only the text goes to Python, and only the verdict comes back.
+    return chosen.withColumn("_judged", judged("_text")).select(*keep, "_judged.*")

@@ -9,7 +9,6 @@ are dealt anew to fewer partitions and packed again.
 
 from __future__ import annotations
 
-import functools
 import os
 import zlib
 
@@ -19,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from insight.llm.shared import columns, text_slices, written
+from insight.llm.shared import columns, kept_in_stage, text_slices, written
 
 #: Encoded words of a generation; a Python worker remembers two, about 200 bytes for each word.
 _REMEMBERED = 250_000
@@ -126,12 +125,6 @@ class _Words(dict):
         return np.frombuffer(b"".join([self[w] for w in words]), "<u4")
 
 
-@functools.lru_cache(maxsize=1)
-def _words(path: str) -> _Words:
-    """Kept by the Python worker from task to task."""
-    return _Words(path)
-
-
 def tokenize_pieces(
     docs: DataFrame,
     vocabulary: str,
@@ -151,7 +144,7 @@ def tokenize_pieces(
     rows = columns(docs, doc_id=key, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
 
     def cut(batches):
-        words = _words(vocabulary)
+        words = kept_in_stage(f"words {vocabulary}", lambda: _Words(vocabulary))
         for batch in text_slices(batches, 1):
             out: dict[str, list] = {
                 c: [] for c in ("doc_id", "piece", "start", "length", "ids_crc32", "ids")

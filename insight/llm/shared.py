@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
 import numpy as np
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,12 +47,31 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df.checkpoint()`` in the folder that the session names, for small rows of a loop."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(scratch_folder(df.sparkSession))
-    return df.checkpoint()
+_kept: dict[str, tuple[int, object]] = {}
+
+
+def _forget() -> int:
+    """Drops what the worker kept in other stages; the number of this one."""
+    task = TaskContext.get()
+    stage = -1 if task is None else task.stageId()
+    old = [name for name, (of, _) in _kept.items() if of != stage]
+    for name in old:
+        del _kept[name]
+    if old:
+        gc.collect()
+    return stage
+
+
+def kept_in_stage(name: str, make):
+    """What a Python worker keeps from task to task, made once, as long as a stage lasts.
+
+    Workers are used again by later stages, in which it would only take room: it goes when a task
+    of another stage asks for something to keep, or reads texts by ``text_slices``.
+    """
+    stage = _forget()
+    if name not in _kept:
+        _kept[name] = (stage, make())
+    return _kept[name][1]
 
 
 def lower_ascii(column: Column) -> Column:
@@ -62,6 +83,7 @@ def lower_ascii(column: Column) -> Column:
 def text_slices(batches, column: int, most: int = 1 << 22):
     """Arrow batches in parts of about ``most`` bytes of a text column, or one larger text, so
     that what a task makes of a batch has a bounded size however long its texts are."""
+    _forget()
     for batch in batches:
         sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(False)
         ends = np.cumsum(sizes, dtype="int64") // most
