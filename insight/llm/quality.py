@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 from insight.llm.shared import columns, written
 
 _SPACE = r"[\x20\x09-\x0D]+"
-_SYMBOLS = "#*$%&|<>"
+_SYMBOLS = "[#*$%&|<>]"
+#: Up to so many repeated hashes of a text, each window is looked up among them.
+_FEW = 32
 #: Log ratios are kept as whole multiples of one in so many.
 UNIT = 1_000_000
 
@@ -61,7 +63,8 @@ def log_ratios(
         .agg((F.min("quality") == 1).alias("trusted"))
         .where("trusted")
     )
-    told = rows.join(trusted, "key", "left").select(
+    # The join does not depend on the number of labels: both sides are sent by key.
+    told = rows.join(trusted.hint("merge"), "key", "left").select(
         words_of(F.col("text")).alias("words"), F.coalesce("trusted", F.lit(False)).alias("trusted")
     )
     counts = (
@@ -88,7 +91,19 @@ def _rules(rows: DataFrame) -> DataFrame:
     """
     words, windows = F.col("words"), F.col("windows")
     n = F.size(words)
-    begins = F.when(n >= 3, F.sequence(F.lit(0), n - 3)).otherwise(F.array().cast("array<int>"))
+    none = F.array().cast("array<int>")
+    begins = F.when(n >= 3, F.sequence(F.lit(0), n - 3)).otherwise(none)
+    hashes, twins = F.col("hashes"), F.col("twins")
+    hashed = F.transform(
+        begins, lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2))
+    )
+    ordered = F.col("ordered")
+    # Equal windows have equal hashes, so only the windows of a hash that occurs twice are compared.
+    candidates = (
+        F.when(F.size(twins) == 0, none)
+        .when(F.size(twins) <= _FEW, F.filter(begins, lambda i: F.array_contains(twins, F.get(hashes, i))))
+        .otherwise(begins)
+    )
     window = lambda i: F.struct(
         F.get(words, i).alias("a"), F.get(words, i + 1).alias("b"), F.get(words, i + 2).alias("c"), i.alias("at")
     )
@@ -106,7 +121,17 @@ def _rules(rows: DataFrame) -> DataFrame:
     lines = F.filter(F.split("body", "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     return (
         rows.withColumn("words", words_of(F.col("body")))
-        .withColumn("windows", F.sort_array(F.transform(begins, window)))
+        .withColumn("hashes", hashed)
+        .withColumn("ordered", F.sort_array(hashes))
+        .withColumn(
+            "twins",
+            F.array_distinct(F.filter(ordered, lambda h, i: (i > 0) & (h == F.get(ordered, i - 1)))),
+        )
+        .drop("ordered")
+        .withColumn("begins", candidates)
+        .drop("hashes", "twins")
+        .withColumn("windows", F.sort_array(F.transform("begins", window)))
+        .drop("begins")
         .withColumn("starts", F.sort_array(F.transform(twice, lambda x: x["at"])))
         .drop("windows")
         .withColumn("lines", lines)
@@ -114,9 +139,7 @@ def _rules(rows: DataFrame) -> DataFrame:
             {
                 "n_words": n.cast("long"),
                 "word_chars": F.length(F.array_join("words", "")).cast("long"),
-                "n_symbols": (
-                    F.length("body") - F.length(F.translate("body", _SYMBOLS, ""))
-                ).cast("long"),
+                "n_symbols": F.regexp_count("body", F.lit(_SYMBOLS)).cast("long"),
                 "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"),
                 "n_repeat_words": F.aggregate(fresh, F.lit(0), lambda a, x: a + x).cast("long"),
             }

@@ -78,6 +78,7 @@ ODD = [
     (10, GOOD), (11, GOOD), (11, GOOD), (None, GOOD), (12, GOOD.replace(" ", "!! ")),
     (13, "rep " * 30_000), (14, "y" * 200_000 + " y"), (15, "\x00a \x1c b\x85c"),
     (16, " ".join(f"u{i}" for i in range(49))), (17, " ".join(f"u{i}" for i in range(50))),
+    (19, f"{GOOD} {GOOD}"),
     (18, "aa b a ab " * 5 + " ".join(f"t{i}" for i in range(60))),
 ]
 LABELS = [(10, 1), (11, 1), (11, 1), (12, 0), (13, 1), (13, 0), (None, 1), (99, 1), (18, None), (2, 1)]
