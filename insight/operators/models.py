@@ -49,14 +49,12 @@ _UNFIT = "[rows to fit lack a value or hold an infinite one]"
 
 
 def _prepared(df: DataFrame, features: Sequence[str], label: str | None = None) -> DataFrame:
-    """The columns of a fit as doubles. A null, NaN or infinite value stops the task that
-    meets it, in the pass that reads it anyway."""
+    """The columns of a fit as doubles. One condition checks each row, once: a null, NaN or infinite
+    value stops the task that meets it, in the pass that reads it anyway."""
     columns = [*features] if label is None else [*features, label]
-    good = all_of(f"abs(CAST({ident(c)} AS double)) < double('infinity')" for c in columns)
-    checked = f"CASE WHEN {good} THEN {{0}} ELSE raise_error({literal(_UNFIT)}) END"
-    return df.selectExpr(
-        *(f"{checked.format(f'CAST({ident(c)} AS double)')} AS {ident(c)}" for c in columns)
-    )
+    rows = df.selectExpr(*(f"CAST({ident(c)} AS double) AS {ident(c)}" for c in columns))
+    good = all_of(f"abs({ident(c)}) < double('infinity')" for c in columns)
+    return rows.where(f"CASE WHEN {good} THEN true ELSE raise_error({literal(_UNFIT)}) END")
 
 
 @contextmanager
@@ -78,37 +76,36 @@ def _fitting(columns: Sequence[str]):
 def fit_regression(df: DataFrame, features: Sequence[str], label: str = "label") -> LinearModel:
     """Least squares with intercept, without regularisation, by MLlib at every width.
 
-    Reads the input three times: for means and deviations, and twice in MLlib, for the normal
-    equations of the centred columns and for a summary. So columns far from zero keep their
-    digits. A constant feature gets the coefficient 0, and features that depend on each other
-    share theirs. Null, NaN or infinite values, and no rows, are a ValueError.
+    The input is read once, into columns that are kept (``MEMORY_AND_DISK``) until the fit ends:
+    the means, the normal equations of the centred columns and MLlib's summary all come from these.
+    As the columns are centred first, those far from zero keep their digits. A feature with one
+    value only gets the coefficient 0, and features that depend on each other share theirs. Null,
+    NaN or infinite values, and no rows, are a ValueError.
     """
     features = tuple(features)
     columns = [*features, label]
-    with _fitting(columns):
-        rows = _prepared(df, features, label)
+    with _fitting(columns), _kept(_prepared(df, features, label)) as rows:
         moments = rows.selectExpr(
-            "count(1) AS rows",
             *(f"avg({ident(c)}) AS m{i}" for i, c in enumerate(columns)),
-            *(f"stddev_pop({ident(c)}) AS s{i}" for i, c in enumerate(columns)),
+            *(f"min({ident(c)}) < max({ident(c)}) AS v{i}" for i, c in enumerate(columns)),
         ).first()
-    if moments["rows"] == 0:
-        raise ValueError("there are no rows to fit")
-    means = [moments[f"m{i}"] for i in range(len(columns))]
-    varies = [moments[f"s{i}"] > 1e-12 * abs(m) for i, m in enumerate(means)]
-    centred = rows.selectExpr(
-        *(
-            f"{ident(c)} - {literal(m)} AS {ident(c)}" if v else f"0D AS {ident(c)}"
-            for c, m, v in zip(columns, means, varies)
+        means = [moments[f"m{i}"] for i in range(len(columns))]
+        if means[-1] is None:
+            raise ValueError("there are no rows to fit")
+        centred = rows.selectExpr(
+            *(
+                f"{ident(c)} - {literal(m)} AS {ident(c)}" if moments[f"v{i}"] else f"0D AS {ident(c)}"
+                for i, (c, m) in enumerate(zip(columns, means))
+            )
         )
-    )
-    slopes = [0.0] * len(features)
-    if varies[-1]:
-        learner = LinearRegression(featuresCol=_VECTOR, labelCol=label)
-        vectors = _assembler(features).transform(centred).select(_VECTOR, named(label))
-        slopes = [float(c) for c in learner.fit(vectors).coefficients]
+        slopes, rest = [0.0] * len(features), 0.0
+        if moments[f"v{len(features)}"]:
+            learner = LinearRegression(featuresCol=_VECTOR, labelCol=label)
+            vectors = _assembler(features).transform(centred).select(_VECTOR, named(label))
+            fitted = learner.fit(vectors)
+            slopes, rest = [float(c) for c in fitted.coefficients], float(fitted.intercept)
     shift = sum(c * m for c, m in zip(slopes, means))
-    return LinearModel(features, tuple(slopes), float(means[-1] - shift))
+    return LinearModel(features, tuple(slopes), means[-1] - shift + rest)
 
 
 @contextmanager
