@@ -4,7 +4,7 @@ Documents are tokenised and cut into pieces of at most ``capacity`` tokens. Full
 sequences of their own; the others are packed partition by partition, best fit decreasing. Dual
 feasible functions give a lower bound of the sequences that a partition needs. A partition that
 uses no more is certified; the sequences with room of the others exchange their documents, which
-are dealt anew to fewer partitions and packed again.
+are dealt anew to fewer partitions and packed again, until a round saves no sequence.
 """
 
 from __future__ import annotations
@@ -36,22 +36,42 @@ class _Words(dict):
         self.ends: np.ndarray | None = None
         self.old: dict[bytes, bytes] = {}
         self._plain = None
+        self._habits: tuple[bool, bool] | None = None
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def __missing__(self, word: bytes) -> bytes:
         if (known := self.old.get(word)) is not None:
             self[word] = known
             return known
+        lowers, parts = self.habits()
         lower = word.lower()
-        if word != lower and word.isascii():
-            ids = self[lower]  # the tokenizer lowers words itself
-        elif len(word) > 1 and word[-1:] in (b".", b",") and word.decode()[-2].isalpha():
-            ids = self[word[:-1]] + self[word[-1:]]  # it parts letters from other characters
+        if lowers and word != lower and word.isascii():
+            ids = self[lower]
+        elif parts and len(word) > 1 and word[-1:] in (b".", b",") and word.decode()[-2].isalpha():
+            ids = self[word[:-1]] + self[word[-1:]]
         else:
             ids = self._ids(word.decode())
         self[word] = ids
         return ids
 
+    def habits(self) -> tuple[bool, bool]:
+        """Whether the tokenizer lowers A-Z itself, and whether it parts letters from a last ``.``
+        or ``,``, each tried on words with every letter. Where it does not, words are encoded as
+        they are."""
+        if self._habits is None:
+            letters = "abcdefghijklmnopqrstuvwxyz"
+            small = [a + b for a in letters for b in letters]
+            lowers = self._ids(" ".join(small)) == self._ids(" ".join(w.title() for w in small))
+            lowers &= self._ids(" ".join(small)) == self._ids(" ".join(small).upper())
+            words = [*letters, *small, *(w.upper() for w in small)]
+            parts = all(
+                self._ids(" ".join(w + end for w in words))
+                == self._ids(" ".join(f"{w} {end}" for w in words))
+                for end in ".,"
+            )
+            self._habits = lowers, parts
+        return self._habits
+
     def _ids(self, text: str) -> bytes:
         found = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(found, "<u4").tobytes()
@@ -60,16 +80,19 @@ class _Words(dict):
         """Encode new words of letters only in one call. Each is one pre-token, whose last token
         alone has the word-end mark; if the ends don't add up, they are left for later."""
         old = self.old
-        cores = {(w.lower() if w.isascii() else w).rstrip(b".,") for w in words if w not in old}
+        lowers, parts = self.habits()
+        cores = {w.lower() if lowers and w.isascii() else w for w in words if w not in old}
+        if parts:
+            cores = {w.rstrip(b".,") for w in cores}
         new = [t for w in cores if w not in self and w not in old and (t := w.decode()).isalpha()]
         if not new:
             return
         if self.ends is None:
             marks = [t.endswith(self.mark) for t in self._vocabulary()]
             self.ends = np.array(marks)
-        plain = [t for t in new if t.isascii()]
+        plain = [t for t in new if t.isascii() and t.islower()]
         self._encode_words(plain, self.plain())
-        self._encode_words([t for t in new if not t.isascii()], self.tokenizer)
+        self._encode_words([t for t in new if not (t.isascii() and t.islower())], self.tokenizer)
 
     def plain(self):
         """The model without normaliser and pattern, for words of a-z that need neither.
@@ -139,7 +162,8 @@ def tokenize_pieces(
 
     A document is its ids and then ``separator``; only one of more than ``capacity`` tokens is
     cut, into full pieces and a rest. A null or empty text is the separator alone. ``vocabulary``
-    is the path of a tokenizer file on every executor; it must split at white space.
+    is the path of a tokenizer file on every executor; it must split at white space. Whether it lowers
+    letters and parts ``.`` and ``,`` from them is tried, not assumed.
     """
     rows = columns(docs, doc_id=key, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
 
@@ -250,10 +274,9 @@ def _pack_partition(capacity: int):
     return pack
 
 
-def pack(
-    pieces: DataFrame, *, capacity: int = 2048, items: int = 50_000, rounds: int = 4
-) -> DataFrame:
-    """``pieces`` with ``sequence_id`` and ``offset``: its place, gapless from 0.
+def pack(pieces: DataFrame, *, capacity: int = 2048, items: int = 50_000) -> DataFrame:
+    """``pieces`` with ``sequence_id``, ``offset``, its place, gapless from 0, and ``gap``: how many
+    sequences its partition used above its lower bound, so 0 where it is certified.
 
     Takes what ``tokenize_pieces`` gives, or any rows with a ``length`` from 1 to ``capacity``.
     A partition packs about ``items`` pieces, dealt by a hash, and tells the sequences it used
@@ -262,20 +285,22 @@ def pack(
     not, gives up what could still be better: one that uses more than its bound all sequences
     with room, and, if the partitions' bounds add up to more than that of the whole, the others
     too. The pieces in these are dealt to as many partitions as they need and packed again.
-    Ends at the latest when one partition took all, or after ``rounds``. No pieces give no rows.
+    A round that needs as many sequences as were given up is undone and ends the packing, so each
+    other round saves at least one; a single partition that took all ends it too. No pieces give
+    no rows.
     """
     numbered = written(pieces.withColumn("item", F.monotonically_increasing_id()))
-    full = numbered.where(F.col("length") >= capacity).select(
-        "item", (F.col("item") * 2).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
+    placed = numbered.where(F.col("length") >= capacity).select(
+        "item",
+        (F.col("item") * 2).alias("sequence_id"),
+        F.lit(0).cast("long").alias("offset"),
+        F.lit(0).cast("long").alias("gap"),
     )
     left = numbered.where(F.col("length") < capacity).select("item", "length")
     schema = "item long, length long, part long, bin long, offset long, room long, used long, bound long"
-    placed = full
-    before = 0
-    for turn in range(rounds):
-        n = left.count()
-        if not n:
-            break
+    given_up, given = None, 0  # rows with their places in the round before, and their sequences
+    turn = before = 0
+    while n := left.count():
         parts = max(1, -(-n // items))
         dealt = left.withColumn(
             "part", F.pmod(F.xxhash64("item", F.lit(turn)), F.lit(parts)).cast("long")
@@ -283,27 +308,32 @@ def pack(
         packed = written(dealt.groupBy("part").applyInPandas(_pack_partition(capacity), schema))
         told = packed.groupBy("part").agg(F.max("used").alias("used"), F.max("bound").alias("bound"))
         used, bounds = told.agg(F.sum("used"), F.sum("bound")).first()
+        if given_up is not None and used >= given:
+            placed = placed.unionByName(given_up)
+            break
         sizes = left.groupBy("length").count().collect()  # at most one row for each length
         whole = lower_bound(*(np.array(x) for x in zip(*sizes, strict=True)), capacity=capacity)
-        last = parts == 1 or turn == rounds - 1 or used <= whole
-        gap = F.lit(bounds > whole) | (F.col("used") > F.col("bound"))
-        marked = packed.withColumn("again", F.lit(not last) & (F.col("room") > 0) & gap)
+        last = parts == 1 or used <= whole
+        open_gap = F.lit(bounds > whole) | (F.col("used") > F.col("bound"))
+        marked = packed.withColumn("again", F.lit(not last) & (F.col("room") > 0) & open_gap)
         number = F.lit(before) + F.col("part") * (items * 8) + F.col("bin")
-        placed = placed.unionByName(
-            marked.where(~F.col("again")).select(
-                "item", (number * 2 + 1).alias("sequence_id"), "offset"
-            )
-        )
-        before += parts * items * 8
+        gap = F.lit(0).cast("long") if used <= whole else F.col("used") - F.col("bound")
+        places = ["item", (number * 2 + 1).alias("sequence_id"), "offset", gap.alias("gap")]
+        placed = placed.unionByName(marked.where(~F.col("again")).select(places))
         if last:
             break
-        left = marked.where("again").select("item", "length")
+        again = marked.where("again")
+        given_up = again.select(places)
+        given = again.where("offset = 0").count()  # one piece of each sequence lies at 0
+        left = again.select("item", "length")
+        before += parts * items * 8
+        turn += 1
     return numbered.join(placed, "item").drop("item")
 
 
 def pack_documents(docs: DataFrame, vocabulary: str, text: str = "text", key: str = "doc_id",
                    *, capacity: int = 2048, with_ids: bool = False) -> DataFrame:
-    """Tokenise, cut and pack: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``.
+    """Tokenise, cut and pack: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset, gap``.
 
     Repeated rows are packed each. A null ``doc_id`` is kept.
     """

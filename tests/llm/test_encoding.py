@@ -1,8 +1,10 @@
 """BPE and packing against the tokenizer libraries on whole texts."""
 
 import hashlib
+import json
 import random
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -162,6 +164,41 @@ def test_packing_over_many_partitions(spark):
     assert len(places) <= (whole.max() + 1) * 1.01 + 1
 
 
+def test_packing_ends_when_a_round_saves_nothing(spark):
+    """Few small partitions are far from the whole's bound, so the exchange goes on."""
+    rng = random.Random(5)
+    sizes = [rng.randrange(15, 60) for _ in range(1500)]
+    pieces = spark.createDataFrame(list(enumerate(sizes)), "doc_id long, length long")
+    rows = packing.pack(pieces, capacity=100, items=60).collect()
+    assert sorted(r.doc_id for r in rows) == list(range(1500)) and min(r.gap for r in rows) >= 0
+    places: dict = {}
+    for r in rows:
+        places.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert all(sum(n for _, n in used) <= 100 for used in places.values())
+    assert all(sorted(used)[0][0] == 0 for used in places.values())
+    alone = spark.createDataFrame([(i, n) for i, n in enumerate(sizes[:60])], pieces.schema)
+    assert len(places) <= (packing.best_fit_decreasing(np.array(sizes), 100)[0].max() + 1) * 1.05
+    assert len({r.sequence_id for r in packing.pack(alone, capacity=100).collect()}) >= packing.lower_bound(
+        np.array(sizes[:60]), capacity=100
+    )
+
+
+@pytest.mark.parametrize("part", ["normalizer", "pre_tokenizer"])
+def test_packing_with_other_tokenizers(spark, tmp_path, part):
+    """One that keeps capitals, and one that parts words at white space only."""
+    made = json.loads(Path(WORDS).read_text())
+    made[part] = None if part == "normalizer" else {"type": "WhitespaceSplit"}
+    path = tmp_path / "words.json"
+    path.write_text(json.dumps(made))
+    values = ["The Cat sat. AND, then; it ran,", "a.b,c. X. ÉTÉ. été, ab.. x,.", "", "Ab ab AB ab. Ab."]
+    docs = spark.createDataFrame(list(enumerate(values)), "doc_id long, text string")
+    other = Tokenizer.from_file(str(path))
+    rows = packing.tokenize_pieces(docs, str(path), with_ids=True).collect()
+    assert {r.doc_id: list(r.ids) for r in rows} == {
+        i: [*other.encode(t, add_special_tokens=False).ids, 0] for i, t in enumerate(values)
+    }
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.integers(1, 12), min_size=1, max_size=7))
 def test_bound_is_below_the_best_packing(sizes):
