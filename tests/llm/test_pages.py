@@ -122,43 +122,68 @@ def plain_rule(host, path):
     return max(fits, key=len, default=None)
 
 
-def plain_templates(parts, bad, depth=4, share=0.05, support=5, z=1.96):
-    """Each url's template, level by level, as the docstrings say."""
-    segments = [[s for s in p.split("/") if s][:depth] for _, p in parts]
-    nodes = [""] * len(parts)
-
-    def differ(a, n, b, m):
-        p = (a + b) / (n + m)
-        return abs(a / n - b / m) > z * math.sqrt(p * (1 - p) * (1 / n + 1 / m)) + 1e-12
-
-    for level in range(depth):
+def differ(a, n, b, m, z=1.96):
+    p = (a + b) / (n + m)
+    return abs(a / n - b / m) > z * math.sqrt(p * (1 - p) * (1 / n + 1 / m)) + 1e-12
+
+
+def plain_runs(pairs):
+    """The run of each pair (hit, of): neighbours in order of their share, as long as they are alike."""
+    run, last, runs = 0, None, {}
+    for pair in sorted(set(pairs), key=lambda p: (p[0] / p[1], p[1])):
+        run += last is not None and differ(*pair, *last)
+        runs[pair] = run
+        last = pair
+    whole = {r: [sum(p[k] for p in pairs if runs[p] == r) for k in (0, 1)] for r in runs.values()}
+    return {p: (r, p if differ(*p, *whole[r]) else None) for p, r in runs.items()}
+
+
+def plain_branches(children, bad, support):
+    """The branch of each segment that stays; ``children``: its urls, each with what goes on."""
+    kept = {s: m for s, m in children.items() if len(m) >= support}
+    counts = {}
+    for s, members in kept.items():
+        told = [bad[i] for i, _ in members if bad[i] is not None]
+        counts[s] = ((sum(len(rest) > 0 for _, rest in members), len(members)), (sum(told), len(told)))
+    judged = [s for s in kept if counts[s][1][1]]
+    deep = plain_runs([counts[s][0] for s in judged])
+    groups: dict = {}
+    for s in judged:
+        groups.setdefault(deep[counts[s][0]], []).append(s)
+    branch = {s: s for s in kept}
+    for names in groups.values():
+        like = plain_runs([counts[s][1] for s in names])
+        for s in names:
+            branch[s] = min(t for t in names if like[counts[t][1]] == like[counts[s][1]])
+    return branch
+
+
+def plain_templates(parts, bad, support=5):
+    """Each url's template and its segment at the first wildcard, to the last segment of each."""
+    found = [None] * len(parts)
+
+    def go(node, members, wild):
+        children: dict = {}
+        for i, rest in members:
+            if rest:
+                children.setdefault(rest[0], []).append((i, rest[1:]))
+            else:
+                found[i] = node, wild.get(i)
+        branch = plain_branches(children, bad, support)
         below: dict = {}
-        for i, s in enumerate(segments):
-            if len(s) > level:
-                below.setdefault((parts[i][0], nodes[i]), {}).setdefault(s[level], []).append(i)
-        name: dict = {}
-        for node, children in below.items():
-            total = sum(map(len, children.values()))
-            kept = {s: m for s, m in children.items() if len(m) >= support and len(m) >= share * total}
-            for s, m in kept.items():
-                name[node, s] = s
-                for t, k in sorted(kept.items()):
-                    if t >= s:
-                        break
-                    lab = [[bad[i] for i in x if bad[i] is not None] for x in (m, k)]
-                    inner = [sum(len(segments[i]) > level + 1 for i in x) for x in (m, k)]
-                    if (
-                        lab[0]
-                        and lab[1]
-                        and not differ(sum(lab[0]), len(lab[0]), sum(lab[1]), len(lab[1]))
-                        and not differ(inner[0], len(m), inner[1], len(k))
-                    ):
-                        name[node, s] = t
-                        break
-        for i, s in enumerate(segments):
-            if len(s) > level:
-                nodes[i] += "/" + name.get(((parts[i][0], nodes[i]), s[level]), "*")
-    return nodes
+        for s, inner in children.items():
+            below.setdefault(branch.get(s, "*"), []).extend(inner)
+            if s not in branch:
+                wild = {**{i: s for i, _ in inner}, **wild}
+        for name, inner in below.items():
+            go(f"{node}/{name}", inner, wild)
+
+    hosts: dict = {}
+    for i, (host, path) in enumerate(parts):
+        hosts.setdefault(host, []).append((i, [s for s in path.split("/") if s]))
+    for members in hosts.values():
+        go("", members, {})
+    return found
 
 
 def check_urls(rows, values, labels=None):
@@ -166,22 +191,32 @@ def check_urls(rows, values, labels=None):
     rules = [plain_rule(*p) for p in parts]
     own = [None if r is None else RULES[r] for r in rules]
     bad = [(labels or {}).get(u, o) for u, o in zip(values, own, strict=True)]
-    nodes = plain_templates(parts, bad)
-    purity: dict = {}
-    for (host, _), node, b in zip(parts, nodes, bad, strict=True):
-        count = purity.setdefault((host, node), [0, 0])
-        if b is not None:
-            count[0] += b
-            count[1] += 1
+    found = plain_templates(parts, bad)
+    urls_of: dict = {}
+    for (host, _), (node, wild), b in zip(parts, found, bad, strict=True):
+        urls_of.setdefault((host, node), []).append((wild, b))
+    purity = {}
+    for node, members in urls_of.items():
+        told: dict = {}
+        for wild, b in members:
+            if b is not None:
+                told.setdefault(wild, []).append(b)
+        known = sum(map(len, told.values()))
+        if any(w is not None for w, _ in members) and 2 * known < len(members):
+            purity[node] = (sum(sum(x) / len(x) for x in told.values()) + 1) / (len(told) + 2)
+        else:
+            purity[node] = (sum(map(sum, told.values())) + 1) / (known + 2)
     assert len(rows) == len(values)
     blocked = 0
     for r in rows:
         (host, path), rule = parts[r.page_id], rules[r.page_id]
-        b, n = purity[host, nodes[r.page_id]]
-        learned = (b + 1) / (n + 2) >= 0.9
+        node = found[r.page_id][0]
+        learned = purity[host, node] >= 0.9
         blocked += learned and rule is None
         want = own[r.page_id] if rule is not None else learned
         assert (r.host, r.path, r.rule) == (host, path, rule)
+        if "template" in r:
+            assert r.template == host + node, values[r.page_id]
         assert r.verdict == ("block" if want else "allow"), values[r.page_id]
     return blocked
 
@@ -219,15 +254,52 @@ def test_sections_of_a_small_share_stay_apart(spark):
 
 
 def test_a_small_branch_does_not_decide_a_wildcard(spark):
-    values = [f"http://b.org/{i}/p{k}" for i in range(300) for k in range(4)]
+    values = [f"http://b.org/{i}/p{i}-{k}" for i in range(300) for k in range(4)]
     few = {u: True for u in values[:12]}
     many = {u: True for u in values[: 4 * 30 : 4]}
     df = spark.createDataFrame(list(enumerate(values)), "page_id long, url string")
     for labels, want in ((few, "allow"), (many, "block")):
         given = spark.createDataFrame(list(labels.items()), "url string, bad boolean")
-        # Below a wildcard of sections the last segments stay, so one level tells them all.
-        rows = urls.filter_urls(df, {}, labels=given, depth=1).collect()
-        assert {(r.template, r.verdict) for r in rows} == {("b.org/*", want)}
+        rows = urls.filter_urls(df, {}, labels=given).collect()
+        assert {(r.template, r.verdict) for r in rows} == {("b.org/*/*", want)}
+
+
+def test_paths_are_told_apart_at_any_depth(spark):
+    values = [f"http://h.io/a/b/c/d/e/f/{kind}/{i}" for kind in ("bad", "good") for i in range(100)]
+    values += ["http://h.io/" + "x/" * 300 + "end"] * 20
+    labels = {u: "bad" in u for u in values[::2]}
+    df = spark.createDataFrame(list(enumerate(values)), "page_id long, url string")
+    given = spark.createDataFrame(list(labels.items()), "url string, bad boolean")
+    rows = urls.filter_urls(df, RULES, labels=given).collect()
+    assert check_urls(rows, values, labels) == 100
+    assert {r.template for r in rows} == {
+        "h.io/a/b/c/d/e/f/bad/*", "h.io/a/b/c/d/e/f/good/*", "h.io/" + "x/" * 300 + "end"
+    }
+
+
+def test_a_node_with_many_siblings(spark):
+    """100,000 segments that stay below one node are a few rows of counts when they are ordered."""
+    df = spark.range(100_000 * 5, numPartitions=8).selectExpr(
+        "'h.io' AS host", "concat('/s', id DIV 5, '/', id) AS path", "id DIV 5 < 60000 AS bad"
+    )
+    paths, levels = urls.template_tree(df)
+    assert levels[0].groupBy("branch").count().collect() and levels[0].count() == 100_000
+    assert {(r.branch, r["count"]) for r in levels[0].groupBy("branch").count().collect()} == {
+        ("s0", 60_000), ("s60000", 40_000)
+    }
+    assert paths.groupBy("node").agg(F.sum("n")).count() == 2
+
+
+def test_templates_recover_hidden_verdicts(spark):
+    rng = random.Random(8)
+    values = [f"http://{h}.{rng.choice(['net', 'org/fr', 'example.com/de', 'example.net/en'])}/{s}/{i}"
+              for h in "abc" for s in ("x", "y") for i in range(400)]
+    df = spark.createDataFrame(list(enumerate(values)), "page_id long, url string")
+    [told] = urls.recovery(df, RULES).collect()
+    assert told.hidden > 1000 and told.bad > 400
+    assert told.recall >= 0.9 and told.precision >= 0.9
+    [none] = urls.recovery(df.where("page_id < 0"), RULES).collect()
+    assert (none.hidden, none.recall, none.precision) == (0, None, None)
 
 
 def test_like_siblings_merge_and_small_steps_do_not_add_up(spark):
