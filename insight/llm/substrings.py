@@ -1,15 +1,17 @@
 """Removal of repeated passages by prefix-partitioned suffix trees over words.
 
-A passage repeats if a window of its words occurs elsewhere. Every window has an anchor, its
-short prefix-like seed with the smallest hash, so equal windows have equal anchors. Suffixes are
-partitioned by the anchor they begin at. Each partition ranks its suffixes by prefix doubling, up to
-the window: those of one rank are the leaves below one node of the suffix tree at that depth, which
-is not built itself. Windows of anchors with too many suffixes are grouped by a hash of the whole
-window instead. Nodes as deep as the window with several leaves are repeats.
+A passage repeats if a window of its words occurs elsewhere. Every window has an anchor, the seed of
+a few of its words with the smallest hash, so equal windows have equal anchors. Suffixes that share
+an anchor are one partition. A partition too large for a task is split by a prefix of twice as many
+words around the anchor, step by step, at last by the whole window. Each partition sorts its suffixes
+into a suffix array with the lengths of common prefixes; the intervals of these are the internal
+nodes of its suffix tree. Nodes as deep as the window are the repeats.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -20,12 +22,14 @@ from pyspark.sql import functions as F
 from insight.llm.shared import columns, text_slices, written
 
 _KEY = ("doc_id", "mark")
+_PART = "name long, high long, low long, at long, words binary, first long, last long"
+_FOUND = "places array<long>, firsts array<long>"
 _MASK = (1 << 64) - 1
 _REMEMBERED = 150_000
 #: Longer words are hashed each time.
 _LONG = 100
 #: Bytes of slices at which a batch of partitions ends.
-_BATCH_BYTES = 1 << 25
+_BATCH_BYTES = 1 << 23
 
 
 class _WordHashes(dict):
@@ -131,36 +135,87 @@ def _slices(rows: DataFrame, window: int, seed: int) -> DataFrame:
     )
 
 
-def first_holders(slices: list[bytes], docs: np.ndarray, window: int) -> list[np.ndarray]:
-    """For each window of each slice, the smallest of the ``docs`` whose slice has it.
+class SuffixTree:
+    """The suffixes of slices of words that are at least ``least`` words long, as a tree.
 
-    Sorts all suffixes by prefix doubling, up to depth ``window``. Suffixes of one rank there are
-    the leaves below one node of the tree at that depth.
+    ``owner`` and ``inner`` tell for each such suffix its slice and where in it it begins,
+    ``order`` sorts them, ``lcp`` has the common words of neighbours in that order. A slice ends with
+    a mark of its own, so no common prefix goes beyond it.
     """
-    split = [s.split() for s in slices]
-    sizes = np.array([len(w) for w in split])
-    numbers: dict[bytes, int] = {}
-    rank = np.array([numbers.setdefault(w, len(numbers)) for words in split for w in words], "int64")
-    depth = 1
-    while depth < window:
-        step = min(depth, window - depth)
-        head, tail = rank[: len(rank) - step].astype("int64"), rank[step:].astype("int64")
-        _, rank = np.unique(head * (int(tail.max(initial=0)) + 1) + tail, return_inverse=True)
-        depth += step
-    begins = np.cumsum(sizes) - sizes
-    counts = np.maximum(sizes - window + 1, 0)
-    owner = np.repeat(np.arange(len(slices)), counts)
-    inner = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
-    leaves = rank[begins[owner] + inner]
-    smallest = np.full(int(leaves.max(initial=0)) + 1, np.iinfo("int64").max)
-    np.minimum.at(smallest, leaves, docs[owner])
-    return np.split(smallest[leaves], np.cumsum(counts)[:-1]) if len(slices) else []
-
-
-def _subtrees(distinct: DataFrame, window: int, batch_slices: int) -> DataFrame:
-    """``high, low, firsts``: for each window of a slice its first holder, if there is another.
-
-    Rows of one anchor are together and in order; whole anchors are taken up to a batch of
+
+    def __init__(self, slices: list[bytes], least: int):
+        split = [s.split() for s in slices]
+        sizes = np.array([len(w) for w in split], "int64")
+        numbers: dict[bytes, int] = {}
+        flat: list[int] = []
+        for i, words in enumerate(split):
+            flat += [numbers.setdefault(w, len(numbers)) for w in words]
+            flat.append(-1 - i)
+        rank = np.array(flat, "int64") + len(slices)
+        # Ranks by the first 1, 2, 4, ... words, until all differ.
+        ranks, depth = [rank.astype("int32")], 1
+        while depth <= sizes.max(initial=0):
+            key = rank * (int(rank.max()) + 2)
+            key[: len(key) - depth] += rank[depth:] + 1
+            distinct, rank = np.unique(key, return_inverse=True)
+            ranks.append(rank.astype("int32"))
+            depth *= 2
+            if len(distinct) == len(rank):
+                break
+        begins = np.cumsum(sizes + 1) - sizes - 1
+        self.counts = np.maximum(sizes - least + 1, 0)
+        self.owner = np.repeat(np.arange(len(slices)), self.counts)
+        self.inner = np.arange(len(self.owner)) - np.repeat(
+            np.cumsum(self.counts) - self.counts, self.counts
+        )
+        at = begins[self.owner] + self.inner if len(slices) else self.inner
+        self.order = np.argsort(ranks[-1][at])
+        left, right = at[self.order][:-1], at[self.order][1:]
+        self.lcp = np.zeros(len(left), "int64")
+        for level in range(len(ranks) - 1, -1, -1):
+            same = ranks[level][left + self.lcp] == ranks[level][right + self.lcp]
+            self.lcp += same.astype("int64") << level
+
+    def nodes(self, least: int) -> list[tuple[int, int, int, bool]]:
+        """Internal nodes at least ``least`` words deep, below first: the range of their leaves in
+        ``order``, their depth, and whether no other such node is above.
+
+        The words of a node are a repeat that no next word prolongs at all its places; it is a
+        maximal one if the words before differ too.
+        """
+        out, open_nodes = [], []
+        for i, common in enumerate([*self.lcp.tolist(), 0]):
+            begin = i
+            while open_nodes and open_nodes[-1][1] > common:
+                begin, depth = open_nodes.pop()
+                out.append((begin, i + 1, depth, not open_nodes and common < least))
+            if common >= least and (not open_nodes or open_nodes[-1][1] < common):
+                open_nodes.append((begin, common))
+        return out
+
+
+def first_holders(slices: list[bytes], docs: np.ndarray, window: int) -> list[np.ndarray]:
+    """For each window of each slice, the smallest of the ``docs`` whose slice has it: the smallest
+    below the uppermost node of the tree that is as deep as the window."""
+    if not slices:
+        return []
+    tree = SuffixTree(slices, window)
+    smallest = docs[tree.owner].astype("int64")
+    tops = np.array([(b, e) for b, e, _, top in tree.nodes(window) if top], "int64").reshape(-1, 2)
+    if len(tops):
+        ordered = np.append(smallest[tree.order], 0)
+        least = np.minimum.reduceat(ordered, tops.ravel())[::2]
+        sizes = tops[:, 1] - tops[:, 0]
+        inside = np.arange(sizes.sum()) + np.repeat(tops[:, 0] - np.cumsum(sizes) + sizes, sizes)
+        smallest[tree.order[inside]] = np.repeat(least, sizes)
+    return np.split(smallest, np.cumsum(tree.counts)[:-1])
+
+
+def _subtrees(parted: DataFrame, window: int, batch_slices: int) -> DataFrame:
+    """``high, low, places, firsts``: the windows of a slice that others hold too, and the smallest
+    document that does, if it is smaller than the slice's largest.
+
+    Rows of one partition are together and in order; whole partitions are taken up to a batch of
     ``batch_slices`` or ``_BATCH_BYTES``.
     """
 
@@ -169,15 +224,22 @@ def _subtrees(distinct: DataFrame, window: int, batch_slices: int) -> DataFrame:
             held = pa.Table.from_batches(held)
             docs = held["first"].to_numpy()
             firsts = first_holders([w.as_py() for w in held["words"]], docs, window)
-            last = held["last"].to_numpy()
-            matter = [i for i, f in enumerate(firsts) if len(f) and (f < last[i]).any()]
+            last, at = held["last"].to_numpy(), held["at"].to_numpy()
+            out = []
+            for i, found in enumerate(firsts):
+                places = np.flatnonzero(found < last[i])
+                if len(places):
+                    out.append((i, places + at[i], found[places]))
+            chosen, places, found = zip(*out, strict=True) if out else ((),) * 3
+            rows = pa.array(chosen, pa.int64())
             return pa.RecordBatch.from_arrays(
                 [
-                    held["high"].take(matter).combine_chunks(),
-                    held["low"].take(matter).combine_chunks(),
-                    pa.array([firsts[i] for i in matter], pa.list_(pa.int64())),
+                    held["high"].take(rows).combine_chunks(),
+                    held["low"].take(rows).combine_chunks(),
+                    pa.array(places, pa.list_(pa.int64())),
+                    pa.array(found, pa.list_(pa.int64())),
                 ],
-                names=["high", "low", "firsts"],
+                names=["high", "low", "places", "firsts"],
             )
 
         held: list[pa.RecordBatch] = []
@@ -203,45 +265,122 @@ def _subtrees(distinct: DataFrame, window: int, batch_slices: int) -> DataFrame:
         if held:
             yield done(held)
 
-    return distinct.select("anchor", "high", "low", "words", "first", "last").mapInArrow(
-        build, "high long, low long, firsts array<long>"
+    return parted.select("name", "high", "low", "words", "at", "first", "last").mapInArrow(
+        build, f"high long, low long, {_FOUND}"
     )
 
 
-def _longest_prefixes(distinct: DataFrame, window: int) -> DataFrame:
-    """The same for anchors of too many slices: partitions by the whole window, which need no
-    tree, so the smallest holder is an aggregate."""
+def prefix_lengths(window: int, seed: int) -> list[int]:
+    """Twice the seed, and so on, as far as every window has a prefix of that length around its
+    anchor that begins at the anchor, ends with the anchor, or has it in the middle."""
+    out, k = [], 2 * seed
+    while k < window and (k - seed) // 2 <= window - k + 1 and k - seed <= window - k + (k - seed) // 2 + 1:
+        out.append(k)
+        k *= 2
+    return out
+
+
+def prefix_parts(at: int, n: int, window: int, seed: int, k: int) -> list[tuple[int, int, int]]:
+    """The ``n`` windows of a slice with its anchor at ``at``, parted by where a prefix of ``k``
+    words lies around the anchor: ``(begin, end, start of the prefix)``.
+
+    It depends on the place of the anchor in a window alone, so equal windows have equal prefixes.
+    """
+    middle = at - (k - seed) // 2
+    cuts = [0, min(n, max(0, at - (k - seed) + 1)), min(n, max(0, at - (window - k))), n]
+    cuts[1] = min(cuts[1], cuts[2])
+    parts = zip(cuts, cuts[1:], (at - (k - seed), middle, at), strict=False)
+    return [(b, e, start) for b, e, start in parts if b < e]
+
+
+def _lengthened(rows: DataFrame, window: int, seed: int, k: int) -> DataFrame:
+    """Partitions split by prefixes of ``k`` words: a slice gives up to three, of fewer windows."""
+
+    def split(batches):
+        hashes = _WordHashes()
+        for batch in text_slices(batches, 4):
+            out: list[tuple] = []
+            for _, high, low, at, piece, first, last in zip(
+                *(c.to_pylist() for c in batch.columns), strict=True
+            ):
+                words = piece.split()
+                n = len(words) - window + 1
+                anchor = int(anchors(words, window, seed, hashes)[0][0])
+                for begin, end, start in prefix_parts(anchor, n, window, seed, k):
+                    # With where the anchor is in it, since that tells the three apart.
+                    prefix = b"%d " % (anchor - start) + b" ".join(words[start : start + k])
+                    part = b" ".join(words[begin : end + window - 1])
+                    out.append((_digest(prefix)[0], high, low, at + begin, part, first, last))
+            cols = list(zip(*out, strict=True)) or [()] * 7
+            kinds = [pa.binary() if i == 4 else pa.int64() for i in range(7)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, kind) for c, kind in zip(cols, kinds, strict=True)],
+                names=batch.schema.names,
+            )
+
+    return rows.mapInArrow(split, _PART)
+
+
+def _whole_prefixes(rows: DataFrame, window: int) -> DataFrame:
+    """The same as ``_subtrees`` where the prefix is the whole window: a partition is one node, so
+    the smallest holder is an aggregate."""
 
     def windows(batches):
-        for batch in text_slices(batches, 2):
+        for batch in text_slices(batches, 4):
             out = []
-            for high, low, words, first in zip(
-                *(batch.column(i).to_pylist() for i in range(4)), strict=True
+            for _, high, low, at, piece, first, last in zip(
+                *(c.to_pylist() for c in batch.columns), strict=True
             ):
-                split = words.split()
-                for at in range(len(split) - window + 1):
-                    name = _digest(b" ".join(split[at : at + window]))
-                    out.append((high, low, at, first, *name))
-            cols = list(zip(*out, strict=True)) or [()] * 6
+                words = piece.split()
+                for i in range(len(words) - window + 1):
+                    name = _digest(b" ".join(words[i : i + window]))
+                    out.append((high, low, at + i, first, last, *name))
+            cols = list(zip(*out, strict=True)) or [()] * 7
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.int64()) for c in cols],
-                names=["high", "low", "at", "first", "x", "y"],
+                names=["high", "low", "at", "first", "last", "x", "y"],
             )
 
-    rows = written(
-        distinct.select("high", "low", "words", "first").mapInArrow(
-            windows, "high long, low long, at long, first long, x long, y long"
+    named = written(
+        rows.mapInArrow(
+            windows, "high long, low long, at long, first long, last long, x long, y long"
         )
     )
-    smallest = rows.groupBy("x", "y").agg(F.min("first").alias("smallest"))
+    smallest = written(named.groupBy("x", "y").agg(F.min("first").alias("smallest")))
     return (
-        rows.join(smallest, ["x", "y"])
+        named.join(smallest, ["x", "y"])
+        .where("smallest < last")
         .groupBy("high", "low")
-        .agg(F.sort_array(F.collect_list(F.struct("at", "smallest"))).alias("all"))
-        .select("high", "low", F.col("all.smallest").alias("firsts"))
+        .agg(F.collect_list(F.struct("at", "smallest")).alias("all"))
+        .select(
+            "high", "low", F.col("all.at").alias("places"), F.col("all.smallest").alias("firsts")
+        )
     )
 
 
+def _holders(rows: DataFrame, window: int, seed: int, most: int, batch_slices: int) -> DataFrame:
+    """``high, low, places, firsts`` of all slices, prefix by prefix."""
+    found = []
+    for k in [*prefix_lengths(window, seed), window]:
+        large = written(
+            rows.groupBy("name")
+            .agg(F.count("*").alias("n"), F.sum(F.length("words")).alias("size"))
+            .where((F.col("n") > most) | (F.col("size") > _BATCH_BYTES))
+            .select("name")
+        )
+        fits = rows.join(large, "name", "left_anti")
+        parted = fits.repartition("name").sortWithinPartitions("name")
+        found.append(written(_subtrees(parted, window, batch_slices)))
+        if large.isEmpty():
+            break
+        rest = rows.join(large, "name", "left_semi").select(*rows.columns)
+        if k == window:
+            found.append(written(_whole_prefixes(rest, window)))
+        else:
+            rows = written(_lengthened(rest, window, seed, k))
+    return reduce(DataFrame.unionByName, found)
+
+
 def repeated_windows(
     rows: DataFrame, *, window: int, seed: int, most: int, batch_slices: int = 8192
 ) -> DataFrame:
@@ -263,30 +402,15 @@ def repeated_windows(
         _slices(rows.join(wanted, list(_KEY)).select(*_KEY, "text", "wanted"), window, seed)
     )
     distinct = written(
-        slices.groupBy("anchor", "high", "low", "words").agg(
-            F.min("doc_id").alias("first"), F.max("doc_id").alias("last")
-        )
-    )
-    large = written(
-        distinct.groupBy("anchor")
-        .agg(F.count("*").alias("n"), F.sum(F.length("words")).alias("size"))
-        .where((F.col("n") > most) | (F.col("size") > _BATCH_BYTES))
-        .select("anchor")
-    )
-    parted = (
-        distinct.join(large, "anchor", "left_anti")
-        .repartition("anchor")
-        .sortWithinPartitions("anchor")
-    )
-    holders = written(
-        _subtrees(parted, window, batch_slices).unionByName(
-            _longest_prefixes(distinct.join(large, "anchor", "left_semi"), window)
-        )
+        slices.groupBy(F.col("anchor").alias("name"), "high", "low", "words")
+        .agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+        .select("name", "high", "low", F.lit(0).cast("long").alias("at"), "words", "first", "last")
     )
-    hit = F.filter(
-        F.transform("firsts", lambda f, i: F.when(f < F.col("doc_id"), F.col("start") + i)),
-        lambda x: x.isNotNull(),
+    holders = _holders(distinct, window, seed, most, batch_slices)
+    smaller = F.filter(
+        F.arrays_zip("places", "firsts"), lambda x: x["firsts"] < F.col("doc_id")
     )
+    hit = F.transform(smaller, lambda x: F.col("start") + x["places"])
     return (
         slices.select(*_KEY, "start", "high", "low")
         .join(holders, ["high", "low"])
@@ -305,7 +429,7 @@ def remove_repeated_passages(
     *,
     window: int = 50,
     seed: int = 8,
-    most: int = 4096,
+    most: int = 1024,
 ) -> DataFrame:
     """``doc_id``, ``keep``, ``n_words``, ``n_removed``, ``text`` without the repeated words, and
     ``spans``, the removed word ranges as ``[begin, end)``.
@@ -315,8 +439,8 @@ def remove_repeated_passages(
     by ASCII white space and otherwise as they are. The text that stays is the input's own if no
     word goes, else the words left, joined by one space. A null or empty text has no words and
     stays. Rows without key lose nothing and make no other row lose anything; rows with one key
-    do not repeat each other. A partition holds at most ``most`` distinct slices of its prefix,
-    and of these 32 MB; windows of larger ones are grouped by their hash.
+    do not repeat each other. A partition holds at most ``most`` slices of its prefix, and of these
+    8 MB; larger ones are split by longer prefixes, up to the whole window, where one is one node.
     """
     base = columns(docs, doc_id=key, text=text, **{f"_{c}": c for c in keep}).withColumn(
         "doc_id", F.col("doc_id").cast("long")

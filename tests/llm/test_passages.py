@@ -108,6 +108,82 @@ def test_first_holders_of_slices():
         assert got.tolist() == [first[tuple(w[i : i + 6])] for i in range(len(w) - 5)]
 
 
+def brute_repeats(slices, least):
+    """Sequences of at least ``least`` words in several places that no next word prolongs at all
+    of them: their places, and whether they are maximal. Nothing is before or after a slice."""
+    places: dict = {}
+    for s, text in enumerate(slices):
+        words = text.split()
+        for b in range(len(words)):
+            for e in range(b + least, len(words) + 1):
+                places.setdefault(tuple(words[b:e]), []).append((s, b))
+    out = {}
+    for words, at in places.items():
+        after = {(slices[s].split()[b + len(words) :] or [(s, b)])[0] for s, b in at}
+        before = {slices[s].split()[b - 1] if b else (s, b) for s, b in at}
+        if len(at) > 1 and len(after) > 1:
+            out[words] = (sorted(at), len(before) > 1)
+    return out
+
+
+@pytest.mark.parametrize("vocabulary, least", [(2, 4), (2, 7), (3, 1), (50, 3)])
+def test_deep_nodes_are_the_repeats_of_brute_force(vocabulary, least):
+    rng = random.Random(vocabulary + least)
+    shared = [b"%d" % rng.randrange(vocabulary) for _ in range(20)]
+    slices = [b""]
+    for _ in range(30):
+        words = [b"%d" % rng.randrange(vocabulary) for _ in range(rng.randrange(0, 25))]
+        slices.append(b" ".join(words + shared[rng.randrange(20) :]))
+    tree = substrings.SuffixTree(slices, least)
+    found, covered = {}, []
+    for begin, end, depth, top in tree.nodes(least):
+        leaves = tree.order[begin:end]
+        at = sorted(zip(tree.owner[leaves].tolist(), tree.inner[leaves].tolist(), strict=True))
+        words = tuple(slices[at[0][0]].split()[at[0][1] : at[0][1] + depth])
+        before = {slices[s].split()[b - 1] if b else (s, b) for s, b in at}
+        assert words not in found
+        found[words] = (at, len(before) > 1)
+        covered += leaves.tolist() if top else []
+    assert found == brute_repeats(slices, least) and any(m for _, m in found.values())
+    assert len(covered) == len(set(covered)) == len({x for at, _ in found.values() for x in at})
+
+
+@pytest.mark.parametrize("window, seed", [(50, 8), (10, 4), (10, 2), (33, 3)])
+def test_longer_prefixes_are_of_the_window_and_equal_for_equal_windows(window, seed):
+    assert substrings.prefix_lengths(50, 8) == [16, 32]
+    for k in substrings.prefix_lengths(window, seed):
+        where: dict = {}
+        for at in range(window - seed + 1):
+            for n in range(1, window - seed + 2):
+                parts = substrings.prefix_parts(at, n, window, seed, k)
+                seen = [s for b, e, _ in parts for s in range(b, e)]
+                if n <= at + 1:  # all windows begin at the anchor or before
+                    assert seen == list(range(n))
+                    for b, e, start in parts:
+                        for s in range(b, e):
+                            assert s <= start and start + k <= s + window
+                            assert where.setdefault(at - s, at - start) == at - start
+
+
+def test_partitions_beyond_a_bound_are_split_step_by_step(spark, monkeypatch):
+    """A passage between words that differ: one hot anchor, and what is split by 8 and by 10 words."""
+    used = []
+    longer, whole = substrings._lengthened, substrings._whole_prefixes
+    monkeypatch.setattr(substrings, "_lengthened", lambda *a: used.append(a[-1]) or longer(*a))
+    monkeypatch.setattr(substrings, "_whole_prefixes", lambda *a: used.append(a[-1]) or whole(*a))
+    shared = [f"p{i}" for i in range(11)]
+    rows = [
+        (i, " ".join([*(f"a{i}x{k}" for k in range(9)), *shared[i % 3 :], *(f"b{i}y{k}" for k in range(9))]))
+        for i in range(90)
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    compare(substrings.remove_repeated_passages(docs, window=10, seed=4, most=20), rows, 10)
+    assert used == [8, 10]
+    used.clear()
+    compare(substrings.remove_repeated_passages(docs, window=10, seed=4, most=100), rows, 10)
+    assert used == []
+
+
 def test_long_words_and_words_with_nul_bytes():
     plain = b" ".join(b"w%d" % i for i in range(60))
     slices = [b"x" * 1_000_000 + b" " + plain] + [plain] * 8000
