@@ -130,7 +130,22 @@ def op7_packing(spark, folder):
     )
 
 
-@_query()
+@_query(
+    r"""WITH d AS (SELECT doc_id,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+      g AS (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50),
+      n AS (SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS k FROM g),
+      m AS (SELECT k, min(doc_id) AS low FROM n GROUP BY k),
+      s AS (SELECT doc_id, unnest(range(i, i + 50)) AS i FROM n JOIN m USING (k) WHERE low < doc_id),
+      x AS (SELECT DISTINCT doc_id, i FROM s),
+      p AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+      t AS (SELECT p.doc_id, string_agg(word, ' ' ORDER BY p.i) AS kept
+        FROM p ANTI JOIN x ON p.doc_id = x.doc_id AND p.i = x.i GROUP BY p.doc_id),
+      c AS (SELECT doc_id, count(*) AS n FROM x GROUP BY doc_id)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(c.n, 0)::BIGINT AS n_removed,
+           sha256(coalesce(t.kept, '')) AS kept_sha256
+    FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)"""
+)
 def op8_substrings(spark, folder):
     left = substrings.remove_repeated_passages(_table(spark, folder, "documents"))
     stays = F.when(F.col("n_removed") > 0, F.col("text")).otherwise(
