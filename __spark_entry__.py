@@ -1062,9 +1062,99 @@ def sample_outliers(spark, folder):
     return _rounded(rows.select(*names), *names)
 
 
+@_query(
+    f"""WITH labelled AS (
+  SELECT event_id, value, CASE WHEN value + event_id % 50 > 60 THEN 1.0 ELSE 0.0 END::DOUBLE AS label
+  FROM events),
+noisy AS (SELECT value, label FROM labelled WHERE {_bucket_sql("event_id")} < 80), {_newton_sql(12)},
+scored AS (SELECT label, 1 / (1 + exp(-(a + b * value))) AS p FROM labelled, w12
+  WHERE {_bucket_sql("event_id")} >= 80)
+SELECT label, CASE WHEN p > 0.5 THEN 1.0 ELSE 0.0 END::DOUBLE AS prediction, {_r("p", "probability", 4)}
+FROM scored ORDER BY label DESC, scored.p LIMIT 200"""
+)
+def sample_probabilities(spark, folder):
+    """The printed rows of a classifier: class and probability as by Newton's steps on the
+    training rows, from the least likely of the positive test rows on."""
+    labelled = _table(spark, folder, "events").selectExpr(
+        "event_id", "value", "IF(value + event_id % 50 > 60, 1D, 0D) AS label"
+    )
+    likely = F.get("probability", F.lit(1))
+    spec = insight.plans.ClassificationSpec(
+        ("value",), "label", max_iter=100, tol=1e-12, sample=200, order_by=(F.desc("label"), likely)
+    )
+    plan = insight.AnalysisPlan(classification=spec, split_keys=("event_id",))
+    rows = insight.run_analyses(labelled, ["classification"], plan).samples["classification"]
+    return _rounded(rows.withColumn("probability", likely), "probability", digits=4)
+
+
+@_query(
+    f"""{_clean_sql("kmeans")} SELECT {", ".join(_r(f"{c}::DOUBLE", c) for c in _KM)}, true AS nearest
+        FROM cleaned ORDER BY {", ".join(f"cleaned.{c}" for c in _KM)} LIMIT 200"""
+)
+def sample_nearest(spark, folder):
+    """The printed rows of a clustering: each one's cluster is that of the nearest printed centre,
+    in the scale that the centres tell."""
+    plan = dataclasses.replace(PLAN, kmeans=dataclasses.replace(PLAN.kmeans, order_by=tuple(_KM)))
+    run = insight.run_analyses(_trips(spark, folder), ["kmeans"], plan)
+    centers = run.reports["kmeans"]["centers"]
+    scale = {
+        r["feature"]: r["std"]
+        for r in centers.groupBy("feature").agg(F.regr_slope("original", "scaled").alias("std")).collect()
+    }
+    terms: dict[int, list[str]] = {}
+    for r in centers.collect():  # one row for each cluster and feature
+        term = f"pow(({r['feature']} - {r['original']!r}D) / {scale[r['feature']]!r}D, 2)"
+        terms.setdefault(r["cluster"], []).append(term)
+    distances = ", ".join(" + ".join(terms[c]) for c in sorted(terms))
+    rows = run.samples["kmeans"].withColumn("d", F.expr(f"array({distances})"))
+    return _rounded(
+        rows.select(*_KM, F.expr("d[cluster] <= array_min(d) + 1e-6").alias("nearest")), *_KM
+    )
+
+
+@_query(
+    f"""WITH groups AS (SELECT event_type = 'purchase' AS moved,
+  value + CASE WHEN event_type = 'purchase' THEN 5000 ELSE 0 END AS value FROM events),
+parts AS (SELECT moved, count(*) AS n, avg(value) AS m, var_pop(value) AS v FROM groups GROUP BY moved),
+far AS (SELECT ((g.value - a.m) ** 2 + a.v) * a.n / (a.n - 1) AS within, (g.value - b.m) ** 2 + b.v AS nearest
+  FROM groups g JOIN parts a ON g.moved = a.moved JOIN parts b ON g.moved <> b.moved)
+SELECT 'rows' AS metric, count(*)::DOUBLE AS value FROM groups
+UNION ALL SELECT 'rows of a cluster', n::DOUBLE FROM parts
+UNION ALL SELECT 'silhouette', round(avg((nearest - within) / greatest(nearest, within)), 6) FROM far"""
+)
+def run_clusters(spark, folder):
+    """A run's silhouette and cluster sizes, where one event type is far from all others."""
+    events = _table(spark, folder, "events").selectExpr(
+        "value + CASE WHEN event_type = 'purchase' THEN 5000 ELSE 0 END AS value"
+    )
+    plan = insight.AnalysisPlan(kmeans=insight.plans.ClusterSpec(("value",), k=2))
+    reports = insight.run_analyses(events, ["kmeans"], plan).reports["kmeans"]
+    return (
+        reports["metrics"]
+        .selectExpr("'rows' AS metric", "double(rows) AS value")
+        .unionByName(
+            reports["sizes"].selectExpr("'rows of a cluster' AS metric", "double(count) AS value")
+        )
+        .unionByName(
+            reports["metrics"].selectExpr("'silhouette' AS metric", "round(silhouette, 6) AS value")
+        )
+    )
+
+
 _ITEM = "l_orderkey, l_linenumber, l_quantity, l_shipdate, l_returnflag"
 
 
+@_query(f"SELECT {_ITEM} FROM lineitem ORDER BY l_quantity DESC, l_orderkey, l_linenumber LIMIT 50")
+def preview_round_trip(spark, folder):
+    """The first rows in a given order, written as Parquet in place of others and read back."""
+    items = _table(spark, folder, "lineitem").select(*_ITEM.split(", "))
+    path = f"{scratch_folder(spark)}/preview"
+    insight.sources.write_sample(items, path, 7)
+    order = [F.desc("l_quantity"), "l_orderkey", "l_linenumber"]
+    insight.sources.write_sample(items, path, 50, order)
+    return insight.read_table(spark, path)
+
+
 @_query(f"SELECT {_ITEM}, 'schema' AS read_with FROM lineitem UNION ALL SELECT {_ITEM}, 'header' FROM lineitem")
 def csv_round_trip(spark, folder):
     """A table written as CSV and read by its suffix, with a schema and by the header alone."""

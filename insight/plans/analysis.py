@@ -37,6 +37,7 @@ class ClassificationSpec:
     label: str
     rules: tuple[Range, ...] = ()
     max_iter: int = 30
+    tol: float = 1e-6
     meaning: str = ""
     sample: int = 50
     order_by: tuple = ()

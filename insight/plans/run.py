@@ -209,7 +209,9 @@ def _classification(df: DataFrame, plan: AnalysisPlan):
     spec = plan.classification
     rows = _training_rows(df, plan, spec).persist(StorageLevel.MEMORY_AND_DISK)
     try:  # cleaned and marked rows, read for the fit and again for the scores
-        model = fit_classifier(part(rows, TRAIN), spec.features, spec.label, spec.max_iter)
+        model = fit_classifier(
+            part(rows, TRAIN), spec.features, spec.label, spec.max_iter, spec.tol
+        )
         scored = predict(model, rows)
         # One pass over the scored rows; metrics, confusion and balance all follow from it.
         cells = settled(confusion_matrix(scored, spec.label, by=["split"]))
