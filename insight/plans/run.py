@@ -90,23 +90,31 @@ def run_analyses(
     run = AnalysisRun(status=local_table(df.sparkSession, [], _STATUS))
     status = []
     failed = False
-    for name in chosen:
-        if failed:
-            status.append((name, "skipped", None, None, source, None, None))
-            continue
-        started, clock = datetime.now(timezone.utc).isoformat(), time.monotonic()
-        error = warning = None
-        try:
-            step = _STEPS[name](df, plan)
-            sample, warning = step.pop("sample"), step.pop("warning", None)
-            if output is not None:
-                sample = _written(sample, step, f"{output}/{name}")
-            run.reports[name], run.samples[name] = step, sample
-        except Exception as failure:  # noqa: BLE001 - the status table reports it
-            error, failed = str(failure), True
-        took = time.monotonic() - clock
-        outcome = "failed" if failed else "done"
-        status.append((name, outcome, error, warning, source, started, took))
+    # With several analyses, each reads the input again; it is then made once (a join, say)
+    # and kept until the run ends, so that no pass makes it again. Lazy samples read it anew.
+    keep = len(chosen) > 1
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK) if keep else df
+    try:
+        for name in chosen:
+            if failed:
+                status.append((name, "skipped", None, None, source, None, None))
+                continue
+            started, clock = datetime.now(timezone.utc).isoformat(), time.monotonic()
+            error = warning = None
+            try:
+                step = _STEPS[name](kept, plan)
+                sample, warning = step.pop("sample"), step.pop("warning", None)
+                if output is not None:
+                    sample = _written(sample, step, f"{output}/{name}")
+                run.reports[name], run.samples[name] = step, sample
+            except Exception as failure:  # noqa: BLE001 - the status table reports it
+                error, failed = str(failure), True
+            took = time.monotonic() - clock
+            outcome = "failed" if failed else "done"
+            status.append((name, outcome, error, warning, source, started, took))
+    finally:
+        if keep:
+            kept.unpersist()
     run.status = local_table(df.sparkSession, status, _STATUS)
     if output is not None:
         write_report(run.status, f"{output}/status")

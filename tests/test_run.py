@@ -240,3 +240,18 @@ def test_command_line(spark, trips, tmp_path, capsys):
     assert {r["input"] for r in spark.read.json(f"{out}/status").collect()} == {source}
     bad = ["--input", source, "--output", out, "--schema", "a int", "--analyses", "outliers"]
     assert main(bad) == 1
+
+
+def test_several_analyses_read_the_source_once(trips):
+    count = trips.sparkSession.sparkContext.accumulator(0)
+
+    def read(batches):
+        for batch in batches:
+            count.add(batch.num_rows)
+            yield batch
+
+    counted = trips.mapInArrow(read, trips.schema)
+    run = insight.run_analyses(counted, ANALYSES, insight.trip_plan())
+    assert status_of(run) == dict.fromkeys(ANALYSES, "done")
+    assert count.value == 400
+    assert trips.sparkSession.sparkContext._jsc.getPersistentRDDs().size() == 0
