@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import uuid
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -51,17 +53,36 @@ _kept: dict[str, tuple[int, object]] = {}
 
 
 def _forget() -> int:
-    """Drops what the worker kept in other stages; the number of this one."""
+    """Drops what the worker kept in other stages; the number of this one.
+
+    When a worker starts a stage, the room that earlier stages freed goes back to the system.
+    Freed memory would otherwise stay with the worker while later stages add their own.
+    """
     task = TaskContext.get()
     stage = -1 if task is None else task.stageId()
+    global _stage
     old = [name for name, (of, _) in _kept.items() if of != stage]
     for name in old:
         del _kept[name]
-    if old:
+    if old or stage != _stage:
         gc.collect()
+        _give_back()
+    _stage = stage
     return stage
 
 
+_stage: int | None = None
+
+
+def _give_back() -> None:
+    """Returns freed pages of the C heap and of Arrow's pool to the system."""
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+    pa.default_memory_pool().release_unused()
+
+
 def kept_in_stage(name: str, make):
     """What a Python worker keeps from task to task, made once, as long as a stage lasts.
 
