@@ -15,6 +15,7 @@ import zlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -84,7 +85,14 @@ class _Words(dict):
         cores = {w.lower() if lowers and w.isascii() else w for w in words if w not in old}
         if parts:
             cores = {w.rstrip(b".,") for w in cores}
-        new = [t for w in cores if w not in self and w not in old and (t := w.decode()).isalpha()]
+        new, other = [], []
+        for w in cores:
+            if w not in self and w not in old:
+                (new if (t := w.decode()).isalpha() else other).append(t)
+        # the tokenizer would get each of the others alone, by __missing__, so they go in one call
+        found = self.tokenizer.encode_batch_fast(other, add_special_tokens=False) if other else []
+        for t, encoding in zip(other, found, strict=True):
+            self[t.encode()] = np.array(encoding.ids, "<u4").tobytes()
         if not new:
             return
         if self.ends is None:
@@ -127,25 +135,43 @@ class _Words(dict):
         n = self.tokenizer.get_vocab_size(with_added_tokens=True)
         return [self.tokenizer.id_to_token(i) or "" for i in range(n)]
 
-    def split(self, texts: list[str]) -> list[list[bytes]]:
-        """The words of each text, all of them learned."""
-        if len(self) >= _REMEMBERED:  # words still in use move on from the old generation
-            self.old = dict(self)
-            self.clear()
-        parts = [t.encode().split() for t in texts]
-        if self.mark:
-            self.learn({w for words in parts for w in words if w not in self})
-        return parts
-
-    def encode(self, text: str, words: list[bytes]) -> np.ndarray:
-        """As the tokenizer encodes the whole text.
+    def encode_all(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text, as the tokenizer encodes the whole text.
 
         It drops white space and merges nothing across it, so words can be encoded one by one,
         except where the string of an added token, which it looks for first, may be in the text.
+        Arrow splits and numbers the words of the batch, each distinct one is looked up once, and
+        numpy gathers their ids.
         """
-        if any(s in text for s in self.special):
-            return np.frombuffer(self._ids(text), "<u4")
-        return np.frombuffer(b"".join([self[w] for w in words]), "<u4")
+        if len(self) >= _REMEMBERED:  # words still in use move on from the old generation
+            self.old = dict(self)
+            self.clear()
+        texts = texts.cast(pa.large_string()).fill_null("")
+        lists = pc.ascii_split_whitespace(texts)
+        counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+        numbered = pc.dictionary_encode(lists.flatten())
+        words = numbered.dictionary.cast(pa.large_binary())
+        data = b"" if words.buffers()[2] is None else words.buffers()[2].to_pybytes()
+        at = np.frombuffer(words.buffers()[1], "<i8")[words.offset : words.offset + len(words) + 1]
+        known = [data[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+        if self.mark:
+            self.learn({w for w in known if w not in self})
+        found = [self[w] for w in known]
+        sizes = np.array([len(b) >> 2 for b in found], "int64")
+        flat = np.frombuffer(b"".join(found), "<u4")
+        which = numbered.indices.to_numpy(zero_copy_only=False).astype("int64")
+        lengths = sizes[which]
+        ends = np.cumsum(lengths)
+        starts = (np.cumsum(sizes) - sizes)[which] - (ends - lengths)
+        ids = flat[np.repeat(starts, lengths) + np.arange(ends[-1] if len(ends) else 0)]
+        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
+        special = np.zeros(len(texts), bool)
+        for s in self.special:
+            special |= pc.match_substring(texts, s).to_numpy(zero_copy_only=False)
+        return [
+            np.frombuffer(self._ids(texts[i].as_py()), "<u4") if special[i] else ids[a:b]
+            for i, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True))
+        ]
 
 
 def tokenize_pieces(
@@ -173,10 +199,9 @@ def tokenize_pieces(
             out: dict[str, list] = {
                 c: [] for c in ("doc_id", "piece", "start", "length", "ids_crc32", "ids")
             }
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            parts = words.split(texts)
-            for doc, value, split in zip(batch.column(0).to_pylist(), texts, parts, strict=True):
-                ids = np.append(words.encode(value, split), np.uint32(separator))
+            encoded = words.encode_all(batch.column(1))
+            for doc, found in zip(batch.column(0).to_pylist(), encoded, strict=True):
+                ids = np.append(found, np.uint32(separator))
                 for piece, start in enumerate(range(0, len(ids), capacity)):
                     part = ids[start : start + capacity]
                     out["doc_id"].append(doc)

@@ -8,6 +8,7 @@ from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -219,3 +220,21 @@ def test_bound_is_below_the_best_packing(sizes):
     assert packing.lower_bound(np.array(sizes), capacity=12) <= best <= bins.max() + 1
     assert (np.bincount(bins, weights=sizes) <= 12).all()
     assert (offsets + np.array(sizes) <= 12).all()
+
+
+def test_words_of_a_batch_reach_the_tokenizer_together():
+    """Words of other than letters are encoded in one call with the rest of the batch, not by a
+    call each; the ids are still those of the tokenizer on each whole text."""
+    words = packing._Words(WORDS)
+    words.habits(), words.plain()
+    calls = []
+    single = words._ids
+    words._ids = lambda text: calls.append(text) or single(text)
+    values = [" ".join(f"n{i}x{j}a, W{i}o{j} é{i}ü{j}" for j in range(40)) for i in range(30)]
+    values += ODD
+    found = words.encode_all(pa.array(values))
+    tokenizer = Tokenizer.from_file(WORDS)
+    assert [f.tolist() for f in found] == [
+        tokenizer.encode(t or "", add_special_tokens=False).ids for t in values
+    ]
+    assert len(calls) <= 10  # 3,600 distinct words; the text with added tokens goes whole
