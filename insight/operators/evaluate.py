@@ -140,15 +140,19 @@ def silhouette(df: DataFrame, features: Sequence[str], cluster: str = "cluster")
     return (
         points.withColumn("_clusters", clusters)
         .selectExpr(
-            f"""transform(_clusters, s -> struct(s.cluster = cluster AS own, s.n AS n,
-                {squares} + s.variance AS d)) AS seen"""
+            *x,
+            "size(_clusters) AS clusters",
+            "filter(_clusters, s -> s.cluster = cluster)[0] AS own",
+            # the others' distances as plain numbers, no struct for each cluster
+            f"""array_min(transform(_clusters, s -> if(s.cluster = cluster, CAST(NULL AS double),
+                {squares} + s.variance))) AS nearest""",
         )
         .selectExpr(
-            "size(seen) AS clusters",
-            "filter(seen, s -> s.own)[0] AS own",
-            "array_min(transform(seen, s -> if(s.own, NULL, s.d))) AS nearest",
+            "clusters",
+            "own.n AS n",
+            f"try_divide(({squares.replace('s.', 'own.')} + own.variance) * own.n, own.n - 1) AS within",
+            "nearest",
         )
-        .selectExpr("clusters", "own.n AS n", "try_divide(own.d * own.n, own.n - 1) AS within", "nearest")
         .selectExpr(
             "count(1) AS rows",
             "coalesce(max(clusters), 0) AS clusters",

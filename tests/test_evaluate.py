@@ -181,3 +181,12 @@ def test_silhouette_with_labels_of_any_type(groups, kind):
 def test_silhouette_compares_no_pairs(groups, plan_of):
     plan = plan_of(insight.silhouette(groups, ["x", "y"]))
     assert "Join" not in plan and "CartesianProduct" not in plan and "Python" not in plan
+
+
+def test_silhouette_makes_no_struct_for_each_point_and_cluster(spark):
+    """Each point sees the clusters once, as plain distances; a struct for every point and
+    cluster made silhouettes over many clusters slow."""
+    df = spark.createDataFrame([(1.0, 2.0, 0), (2.0, 1.0, 1), (3.0, 3.0, 1)], "a double, b double, c int")
+    out = insight.silhouette(df, ["a", "b"], "c")
+    assert "lambdafunction(struct(" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert out.first()["silhouette"] == pytest.approx(-0.2)
