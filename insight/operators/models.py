@@ -196,7 +196,11 @@ def fit_clusters(
         maxIter=max_iter,
         tol=tol,
     )
-    rows = stages[0].transform(_prepared(df, features)).select(_VECTOR)
+    # Every iteration runs a task for each partition of the vectors, and each task sends its
+    # result to the driver: as many partitions as there are cores keep that from growing with
+    # the input. Coalescing merges partitions without a shuffle.
+    cores = SparkSession.active().sparkContext.defaultParallelism
+    rows = stages[0].transform(_prepared(df, features)).select(_VECTOR).coalesce(cores)
     with _fitting(features), _kept(rows):
         seen = rows
         if scale:

@@ -216,3 +216,25 @@ def test_equal_points_make_one_cluster(spark):
     assigned = insight.assign_clusters(insight.fit_clusters(df, ["x"], k=2), df)
     got = insight.silhouette(assigned, ["x"]).first()
     assert (got["clusters"], got["silhouette"]) == (1, None)
+
+
+def test_cluster_iterations_run_a_task_for_each_core_not_each_input_partition(spark):
+    """Each k-means iteration sends one result per task to the driver; with a task for each
+    partition of the input those grew with it (cluster_means, 200 iterations)."""
+    sc = spark.sparkContext
+    df = spark.range(4000).selectExpr("double(id % 7) AS x", "double(id % 11) AS y").repartition(40)
+    sc.setJobGroup("fit-tasks", "k-means fit")
+    try:
+        insight.fit_clusters(df, ["x", "y"], k=3, max_iter=20, tol=0.0)
+    finally:
+        sc.setJobGroup("other", "")
+    tracker = sc.statusTracker()
+    stages = [
+        tracker.getStageInfo(s)
+        for j in tracker.getJobIdsForGroup("fit-tasks")
+        for s in tracker.getJobInfo(j).stageIds
+    ]
+    tasks = [s.numTasks for s in stages if s is not None]
+    assert len(tasks) > 20
+    # The stage of the repartition itself keeps its own tasks; every later one has at most a core each.
+    assert sorted(tasks)[-2] <= sc.defaultParallelism
